@@ -10,15 +10,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import id_files, packing, token_counts
+from . import byte_bpe, id_files, near_dedup, packing, token_counts
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), width=2, percent=80)
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), JSON)
 
@@ -27,6 +32,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.with_suffix_sums(token_counts.length_histogram(_table(spark, sf_dir, "documents"), JSON))
 
 
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+
+
 def op8_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest, ranks = id_files.write_ids(_table(spark, sf_dir, "documents"), JSON)
     return id_files.read_ids(manifest, ranks, keep_ids=False)

@@ -264,4 +264,4 @@ def read_ids(manifest: DataFrame, ranks_path: str, keep_ids: bool = True) -> Dat
                     begin += int(ends[-1])
 
     rows = manifest.select("path", "start")
-    return rows.repartition("path").mapInArrow(documents, f"doc_id {key}, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * keep_ids)
+    return rows.repartition(max(1, manifest.count()), "path").mapInArrow(documents, f"doc_id {key}, start long, n_tokens long, ids_crc32 long" + ", ids array<int>" * keep_ids)

@@ -123,23 +123,25 @@ def words(piece: TextSlice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return starts, ends, np.searchsorted(piece.bounds, starts, "right") - 1
 
 
+PROBES = ((LETTER, "a"), (NUMBER, "1"), (SPACE, "\n"))  # one pre-token with a character of the same kind
+
+
 class PreTokenizer:
     """Cuts texts as the byte-level BPE pattern of ``public_tokenizers`` does.
 
-    The class of a code point is asked of ``cut`` (the tokenizer library's own
-    pre-tokenizer) the first time that it occurs, so it is the library's notion of
-    letters, numbers and white space that counts.
+    The kinds of code points are asked of ``classify`` (which asks the tokenizer library)
+    the first time that they occur, so it is the library's notion of letters, numbers
+    and white space that counts.
     """
 
-    def __init__(self, cut: Callable[[str], list]):
-        self.cut, self.kinds = cut, np.full(0x110000, UNKNOWN, np.uint8)
+    def __init__(self, classify: Callable[[list[str]], list[int]]):
+        self.classify, self.kinds = classify, np.full(0x110000, UNKNOWN, np.uint8)
 
     def classes(self, points: np.ndarray) -> np.ndarray:
         kinds = self.kinds[points]
         if (kinds == UNKNOWN).any():
-            for p in np.unique(points[kinds == UNKNOWN]).tolist():
-                c = chr(p)
-                self.kinds[p] = next((k for k, probe in ((LETTER, "a"), (NUMBER, "1"), (SPACE, "\n")) if len(self.cut(probe + c)) == 1), OTHER)
+            new = np.unique(points[kinds == UNKNOWN])
+            self.kinds[new] = self.classify([chr(p) for p in new.tolist()])
             kinds = self.kinds[points]
         return kinds
 
@@ -219,6 +221,24 @@ class WordCodes:
         self.hashes, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.ids, self.bytes = Ragged(np.uint32), Ragged(np.uint8)
 
+    def preload(self, words: pa.Array, ids: pa.Array) -> None:
+        """Learn words (string) with their ids (little-endian uint32 as binary) without the library."""
+        for piece in text_slices(words):
+            at = ids.slice(piece.first, len(piece))
+            hashes, some = np.unique(span_hashes(piece.points, piece.bounds[:-1], piece.bounds[1:]), return_index=True)
+            fresh = ~np.isin(hashes, self.hashes)
+            hashes, some = hashes[fresh], some[fresh]
+            _, offsets, raw = at.buffers()
+            bounds = np.frombuffer(offsets, np.int32)[at.offset : at.offset + len(at) + 1].astype(np.int64) // 4
+            widths, flat = (bounds[1:] - bounds[:-1])[some], np.frombuffer(raw, "<u4")
+            lengths = (piece.byte_bounds[1:] - piece.byte_bounds[:-1])[some]
+            first = self.ids.rows
+            self.ids.extend(flat[ranges(bounds[some], widths)], widths)
+            self.bytes.extend(np.frombuffer(piece.data, np.uint8)[ranges(piece.byte_bounds[some], lengths)], lengths)
+            where = np.searchsorted(self.hashes, hashes)
+            self.hashes = np.insert(self.hashes, where, hashes)
+            self.number = np.insert(self.number, where, np.arange(first, first + len(some)))
+
     def _add(self, data: bytes, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         coded = self.encode([data[i:j].decode() for i, j in zip(starts.tolist(), ends.tolist())])
         lengths = np.fromiter(map(len, coded), np.int64, len(coded))
@@ -294,8 +314,43 @@ def library_codes(path: str) -> WordCodes:
         names, model = byte_symbols(), tokenizer.model
         cut = tokenizer.pre_tokenizer.pre_tokenize_str
 
+        def classify(chars: list[str]) -> list[int]:
+            return [next((kind for kind, probe in PROBES if len(cut(probe + c)) == 1), OTHER) for c in chars]
+
         def encode(found: list[str]) -> list[list[int]]:
             return [[t.id for t in model.tokenize(w.encode().decode("latin-1").translate(names))] for w in found]
 
-        _made["json", path] = WordCodes(PreTokenizer(cut), encode)
+        _made["json", path] = WordCodes(PreTokenizer(classify), encode)
     return _made["json", path]
+
+
+def read_ranks(path: str) -> dict[bytes, int]:
+    """A tiktoken file: base64 of the token's bytes and its rank in each line."""
+    import base64
+
+    with open(path, "rb") as source:
+        return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in source if line.strip())}
+
+
+def rank_codes(path: str, pattern: str) -> WordCodes:
+    """Word codes of a ``tiktoken`` rank file; one for each worker process."""
+    if ("ranks", path, pattern) not in _made:
+        import tiktoken
+
+        encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=read_ranks(path), special_tokens={})
+
+        def classify(chars: list[str]) -> list[int]:
+            # An encoding that can merge each probe string to one token, and does so if the pattern doesn't cut it.
+            tokens = [bytes([b]) for b in range(256)]
+            for c in chars:
+                for _, probe in PROBES:
+                    whole = (probe + c).encode()
+                    tokens += [whole[:k] for k in range(2, len(whole) + 1)]
+            probes = tiktoken.Encoding("probe", pat_str=pattern, mergeable_ranks={t: i for i, t in enumerate(dict.fromkeys(tokens))}, special_tokens={})
+            return [next((kind for kind, probe in PROBES if len(probes.encode_ordinary(probe + c)) == 1), OTHER) for c in chars]
+
+        def encode(found: list[str]) -> list[list[int]]:
+            return [encoding.encode_ordinary(w) for w in found]
+
+        _made["ranks", path, pattern] = WordCodes(PreTokenizer(classify), encode)
+    return _made["ranks", path, pattern]
