@@ -2,15 +2,10 @@
 
 from __future__ import annotations
 
-import base64
-import hashlib
-import zlib
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import byte_bpe, id_files, near_dedup, packing, token_counts
+from . import byte_bpe, id_files, near_dedup, packing, text_media, token_counts, warc
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -20,6 +15,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_tiff_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_media.round_trip(_table(spark, sf_dir, "documents"))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), width=2, percent=80)
 
@@ -41,6 +40,10 @@ def op8_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_files.read_ids(manifest, ranks, keep_ids=False)
 
 
+def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
