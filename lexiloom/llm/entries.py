@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, id_files, near_dedup, packing, text_media, token_counts, warc
+from . import byte_bpe, id_files, near_dedup, packing, text_media, token_counts, toxicity, warc
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -40,6 +40,10 @@ def op8_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_files.read_ids(manifest, ranks, keep_ids=False)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op10_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
