@@ -9,8 +9,8 @@ that may reach the threshold are compared on their full sets.
 
 A list of n classes gives n - 1 candidates, not n * (n - 1) / 2: its classes are compared with one
 leader, then with other leaders if that didn't connect them.  What is still apart after ``rounds``
-such rounds is compared pair by pair, but only across components, so no link is lost
-and a large group of near copies costs in proportion to its size.
+such rounds seeks partners in other components by its rarest shingles, which is exact (see
+``_rest``), so no link is lost and a large group of near copies emits no square of pairs.
 
 Chance of losing a pair at exactly 0.8: no three neighbours of the 64 smallest values of the union are
 shared, below 1e-9; sets of at most 20 shingles are found always.
@@ -116,7 +116,28 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3) -> DataFrame:
+def _rest(rows: DataFrame, full: DataFrame, percent: int, fits) -> DataFrame:
+    """Pairs (a, b) of different components that can be similar, among rows (node, n, component); none is missed.
+
+    Rarest shingles first, similar sets share one of the first n - n * percent / 100 + 1 of each, and
+    from the first that they share enough shingles must remain on both sides.  In each list only
+    classes outside its commonest component look for partners.
+    """
+    own = full.select(F.col("node").alias("of"), "full")
+    shingles = rows.join(own, F.col("node") == F.col("of")).select("node", "n", "component", F.explode("full").alias("shingle"))
+    frequency = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).withColumnRenamed("shingle", "counted")
+    sets = shingles.join(frequency, F.col("shingle") == F.col("counted")).groupBy("node", "n", "component").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("ordered"))
+    reach = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
+    heads = written(sets.select("node", "n", "component", F.posexplode(F.slice("ordered", F.lit(1), reach))).filter("col.df > 1").select("node", "n", "component", "pos", F.col("col.shingle").alias("shingle")), "heads")
+    usual = heads.groupBy("shingle", "component").count().groupBy("shingle").agg(F.max(F.struct("count", "component"))["component"].alias("usual")).withColumnRenamed("shingle", "listed")
+    seekers = written(heads.join(usual, (F.col("shingle") == F.col("listed")) & (F.col("component") != F.col("usual"))).select("node", "n", "component", "pos", "shingle"), "seekers")
+    other = heads.select(F.col("node").alias("node2"), F.col("n").alias("n2"), F.col("component").alias("component2"), F.col("pos").alias("pos2"), F.col("shingle").alias("shingle2"))
+    enough = F.least(F.col("n") - F.col("pos"), F.col("n2") - F.col("pos2")) * (100 + percent) >= (F.col("n") + F.col("n2")) * percent
+    met = seekers.join(other, (F.col("shingle") == F.col("shingle2")) & (F.col("component") != F.col("component2")) & fits(F.col("n"), F.col("n2")) & enough)
+    return met.select(F.least("node", "node2").alias("a"), F.greatest("node", "node2").alias("b"))
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, one row per input row.
 
     Linked: 100 * size of the intersection >= percent * size of the union.
@@ -165,8 +186,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
             met = rows.join(heads, (F.col("key") == F.col("list")) & (F.col("component") != F.col("leader_component")) & fits(F.col("n"), F.col("leader_n")))
             pairs = met.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
         else:
-            other = rows.select(F.col("key").alias("list"), F.col("node").alias("b"), F.col("n").alias("other_n"), F.col("component").alias("other"))
-            pairs = rows.join(other, (F.col("key") == F.col("list")) & (F.col("node") < F.col("b")) & (F.col("component") != F.col("other")) & fits(F.col("n"), F.col("other_n"))).select(F.col("node").alias("a"), "b")
+            pairs = _rest(rows.select("node", "n", "component").distinct(), full, percent, fits)
         pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
