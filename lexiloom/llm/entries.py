@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, id_files, near_dedup, packing, quality, text_media, token_counts, toxicity, warc
+from . import byte_bpe, id_files, near_dedup, packing, pii, quality, text_media, token_counts, toxicity, warc
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -31,6 +31,10 @@ def op4_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(_table(spark, sf_dir, "documents"))
 
 
+def op5_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.found(_table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.with_suffix_sums(token_counts.length_histogram(_table(spark, sf_dir, "documents"), JSON))
 

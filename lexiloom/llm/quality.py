@@ -145,3 +145,11 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep
     failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
     probability = F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
     return rows.select(*(keep or ("doc_id",)), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & (probability >= 0.5)).alias("kept"), probability.alias("probability"))
+
+
+def good_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, of documents that ``judged`` keeps."""
+    hidden = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
+    own = docs.select(*[F.col(f"`{c}`").alias(h) for c, h in hidden.items()])
+    rows = judged(own, text_col=hidden[text_col], keep=tuple(hidden.values()))
+    return rows.filter("kept").select(*[F.col(h).alias(c) for c, h in hidden.items()])

@@ -374,3 +374,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """doc_id, held_out, score, predicted, n_spans for every document, learning from those not held out."""
     scored = score(docs, train(docs, labels, id_col, text_col), id_col, text_col)
     return scored.select("doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"), "score", "predicted", F.size("spans").cast("long").alias("n_spans"))
+
+
+def not_toxic(docs: DataFrame, tagger: Tagger, text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, of documents that score under 0.5."""
+
+    def rows(batches):
+        for batch in batches:
+            keep = [tagger.scores(tagger.summary(*tagger.marginals(piece)[2:])) < 0.5 for piece in text_slices(batch.column(batch.num_columns - 1))]
+            yield batch.filter(pa.array(np.concatenate(keep) if keep else np.zeros(0, bool))).select(batch.schema.names[:-1])
+
+    names = docs.columns
+    hidden = docs.toDF(*[f"_c{i}" for i in range(len(names))])
+    rows_ = hidden.withColumn("_text", F.col(f"_c{names.index(text_col)}").cast("string")).mapInArrow(rows, hidden.schema)
+    return rows_.toDF(*names)
