@@ -7,7 +7,10 @@ from ..functions import linguistic, text
 from ..operators import dedupe, linkage, merge
 from .registry import query
 
-FOLDED = F.lower(F.regexp_replace("text", r"\s+", " "))
+def _folded():
+    return F.lower(F.regexp_replace("text", r"\s+", " "))
+
+
 KEYED = r"SELECT *, lower(regexp_replace(text, '\s+', ' ', 'g')) AS k FROM documents"
 LINE = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 LINE_SQL = ", ".join(LINE)
@@ -16,7 +19,7 @@ LINE_SQL = ", ".join(LINE)
 @query(f"""WITH k AS ({KEYED}), r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY n_chars DESC, doc_id) AS rn FROM k)
 SELECT a.doc_id, a.source, coalesce(string_agg(b.doc_id::varchar, ',' ORDER BY b.doc_id), '') AS alt_ids FROM r a LEFT JOIN r b ON a.k = b.k AND b.rn > 1 WHERE a.rn = 1 GROUP BY 1, 2""")
 def q_dedupe(t):
-    rows = dedupe.keyed_dedupe(t.documents, FOLDED, [F.col("n_chars")], "doc_id", "doc_id")
+    rows = dedupe.keyed_dedupe(t.documents, _folded(), [F.col("n_chars")], "doc_id", "doc_id")
     return rows.select("doc_id", "source", F.array_join(F.col("alt_ids").cast("array<string>"), ",").alias("alt_ids"))
 
 

@@ -7,19 +7,22 @@ from ..operators import merge
 from ..sources import records
 from .registry import query
 
-TITLE = F.split_part("text", F.lit("\n"), F.lit(1))
 DOC_TITLE = "split_part(text, chr(10), 1)"
 
 
+def _title():
+    return F.split_part("text", F.lit("\n"), F.lit(1))
+
+
 @query(rf"""WITH f AS (SELECT doc_id, regexp_replace(lower({DOC_TITLE}), '[^\p{{L}}\p{{M}}\p{{N}}]', '', 'g') AS t FROM documents)
 SELECT doc_id, CASE WHEN length(t) >= 8 AND length(t) % 2 = 0 AND t[:length(t)//2] = t[length(t)//2+1:] THEN t[:length(t)//2] ELSE t END AS title FROM f""")
 def q_norm_title(t):
-    return t.documents.select("doc_id", text.fold_title(TITLE).alias("title"))
+    return t.documents.select("doc_id", text.fold_title(_title()).alias("title"))
 
 
 @query()
 def q_norm_title_nfkc(t):
-    return t.documents.select("doc_id", linguistic.match_title_udf()(TITLE).alias("title"))
+    return t.documents.select("doc_id", linguistic.match_title_udf()(_title()).alias("title"))
 
 
 @query(rf"SELECT item_id, trim(regexp_replace(trim(regexp_replace(text || ' **', '\s+', ' ', 'g')), '\*+$', '')) AS title FROM benchmark")
@@ -34,7 +37,7 @@ def q_clean_ws(t):
 
 @query(rf"SELECT doc_id, regexp_replace(lower({DOC_TITLE}), '[\p{{P}}\p{{S}}\s]+', '', 'g') AS flat FROM documents")
 def q_norm_punct(t):
-    return t.documents.select("doc_id", text.strip_punctuation(TITLE).alias("flat"))
+    return t.documents.select("doc_id", text.strip_punctuation(_title()).alias("flat"))
 
 
 @query()
@@ -112,12 +115,12 @@ def q_export_ris(t):
 @query(rf"""SELECT doc_id, CASE WHEN regexp_full_match({DOC_TITLE}, '[\x00-\x7F]*') AND lang = 'en' THEN '' ELSE {DOC_TITLE} END AS title_kr,
  CASE WHEN regexp_full_match({DOC_TITLE}, '[\x00-\x7F]*') AND lang = 'en' THEN {DOC_TITLE} ELSE '' END AS title_en FROM documents""")
 def q_project_article(t):
-    return records.to_articles(t.documents.withColumn("title", TITLE), "title", "lang").select("doc_id", "title_kr", "title_en")
+    return records.to_articles(t.documents.withColumn("title", _title()), "title", "lang").select("doc_id", "title_kr", "title_en")
 
 
 @query(rf"SELECT doc_id FROM documents WHERE NOT (trim({DOC_TITLE}) = '' OR regexp_matches({DOC_TITLE}, '^(The|Der|La|Le)\s') OR source = 'src0')")
 def q_front_matter(t):
-    front = (F.trim(TITLE) == "") | TITLE.rlike(r"^(The|Der|La|Le)\s") | F.exists(F.array("source"), lambda s: s == "src0")
+    front = (F.trim(_title()) == "") | _title().rlike(r"^(The|Der|La|Le)\s") | F.exists(F.array("source"), lambda s: s == "src0")
     return t.documents.filter(~front).select("doc_id")
 
 
