@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import written
 from .tokenizing import token_lengths
 
 BLOCK = 1024  # lengths of one block share a window; blocks are summed apart
@@ -33,6 +34,7 @@ def with_suffix_sums(hist: DataFrame) -> DataFrame:
     histogram unless it is small.
     """
     block = F.floor(F.col("n_tokens") / BLOCK)
+    hist = written(hist, "histogram")  # read twice below; encoding comes before it
     rows = hist.select("n_tokens", "n_docs", (F.col("n_tokens") * F.col("n_docs")).alias("tokens"), block.alias("block"))
     up = Window.partitionBy("block").orderBy(F.desc("n_tokens"))
     sums = rows.groupBy("block").agg(F.sum("n_docs").alias("block_docs"), F.sum("tokens").alias("block_tokens"))
