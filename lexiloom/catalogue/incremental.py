@@ -85,10 +85,10 @@ def q_late_split(t):
     return harvest.late_first_order(e, "day", "2024-01-15").select("event_id", "is_late", "turn")
 
 
-@query("""SELECT o_orderkey FROM orders LEFT JOIN (SELECT l_orderkey AS k, max(l_shipdate)::date AS missed FROM lineitem WHERE l_orderkey % 2 = 0 GROUP BY 1) s ON k = o_orderkey
+@query("""SELECT o_orderkey FROM orders LEFT JOIN (SELECT l_orderkey AS k, max(l_shipdate)::date AS missed FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1) s ON k = o_orderkey
 WHERE missed IS NULL OR missed < DATE '1998-01-01' - CASE WHEN year(o_orderdate) >= 1997 THEN 7 ELSE 90 END""")
 def q_retry_due(t):
-    state = t.lineitem.filter("l_orderkey % 2 = 0").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_shipdate").alias("missed"))
+    state = t.lineitem.filter("l_returnflag = 'A'").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_shipdate").alias("missed"))
     return harvest.retry_due(t.orders.withColumn("y", F.year("o_orderdate")), state, "o_orderkey", "y", "1998-01-01", 1998).select("o_orderkey")
 
 

@@ -25,8 +25,8 @@ def q_dedupe(t):
 
 @query()
 def q_fuzzy_dedupe(t):
-    d = t.documents.select(F.col("doc_id").alias("pos"), F.col("doc_id").cast("string").alias("id"), F.left(text.fold_title(F.col("text")), F.lit(40)).alias("title_key"), (F.col("n_chars") % 7).cast("int").alias("page"), F.array((F.col("n_chars") % 5).cast("int")).alias("nums"), F.lit(0).alias("year"), "lang", "source")
-    return dedupe.fuzzy_dedupe(d, "title_key", "pos", "id", ["lang", "source"]).select("id", "title_key", F.array_join("alt_ids", ",").alias("alt_ids"))
+    d = t.documents.select(F.col("doc_id").alias("pos"), F.col("doc_id").cast("string").alias("id"), text.fold_title(F.col("text")).alias("title_key"), (F.col("n_chars") % 7).cast("int").alias("page"), F.array((F.col("n_chars") % 5).cast("int")).alias("nums"), F.lit(0).alias("year"), "lang", "source")
+    return dedupe.fuzzy_dedupe(d, "title_key", "pos", "id", ["lang", "source"]).select("id", F.array_join("alt_ids", ",").alias("alt_ids"))
 
 
 @query(f"SELECT l_orderkey, l_linenumber, {LINE_SQL} FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {LINE_SQL}) AS rn FROM lineitem) WHERE rn = 1")
@@ -49,11 +49,11 @@ def q_dup_url_clear(t):
     return dedupe.clear_repeated(t.part.select("p_partkey", F.col("p_type").alias("link")), "link", 15)
 
 
-@query("""WITH s AS (SELECT c_custkey, c_nationkey, 0 AS new FROM customer WHERE c_custkey % 2 = 0), n AS (SELECT c_custkey, c_nationkey, 1 AS new FROM customer WHERE c_custkey % 3 = 0 AND c_custkey % 2 <> 0)
+@query("""WITH s AS (SELECT c_custkey, c_nationkey, 0 AS new FROM customer WHERE c_acctbal < 4000), n AS (SELECT c_custkey, c_nationkey, 1 AS new FROM customer WHERE c_acctbal >= 4000)
 SELECT c_nationkey, c_custkey FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY new, c_custkey) AS rn FROM (SELECT * FROM s UNION ALL SELECT * FROM n)) WHERE rn <= 40""")
 def q_capped_append(t):
-    c = t.customer.select("c_nationkey", "c_custkey")
-    return dedupe.capped_append(c.filter("c_custkey % 2 = 0"), c.filter("c_custkey % 3 = 0"), "c_nationkey", "c_custkey", 40, "c_custkey").select("c_nationkey", "c_custkey")
+    c = t.customer.select("c_nationkey", "c_custkey", "c_acctbal")
+    return dedupe.capped_append(c.filter("c_acctbal < 4000"), c, "c_nationkey", "c_custkey", 40, "c_custkey").select("c_nationkey", "c_custkey")
 
 
 @query("""SELECT count(DISTINCT id) AS n_ids FROM (SELECT o_orderkey::varchar AS id FROM orders UNION ALL SELECT 'c' || o_custkey::varchar FROM orders UNION ALL SELECT 'l' || l_partkey::varchar FROM lineitem)""")
@@ -79,47 +79,49 @@ def q_known_id_join(t):
     return linkage.known_id_join(left, right, [("kid", "r_kid", "last"), ("rid", "r_hint", "first"), ("doi", "r_doi", "last")], "c_custkey", "o_orderkey")
 
 
-@query("""SELECT a.p_partkey AS a_key, b.p_partkey AS b_key, levenshtein(a.p_name, b.p_name)::bigint AS distance FROM part a JOIN part b ON a.p_brand = b.p_brand AND abs(a.p_size - b.p_size) <= 1 AND a.p_partkey % 2 = 0 AND b.p_partkey % 2 = 1 AND levenshtein(a.p_name, b.p_name) <= 3""")
+@query("""SELECT a.p_partkey AS a_key, b.p_partkey AS b_key, levenshtein(a.p_name, b.p_name)::bigint AS distance FROM part a JOIN part b ON a.p_brand = b.p_brand AND abs(a.p_size - b.p_size) <= 1 AND a.p_type < 'M' AND b.p_type >= 'M' AND levenshtein(a.p_name, b.p_name) <= 3""")
 def q_block_join(t):
-    p = t.part.select("p_partkey", "p_brand", "p_size", "p_name")
+    p = t.part.select("p_partkey", "p_brand", "p_size", "p_name", "p_type")
     near = F.levenshtein("l_p_name", "r_p_name") <= 3
-    pairs = linkage.block_pairs(p.filter("p_partkey % 2 = 0"), p.filter("p_partkey % 2 = 1"), ["p_brand"], "p_size", near)
+    pairs = linkage.block_pairs(p.filter("p_type < 'M'"), p.filter("p_type >= 'M'"), ["p_brand"], "p_size", near)
     return pairs.select(F.col("l_p_partkey").alias("a_key"), F.col("r_p_partkey").alias("b_key"), F.levenshtein("l_p_name", "r_p_name").cast("long").alias("distance"))
 
 
-def _number_sets(t):
-    return t.lineitem.filter("l_orderkey % 20 = 0").groupBy("l_orderkey").agg(F.array_sort(F.collect_set(F.col("l_quantity").cast("int") % 12)).alias("nums"))
-
-
-@query("""WITH s AS (SELECT l_orderkey, list_sort(list(DISTINCT l_quantity::int % 12)) AS nums FROM lineitem WHERE l_orderkey % 20 = 0 GROUP BY 1)
-SELECT a.l_orderkey AS a_key, b.l_orderkey AS b_key FROM s a JOIN s b ON a.l_orderkey % 40 = 0 AND b.l_orderkey % 40 <> 0 AND len(a.nums) <> len(b.nums) AND (list_has_all(b.nums, a.nums) OR list_has_all(a.nums, b.nums))""")
+@query("""WITH s AS (SELECT l_partkey, l_returnflag, list_sort(list(DISTINCT l_linenumber)) AS nums FROM lineitem GROUP BY 1, 2)
+SELECT a.l_partkey AS a_key, b.l_partkey AS b_key FROM s a JOIN s b ON a.l_partkey = b.l_partkey AND a.l_returnflag = 'A' AND b.l_returnflag = 'R' AND len(a.nums) <> len(b.nums) AND (list_has_all(b.nums, a.nums) OR list_has_all(a.nums, b.nums))""")
 def q_subset_join(t):
-    s = _number_sets(t)
-    a, b = s.filter("l_orderkey % 40 = 0").withColumnRenamed("l_orderkey", "a_key"), s.filter("l_orderkey % 40 <> 0").withColumnRenamed("l_orderkey", "b_key")
-    return linkage.subset_pairs(a, b, "nums", "a_key", "b_key")
+    s = t.lineitem.groupBy("l_partkey", "l_returnflag").agg(F.array_sort(F.collect_set("l_linenumber")).alias("nums"))
+    a, b = (s.filter(F.col("l_returnflag") == flag).select(F.col("l_partkey").alias(name), F.col("l_partkey").alias("journal"), "nums") for flag, name in (("A", "a_key"), ("R", "b_key")))
+    return linkage.subset_pairs(a, b, "nums", "a_key", "b_key", ["journal"])
 
 
-@query("""WITH p AS (SELECT a.p_partkey AS a_key, b.p_partkey AS b_key, 1 - levenshtein(a.p_name, b.p_name) / greatest(length(a.p_name), length(b.p_name)) AS s FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey % 2 = 0 AND b.p_partkey % 2 = 1)
+@query("""WITH p AS (SELECT a.p_partkey AS a_key, b.p_partkey AS b_key, 1 - levenshtein(a.p_name, b.p_name) / greatest(length(a.p_name), length(b.p_name)) AS s FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_type < 'M' AND b.p_type >= 'M')
 SELECT a_key, b_key, round(s, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY b_key ORDER BY s DESC, a_key) AS rn FROM p WHERE s >= 0.3) WHERE rn = 1""")
 def q_top1_lookup(t):
-    p = t.part.select("p_partkey", "p_brand", "p_size", "p_name")
-    pairs = linkage.block_pairs(p.filter("p_partkey % 2 = 0"), p.filter("p_partkey % 2 = 1"), ["p_brand", "p_size"])
+    p = t.part.select("p_partkey", "p_brand", "p_size", "p_name", "p_type")
+    pairs = linkage.block_pairs(p.filter("p_type < 'M'"), p.filter("p_type >= 'M'"), ["p_brand", "p_size"])
     score = F.lit(1) - F.levenshtein("l_p_name", "r_p_name") / F.greatest(F.length("l_p_name"), F.length("r_p_name"))
     rows = pairs.select(F.col("l_p_partkey").alias("a_key"), F.col("r_p_partkey").alias("b_key"), score.alias("score"))
     return linkage.best_match(rows, "b_key", "a_key", "score", 0.3).select("a_key", "b_key", F.round("score", 6).alias("score"))
 
 
+def _page_titles(t):
+    """Pages as articles of two sources, told apart by their scheme; the language in the path is the journal."""
+    title = F.regexp_extract("html", "<title>([^<]*)</title>", 1)
+    return t.pages.select("page_id", title.alias("title"), text.fold_title(title).alias("key"), F.regexp_extract("url", "/([a-z]{2})/", 1).alias("journal"), F.regexp_extract("url", "^https?://([^/?#]+)", 1).alias("host"), F.col("url").startswith("https:").alias("secure"), F.length("html").alias("n"))
+
+
 @query()
 def q_residual_match(t):
-    d = t.documents.select("doc_id", F.left(text.fold_title(F.split_part("text", F.lit("\n"), F.lit(1))), F.lit(60)).alias("key"), "lang")
-    pairs = linkage.residual_pairs(d.filter("doc_id % 2 = 0"), d.filter("doc_id % 2 = 1"), "key").filter("l_lang = r_lang")
-    return linkage.scored(pairs, "l_key", "r_key").filter("sim >= 0.9").select(F.col("l_doc_id").alias("a_key"), F.col("r_doc_id").alias("b_key"), F.round("sim", 6).alias("sim"))
+    d = _page_titles(t)
+    pairs = linkage.residual_pairs(d.filter("secure"), d.filter("not secure"), "key").filter("l_journal = r_journal")
+    return linkage.scored(pairs, "l_key", "r_key").filter("sim >= 0.9").select(F.col("l_page_id").alias("a_key"), F.col("r_page_id").alias("b_key"), F.round("sim", 6).alias("sim"))
 
 
 @query()
 def q_greedy_match(t):
-    p = t.part.select("p_partkey", "p_brand", "p_size", "p_name")
-    pairs = linkage.block_pairs(p.filter("p_partkey % 2 = 0"), p.filter("p_partkey % 2 = 1"), ["p_brand", "p_size"])
+    p = t.part.select("p_partkey", "p_brand", "p_size", "p_name", "p_type")
+    pairs = linkage.block_pairs(p.filter("p_type < 'M'"), p.filter("p_type >= 'M'"), ["p_brand", "p_size"])
     edges = linkage.scored(pairs, "l_p_name", "r_p_name").select(F.col("l_p_partkey").alias("a_key"), F.col("r_p_partkey").alias("b_key"), F.round("score", 6).alias("score"))
     return linkage.greedy_rounds(edges, "a_key", "b_key", "score")
 
@@ -137,12 +139,12 @@ def q_compat_join(t):
     return linkage.block_pairs(o, o, ["o_custkey"], None, ok).select(F.col("l_o_orderkey").alias("a_key"), F.col("r_o_orderkey").alias("b_key"))
 
 
-@query("""WITH k AS (SELECT DISTINCT o_orderpriority AS g, o_custkey AS key FROM orders WHERE o_orderkey % 3 = 0), n AS (SELECT DISTINCT o_orderstatus AS o, o_custkey AS key FROM orders WHERE o_orderkey % 3 <> 0),
+@query("""WITH k AS (SELECT DISTINCT o_orderpriority AS g, o_custkey AS key FROM orders WHERE o_totalprice < 150000), n AS (SELECT DISTINCT o_orderstatus AS o, o_custkey AS key FROM orders WHERE o_totalprice >= 150000),
  tot AS (SELECT g, count(*) AS total FROM k GROUP BY 1 HAVING count(*) >= 3), h AS (SELECT g, o, count(*) AS matched FROM k JOIN n USING (key) GROUP BY 1, 2)
 SELECT g AS candidate, o AS known, matched, total, round(matched / total, 3) AS rate FROM (SELECT h.*, total, row_number() OVER (PARTITION BY g ORDER BY matched DESC, o) AS rn FROM h JOIN tot USING (g)) WHERE rn = 1""")
 def q_best_overlap(t):
-    a = t.orders.filter("o_orderkey % 3 = 0").select(F.col("o_orderpriority").alias("candidate"), F.col("o_custkey").alias("key"))
-    b = t.orders.filter("o_orderkey % 3 <> 0").select(F.col("o_orderstatus").alias("known"), F.col("o_custkey").alias("key"))
+    a = t.orders.filter("o_totalprice < 150000").select(F.col("o_orderpriority").alias("candidate"), F.col("o_custkey").alias("key"))
+    b = t.orders.filter("o_totalprice >= 150000").select(F.col("o_orderstatus").alias("known"), F.col("o_custkey").alias("key"))
     return linkage.best_overlap(a, b, "candidate", "known", "key")
 
 
@@ -184,26 +186,26 @@ def q_anti_issue(t):
     return t.customer.filter("c_acctbal > 9000").select("c_nationkey", "c_mktsegment").distinct().join(have, ["c_nationkey", "c_mktsegment"], "left_anti")
 
 
-@query("""WITH k AS (SELECT *, lower(p_name) || p_size::varchar AS k FROM part), a AS (SELECT * FROM k WHERE p_partkey % 2 = 0), b AS (SELECT k, min(p_partkey) AS p_partkey, min(p_brand) AS p_brand FROM k WHERE p_partkey % 2 = 1 GROUP BY 1)
+@query("""WITH k AS (SELECT *, lower(p_name) || p_size::varchar AS k FROM part), a AS (SELECT * FROM k WHERE p_type < 'M'), b AS (SELECT k, min(p_partkey) AS p_partkey, min(p_brand) AS p_brand FROM k WHERE p_type >= 'M' GROUP BY 1)
 SELECT a.p_partkey, coalesce(CASE WHEN a.p_size % 2 = 0 THEN a.p_brand END, b.p_brand, '') AS link FROM a LEFT JOIN b USING (k) UNION ALL SELECT b.p_partkey, b.p_brand FROM b WHERE k NOT IN (SELECT k FROM a)""")
 def q_priority_merge(t):
-    p = t.part.select("p_partkey", F.concat(F.lower("p_name"), F.col("p_size").cast("string")).alias("key"), F.when((F.col("p_partkey") % 2 == 0) & (F.col("p_size") % 2 == 1), "").otherwise(F.col("p_brand")).alias("link"))
-    second = p.filter("p_partkey % 2 = 1").groupBy("key").agg(F.min("p_partkey").alias("p_partkey"), F.min("link").alias("link"))
-    return merge.priority_merge(p.filter("p_partkey % 2 = 0"), second, F.col("key"), ["link"]).select("p_partkey", "link")
+    p = t.part.select("p_partkey", F.concat(F.lower("p_name"), F.col("p_size").cast("string")).alias("key"), F.when((F.col("p_type") < "M") & (F.col("p_size") % 2 == 1), "").otherwise(F.col("p_brand")).alias("link"), "p_type")
+    second = p.filter("p_type >= 'M'").groupBy("key").agg(F.min("p_partkey").alias("p_partkey"), F.min("link").alias("link"))
+    return merge.priority_merge(p.filter("p_type < 'M'").drop("p_type"), second, F.col("key"), ["link"]).select("p_partkey", "link")
 
 
-@query("""SELECT coalesce(n.o_orderkey, s.o_orderkey) AS o_orderkey, CASE WHEN n.o_orderkey IS NOT NULL THEN 'new' ELSE s.o_orderstatus END AS status, CASE WHEN n.o_orderkey % 6 = 0 OR n.o_orderkey IS NULL THEN s.o_orderpriority ELSE n.o_orderpriority END AS note, s.o_orderkey IS NULL AS is_new
-FROM (SELECT * FROM orders WHERE o_orderkey % 2 = 0) s FULL JOIN (SELECT * FROM orders WHERE o_orderkey % 3 = 0) n ON s.o_orderkey = n.o_orderkey""")
+@query("""SELECT coalesce(n.o_orderkey, s.o_orderkey) AS o_orderkey, CASE WHEN n.o_orderkey IS NOT NULL THEN 'new' ELSE s.o_orderstatus END AS status, CASE WHEN n.o_orderkey % 6 = 0 THEN coalesce(s.o_orderpriority, '') WHEN n.o_orderkey IS NULL THEN s.o_orderpriority ELSE n.o_orderpriority END AS note, s.o_orderkey IS NULL AS is_new
+FROM (SELECT * FROM orders WHERE o_orderstatus <> 'P') s FULL JOIN (SELECT * FROM orders WHERE o_orderstatus <> 'F') n ON s.o_orderkey = n.o_orderkey""")
 def q_upsert(t):
-    stored = t.orders.filter("o_orderkey % 2 = 0").select("o_orderkey", F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("note"))
-    new = t.orders.filter("o_orderkey % 3 = 0").select("o_orderkey", F.lit("new").alias("status"), F.when(F.col("o_orderkey") % 6 == 0, "").otherwise(F.col("o_orderpriority")).alias("note"))
+    stored = t.orders.filter("o_orderstatus <> 'P'").select("o_orderkey", F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("note"))
+    new = t.orders.filter("o_orderstatus <> 'F'").select("o_orderkey", F.lit("new").alias("status"), F.when(F.col("o_orderkey") % 6 == 0, "").otherwise(F.col("o_orderpriority")).alias("note"))
     return merge.upsert(stored, new, "o_orderkey", ["note"])
 
 
-@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0 UNION SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0")
+@query("SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P' UNION SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F'")
 def q_insert_new(t):
-    o = t.orders.select("o_orderkey")
-    return merge.insert_new(o.filter("o_orderkey % 2 = 0"), o.filter("o_orderkey % 3 = 0"), "o_orderkey")
+    o = t.orders.select("o_orderkey", "o_orderstatus")
+    return merge.insert_new(o.filter("o_orderstatus <> 'P'"), o.filter("o_orderstatus <> 'F'"), "o_orderkey").select("o_orderkey")
 
 
 @query("SELECT count(*) FILTER (quality IS NULL) AS no_quality, count(*) FILTER (lang <> 'en') AS no_english, count(*) FILTER (quality IS NULL AND n_chars > 1000) AS long_unlabelled, count(*) AS total FROM documents LEFT JOIN labels USING (doc_id)")
@@ -233,11 +235,11 @@ def q_trust_gate(t):
     return merge.trust_gate(rows, "journal", "publisher", "paired", "comparable", 60, 3, 0.2).select("o_orderkey", "verdict")
 
 
-@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 5 = 0 AND o_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0) AND -o_custkey NOT IN (SELECT -o_custkey FROM orders WHERE o_orderkey % 7 = 0)")
+@query("SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') AND -o_custkey NOT IN (SELECT -o_custkey FROM orders WHERE o_totalprice > 450000)")
 def q_new_rows(t):
-    o = t.orders.select("o_orderkey", (-F.col("o_custkey")).alias("alt"))
-    previous = o.filter("o_orderkey % 2 = 0").select("o_orderkey", F.lit(None).cast("long").alias("alt")).union(o.filter("o_orderkey % 7 = 0").select(F.lit(None).cast("long"), "alt"))
-    return merge.new_rows(o.filter("o_orderkey % 5 = 0"), ["o_orderkey", "alt"], previous, ["o_orderkey", "alt"], "o_orderkey").select("o_orderkey")
+    o = t.orders.select("o_orderkey", (-F.col("o_custkey")).alias("alt"), "o_orderstatus", "o_totalprice")
+    previous = o.filter("o_orderstatus = 'F'").select("o_orderkey", F.lit(None).cast("long").alias("alt")).union(o.filter("o_totalprice > 450000").select(F.lit(None).cast("long"), "alt"))
+    return merge.new_rows(o, ["o_orderkey", "alt"], previous, ["o_orderkey", "alt"], "o_orderkey").select("o_orderkey")
 
 
 @query("""WITH w AS (SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'p' || (o_orderkey // 4)::varchar ELSE o_orderkey::varchar END AS want FROM orders)
@@ -257,10 +259,10 @@ def q_changed_rows(t):
 
 @query()
 def q_build(t):
-    """The whole output build on two halves of the documents."""
+    """The whole output build on the pages, as two sources."""
     from ..plans.build import build
 
-    d = t.documents.select(F.col("doc_id").cast("string").alias("id"), F.col("lang").alias("journal"), F.left(F.split_part("text", F.lit("\n"), F.lit(1)), F.lit(80)).alias("title"), F.lit(2020).alias("year"), F.array((F.col("n_chars") % 40 + 1).cast("int")).alias("nums"), (F.col("n_chars") % 100).cast("int").alias("page"), F.col("doc_id").alias("pos"), F.col("source").alias("publisher"))
-    left = d.filter("pos % 2 = 0").withColumn("hint", F.lit(None).cast("string"))
-    right = d.filter("pos % 2 = 1").withColumn("hint", F.when(F.col("pos") % 11 == 0, (F.col("pos") - 1).cast("string")))
+    d = _page_titles(t).select(F.col("page_id").cast("string").alias("id"), "journal", "title", F.lit(2020).alias("year"), F.array((F.col("n") % 40 + 1).cast("int")).alias("nums"), (F.col("n") % 100).cast("int").alias("page"), F.col("page_id").alias("pos"), F.col("host").alias("publisher"), "secure")
+    left = d.filter("secure").drop("secure").withColumn("hint", F.lit(None).cast("string"))
+    right = d.filter("not secure").drop("secure").withColumn("hint", (F.col("pos") - 1).cast("string"))
     return build(left, right, ["publisher"]).report

@@ -51,12 +51,15 @@ def block_pairs(left: DataFrame, right: DataFrame, block: list[str], year: str |
     return pairs.drop("_year") if year else pairs
 
 
-def subset_pairs(left: DataFrame, right: DataFrame, numbers: str, left_id: str, right_id: str) -> DataFrame:
-    """left_id, right_id where one set of numbers properly contains the other; joined by a shared number."""
-    a = left.select(F.col(left_id), F.col(numbers).alias("_a"), F.explode(numbers).alias("_n"))
-    b = right.select(F.col(right_id), F.col(numbers).alias("_b"), F.explode(numbers).alias("_m"))
+def subset_pairs(left: DataFrame, right: DataFrame, numbers: str, left_id: str, right_id: str, block: list[str] = ()) -> DataFrame:
+    """left_id, right_id where one set of numbers properly contains the other; joined by a shared number, within a block if one is given."""
+    a = left.select(F.col(left_id), *[F.col(c).alias(f"_a_{c}") for c in block], F.col(numbers).alias("_a"), F.explode(numbers).alias("_n"))
+    b = right.select(F.col(right_id), *[F.col(c).alias(f"_b_{c}") for c in block], F.col(numbers).alias("_b"), F.explode(numbers).alias("_m"))
     inside = F.least(F.size(F.array_except("_a", "_b")), F.size(F.array_except("_b", "_a"))) == 0
-    return a.join(b, (F.col("_n") == F.col("_m")) & (F.size("_a") != F.size("_b")) & inside).select(left_id, right_id).distinct()
+    same = F.col("_n") == F.col("_m")
+    for c in block:
+        same = same & (F.col(f"_a_{c}") == F.col(f"_b_{c}"))
+    return a.join(b, same & (F.size("_a") != F.size("_b")) & inside).select(left_id, right_id).distinct()
 
 
 def scored(pairs: DataFrame, left_title: str, right_title: str, left_page: str | None = None, right_page: str | None = None) -> DataFrame:

@@ -44,7 +44,7 @@ def link(left: DataFrame, right: DataFrame, reading: dict[str, str] | None = Non
     exact = linkage.block_pairs(free(a, "left_id"), free(b, "right_id"), ["journal", "nums_key"], "year")
     done = written(done.union(settled(exact, "block")), "links")
     x, y = free(a, "left_id"), free(b, "right_id")
-    inside = linkage.subset_pairs(x.select(F.col("id").alias("l_id"), "nums"), y.select(F.col("id").alias("r_id"), "nums"), "nums", "l_id", "r_id")
+    inside = linkage.subset_pairs(x.select(F.col("id").alias("l_id"), "nums", "journal"), y.select(F.col("id").alias("r_id"), "nums", "journal"), "nums", "l_id", "r_id", ["journal"])
     wide = lambda df, p: df.select(*[F.col(c).alias(p + c) for c in df.columns])
     subset = inside.join(wide(x, "l_"), "l_id").join(wide(y, "r_"), "r_id").filter((F.col("l_journal") == F.col("r_journal")) & (F.abs(F.col("l_year") - F.col("r_year")) <= 1))
     done = written(done.union(settled(subset, "subset")), "links")
