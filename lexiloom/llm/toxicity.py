@@ -12,7 +12,7 @@ Tokens without a chosen feature all have the same potentials, so a run of n of t
 proportion to the tokens that bear features.
 
 Bounds: ``SAMPLE`` labelled documents of either class (those of the least hash of the id), ``CANDIDATES`` features
-reach the driver.  Cases: a null or empty text scores as a text without features; repeated
+reach the driver, ``WINDOWS`` sequences train the chain.  Cases: a null or empty text scores as a text without features; repeated
 rows score each; rows with a null id score but never train; contradicting labels of an id count once
 each; without both kinds of labels every score is 0; other columns are not read.
 """
@@ -35,6 +35,7 @@ CHOSEN = 300
 PREFIXES = (3, 4, 5, 6, 7)
 CONTEXT = 2  # tokens beside one with a feature whose marginals count too
 WINDOW = 32  # tokens of a training sequence
+WINDOWS = 12_000  # training sequences at most
 
 _LOWER = np.array([ord(c) if len(c := chr(p).lower()) == 1 else p for p in range(0x3000)], np.uint32)
 _INNER = np.ones(0x80, bool)
@@ -201,7 +202,7 @@ def _boosted(present: list[np.ndarray], toxic: np.ndarray, n: int) -> list[int]:
     return chosen
 
 
-def _fit_chain(features: list[np.ndarray], labels: np.ndarray, n: int, rounds: int = 150, penalty: float = 0.02) -> tuple[np.ndarray, float, np.ndarray]:
+def _fit_chain(features: list[np.ndarray], labels: np.ndarray, n: int, rounds: int = 120, penalty: float = 0.02) -> tuple[np.ndarray, float, np.ndarray]:
     """Weights, bias and transitions by gradient ascent; features: token indexes of each; labels: sequences * WINDOW."""
     weights, bias, moves = np.zeros(n), -2.0, np.zeros((2, 2))
     squares = [np.full(n, 1e-8), 1e-8, np.full((2, 2), 1e-8)]
@@ -305,25 +306,26 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return Tagger(document=_fit_documents(np.zeros((len(seen), 3)), toxic, _importance(toxic, shares)), known=True)
     place = np.full(len(hashes), -1)
     place[picked] = np.arange(len(picked))
-    # Windows of tokens around the features, and as many elsewhere.
-    tokens_of, marks_of, row = [[] for _ in picked], [], 0
-    for r, bad in zip(seen, toxic.tolist()):
+    # Windows of tokens around the features, and as many elsewhere; WINDOWS of them, drawn evenly, train the chain.
+    kept, drawn = [], []
+    for i, r in enumerate(seen):
         at, found = np.array(r["tokens"], np.int64), place[np.array(r["found"], np.int64)]
-        at, found = at[found >= 0], found[found >= 0]
-        blocks = np.unique(at // WINDOW)
-        spare = [b for b in range(-(-r["n"] // WINDOW)) if b not in set(blocks.tolist())][: max(1, len(blocks))]
-        for b in [*blocks.tolist(), *spare]:
-            own = at // WINDOW == b
-            marks = np.zeros(WINDOW, int)
-            if bad:
-                marks[at[own] % WINDOW] = 1
-            for t, f in zip((at[own] % WINDOW).tolist(), found[own].tolist()):
-                tokens_of[f].append(row * WINDOW + t)
-            marks_of.append(marks)
-            row += 1
-        if row > 20 * SAMPLE:
-            break
-    weights, bias, moves = _fit_chain([np.array(t, np.int64) for t in tokens_of], np.array(marks_of), len(picked))
+        kept.append((at[found >= 0], found[found >= 0]))
+        blocks = np.unique(kept[-1][0] // WINDOW)
+        used = set(blocks.tolist())
+        spare = [b for b in range(-(-r["n"] // WINDOW)) if b not in used][: max(1, len(blocks))]
+        drawn += [(i, b) for b in [*blocks.tolist(), *spare]]
+    if len(drawn) > WINDOWS:
+        drawn = [drawn[k] for k in sorted(np.random.default_rng(0).choice(len(drawn), WINDOWS, replace=False).tolist())]
+    tokens_of, marks_of = [[] for _ in picked], np.zeros((len(drawn), WINDOW), int)
+    for row, (i, b) in enumerate(drawn):
+        at, found = kept[i]
+        own = at // WINDOW == b
+        if toxic[i]:
+            marks_of[row, at[own] % WINDOW] = 1
+        for t, f in zip((at[own] % WINDOW).tolist(), found[own].tolist()):
+            tokens_of[f].append(row * WINDOW + t)
+    weights, bias, moves = _fit_chain([np.array(t, np.int64) for t in tokens_of], marks_of, len(picked))
     tagger = Tagger(hashes[picked], weights, bias, moves)
 
     def summed(batches):
