@@ -137,3 +137,24 @@ def ris(title: Column, author: Column, journal: Column, year: Column) -> Column:
 def citation(author: Column, title: Column, journal: Column, volume: Column, issue: Column, year: Column, pages: Column) -> Column:
     """A citation in the Korean manner."""
     return F.concat(author, F.lit(", 「"), title, F.lit("」, 『"), journal, F.lit("』 "), F.concat_ws(" ", F.concat(volume, F.lit("권")), F.concat(issue, F.lit("호"))), F.lit(", "), year, F.lit(", "), pages, F.lit("쪽."))
+
+
+def keywords(xml: Column, name: str = "keyword") -> Column:
+    """Distinct keywords of a detail response, trimmed, in order."""
+    return F.array_distinct(F.filter(F.transform(tag(xml, name), lambda k: F.trim(k)), lambda k: k != ""))
+
+
+def read_state(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A state file (harvest position, misses, pending names); a missing or unreadable one is empty, not an error."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
+        return spark.createDataFrame([], schema)
+    corrupt = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
+    rows = spark.read.schema(corrupt).option("multiLine", "true").option("mode", "PERMISSIVE").json(path)
+    return rows.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+
+
+def volume_year(volume: Column, first_year: int = 1952) -> Column:
+    """The year of an annual volume, where a source gives none; volumes under 1 have none."""
+    n = volume.try_cast("int")
+    return F.when(n >= 1, n + (first_year - 1))

@@ -44,3 +44,17 @@ def test_pages(spark):
     assert [(i.id, i.volume, i.issue, i.year) for i in issues] == [("ab1", "3", "2", "2019"), ("cd2", "", "1", "")]
     articles = df.limit(1).select(pages.article_links(pages.links("html"), "/item/").alias("i")).first().i
     assert [a.text for a in articles] == ["An article"]
+
+
+def test_states_and_keywords(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("journals", T.ArrayType(T.StringType())), T.StructField("note", T.StringType())])
+    (tmp_path / "good.json").write_text('{"journals": ["a", "b"],\n "note": "x"}')
+    (tmp_path / "bad.json").write_text('{"journals": [')
+    assert [r.journals for r in records.read_state(spark, f"{tmp_path}/good.json", schema).collect()] == [["a", "b"]]
+    assert records.read_state(spark, f"{tmp_path}/bad.json", schema).count() == 0
+    assert records.read_state(spark, f"{tmp_path}/none.json", schema).count() == 0
+    row = spark.createDataFrame([("<r><keyword> a </keyword><keyword>b</keyword><keyword>a</keyword></r>", "3", "0")], "x string, v string, w string")
+    found = row.select(records.keywords(F.col("x")), records.volume_year(F.col("v")), records.volume_year(F.col("w"))).first()
+    assert list(found) == [["a", "b"], 1954, None]
