@@ -150,7 +150,7 @@ def read_state(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     if not hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop):
         return spark.createDataFrame([], schema)
     corrupt = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    rows = spark.read.schema(corrupt).option("multiLine", "true").option("mode", "PERMISSIVE").json(path)
+    rows = spark.read.text(path, wholetext=True).select(F.from_json("value", corrupt).alias("s")).select("s.*")
     return rows.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
 
 
