@@ -3,7 +3,7 @@
 Each rule looks at one measure of a document.  Votes of all documents are counted by pattern (at most
 3 ** rules of them); expectation-maximisation on the counts estimates how often good and bad documents
 get each vote from each rule, starting from and held near stated beliefs, and never turns a vote
-round.  A document is kept if its posterior probability of being good is at least 0.5 and the base
+round; how much a vote weighs is left to the estimates.  A document is kept if its posterior probability of being good is at least 0.5 and the base
 rules don't fail it.  All of it is DataFrame functions; the model that reaches the driver is
 3 * rules + 1 numbers.
 
@@ -32,8 +32,11 @@ BELIEFS = {
     "word_length": (0.004, 0.95, 0.15, 0.75),
     "vocabulary": (0.004, 0.85, 0.20, 0.70),
     "sentences": (0.010, 0.90, 0.20, 0.75),
+    "plain": (0.004, 0.95, 0.30, 0.65),
 }
 BAD_SHARE = 0.15
+_MARKS = r"\p{Pd}\p{Ps}\p{Pe}\p{Pi}\p{Pf}.,;:!?\u2026'\"\u3001\u3002\uFF0C\uFF01\uFF1F\uFF1A\uFF1B\u30FB"
+PLAIN = rf"\A[{_MARKS}]*+[\p{{L}}\p{{M}}][\p{{L}}\p{{M}}{_MARKS}]*+\z"  # a word of letters and the marks of sentences
 
 
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -56,6 +59,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ke
         (F.length("_text") - F.length(F.regexp_replace("_text", r"\p{Lu}", ""))).cast("long").alias("n_capitals"),
         without("!").cast("long").alias("n_exclamations"),
         without(".?").cast("long").alias("n_stops"),
+        F.size(F.filter("_words", lambda w: w.rlike(PLAIN))).cast("long").alias("n_plain"),
         windows.alias("_windows"),
     )
     three = two.withColumn("_twice", F.size(F.array_distinct("_windows")) < F.size("_windows"))
@@ -87,6 +91,7 @@ def votes() -> dict[str, Column]:
         "word_length": vote((mean < 2.5) | (mean > 14), (mean >= 3) & (mean <= 11)),
         "vocabulary": vote((F.col("n_words") >= 50) & (share("n_distinct") < 0.2), share("n_distinct") >= 0.35),
         "sentences": vote((F.col("n_words") >= 50) & (F.col("n_stops") == 0), (F.col("n_stops") > 0) & (share("n_stops") <= 0.3)),
+        "plain": vote(share("n_plain") < 0.7, share("n_plain") >= 0.85),
     }
 
 
@@ -104,7 +109,7 @@ def fitted(voted: DataFrame, rules: list[str]) -> tuple[list[float], float]:
     def ratio(g: Column, b: Column, i: Column) -> Column:
         raw = F.log(F.greatest(g, F.lit(1e-6)) / F.greatest(b, F.lit(1e-6)))
         kind = i % 3  # a bad vote never speaks for a document, a good one never against it
-        return F.when(kind == 0, F.least(F.greatest(raw, F.lit(-8.0)), F.lit(-4.5))).when(kind == 2, F.least(F.greatest(raw, F.lit(0.0)), F.lit(0.3))).otherwise(F.least(F.greatest(raw, F.lit(-0.5)), F.lit(0.2)))
+        return F.when(kind == 0, F.least(raw, F.lit(0.0))).when(kind == 2, F.greatest(raw, F.lit(0.0))).otherwise(raw)
 
     def step(state: Column, _: Column) -> Column:
         def add(sums: Column, p: Column) -> Column:

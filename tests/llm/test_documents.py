@@ -102,6 +102,25 @@ def test_quality_keeps_clean_and_drops_bad(spark, sf):
     assert kept.columns == [*docs.columns, "n_words"] and 0 < kept.count() < docs.count()
 
 
+def test_estimates_set_the_weight_of_a_vote(spark):
+    rules = list(quality.BELIEFS)
+    junk = {"symbols": -1, "capitals": -1, "plain": -1}
+    marks = [{}] * 900 + [junk] * 60 + [{**junk, "sentences": -1}] * 20 + [{"sentences": -1}] * 200  # sentences: as often among the good
+    voted = spark.createDataFrame([tuple(m.get(r, 1) for r in rules) for m in marks], ", ".join(f"{r} int" for r in rules))
+    logs, base = quality.fitted(voted, rules)
+    weight = lambda m: base + sum(logs[3 * i + 1 + m.get(r, 1)] for i, r in enumerate(rules))
+    assert logs[3 * rules.index("sentences")] > -2 and logs[3 * rules.index("symbols")] < -4.5
+    assert weight({"sentences": -1}) > 0 > weight(junk)
+
+
+def test_one_weak_bad_vote_keeps_a_document(spark):
+    r = random.Random(6)
+    clean = lambda: " ".join("".join(r.choice("abcdefghij") for _ in range(5)) for _ in range(80))
+    texts = [f"{clean()}. Fine?" for _ in range(60)] + [" ".join(w + r.choice(["$$$", "&&&", "###"]) for w in clean().split()) + "." for _ in range(8)] + [clean()] + ["\u65e5\u672c\u8a9e\u3001\u3067\u3059\u3002 " * 2 + clean() + "."]
+    found = {x.doc_id: x.kept for x in quality.judged(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [i for i, kept in found.items() if not kept] == list(range(60, 68))
+
+
 EMAIL, IP = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD, PHONE = re.compile(r"[0-9]([\x20-]?[0-9])+"), re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
