@@ -73,24 +73,48 @@ def scored(pairs: DataFrame, left_title: str, right_title: str, left_page: str |
     return kept.withColumn("score", F.col("sim") + F.col("_bonus")).drop("_bonus")
 
 
-def greedy_rounds(edges: DataFrame, left: str, right: str, score: str, most: int = 50) -> DataFrame:
+def greedy_rounds(edges: DataFrame, left: str, right: str, score: str) -> DataFrame:
     """One-to-one pairs as if edges were taken from the best down (ties: larger left, then larger right).
 
-    Each round takes the edges that are best at both ends; with a strict order this gives the sequential result.
+    Each round takes the edges that are best at both ends, at least one, until none is left; with a strict order
+    this gives the sequential result.  Groups that are tied each with each are paired by rank in one round.
     """
-    left_over, taken = edges.select(left, right, score), None
-    for _ in range(most):
+    left_over, taken, turn = edges.filter(F.col(left).isNotNull() & F.col(right).isNotNull()).groupBy(left, right).agg(F.max(score).alias(score)), None, 0
+    left_over = written(left_over, "edges")
+    while True:
         key = F.struct(score, left, right)
         by_left = left_over.groupBy(left).agg(F.max(key).alias("_b")).select(F.col("_b." + left), F.col("_b." + right))
         by_right = left_over.groupBy(right).agg(F.max(key).alias("_b")).select(F.col("_b." + left), F.col("_b." + right), F.col("_b." + score))
-        best = written(by_left.join(by_right, [left, right]), "greedy")
+        one = by_left.join(by_right, [left, right]).select(left, right, score)
+        best = written(one.union(_tied_pairs(left_over, left, right, score)).distinct(), "greedy")
         if best.isEmpty():
             break
-        taken = best if taken is None else taken.unionByName(best)
+        taken, turn = best if taken is None else taken.unionByName(best), turn + 1
+        if turn % 20 == 0:
+            taken = written(taken, "taken")
         left_over = written(left_over.join(best.select(left), left, "left_anti").join(best.select(right), right, "left_anti"), "edges")
     return (taken if taken is not None else left_over).select(left, right, score)
 
 
+def _tied_pairs(edges: DataFrame, left: str, right: str, score: str) -> DataFrame:
+    """Pairs by descending rank of groups in which all lefts have the same best score with all rights, and the other way round.
+
+    No better edge touches such a group, so taking edges in order pairs its first left with its first right, and so on.
+    A left's rights are told by their number and two hashes; a group is whole if it has all its edges.
+    """
+
+    def top(end: str, other: str, p: str) -> DataFrame:
+        most = edges.groupBy(end).agg(F.max(score).alias("_m"))
+        at = edges.join(most, end).filter(F.col(score) == F.col("_m"))
+        return at.groupBy(end).agg(F.max(score).alias(f"_{p}m"), F.count(F.lit(1)).alias(f"_{p}n"), F.bit_xor(F.xxhash64(other)).alias(f"_{p}x"), F.bit_xor(F.xxhash64(F.lit(1), F.col(other))).alias(f"_{p}y"))
+
+    group = ["_ln", "_lx", "_ly", "_rn", "_rx", "_ry", score]
+    both = edges.join(top(left, right, "l"), left).join(top(right, left, "r"), right).filter((F.col(score) == F.col("_lm")) & (F.col(score) == F.col("_rm")) & (F.col("_ln") * F.col("_rn") > 1))
+    whole = both.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") == F.col("_ln") * F.col("_rn")).drop("_n")
+    rank = lambda end: both.select(*group, end).distinct().join(whole, group).withColumn("_rank", F.row_number().over(Window.partitionBy(*group).orderBy(F.desc(end))))
+    return rank(left).join(rank(right), [*group, "_rank"]).select(left, right, score)
+
+
 def greedy_blocks(edges: DataFrame, block: str, left: str, right: str, score: str) -> DataFrame:
     """The same within blocks that fit one task each (an issue of a journal)."""
 

@@ -28,6 +28,12 @@ def test_greedy_rounds_equal_the_sequential_result(spark, edges):
     assert rows(linkage.greedy_rounds(df, "l", "r", "s")) == greedy(edges)
 
 
+def test_greedy_rounds_pair_large_groups_of_equal_scores(spark):
+    edges = [(x, y, 1.0) for x in range(80) for y in range(70)] + [(200 + x, 200 + y, 0.5) for x in range(3) for y in range(4) if x + y] + [(79, 200, 0.7), (0, 201, 0.9)]
+    df = spark.createDataFrame(edges, "l int, r int, s double")
+    assert rows(linkage.greedy_rounds(df, "l", "r", "s")) == greedy(edges)
+
+
 def test_greedy_blocks(spark):
     random.seed(1)
     edges = [(b, x, y, random.choice([0.5, 0.7])) for b in range(3) for x in range(4) for y in range(4)]
