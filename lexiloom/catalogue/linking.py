@@ -114,7 +114,7 @@ def _page_titles(t):
 @query()
 def q_residual_match(t):
     d = _page_titles(t)
-    pairs = linkage.residual_pairs(d.filter("secure"), d.filter("not secure"), "key").filter("l_journal = r_journal")
+    pairs = linkage.residual_pairs(d.filter("secure"), d.filter("not secure"), "key", block=["journal"]).filter("l_journal = r_journal")
     return linkage.scored(pairs, "l_key", "r_key").filter("sim >= 0.9").select(F.col("l_page_id").alias("a_key"), F.col("r_page_id").alias("b_key"), F.round("sim", 6).alias("sim"))
 
 

@@ -134,28 +134,39 @@ def best_match(pairs: DataFrame, right_id: str, left_id: str, score: str, least:
     return pairs.filter(F.col(score) >= least).withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
-def residual_pairs(left: DataFrame, right: DataFrame, title: str, least: int = 8, gram: int = 3) -> DataFrame:
-    """Pairs of leftovers that may reach a similarity of 0.9; columns get l_ and r_.
-
-    Where one title is all but the same as the other, or as a stretch of it, at most a tenth of the shorter one's
-    characters differ, which touches under a third of its runs of three.  So its rarest third (0.35 and one more) holds
-    one that the other has: each side's rarest runs are joined with all runs of the other, and pairs
-    that don't share enough runs go before the costly comparison.
+def residual_pairs(left: DataFrame, right: DataFrame, title: str, least: int = 8, gram: int = 3, block: list[str] = ()) -> DataFrame:
+    """Pairs of leftovers (of one block, if given) that may reach a similarity of 0.9; columns get l_ and r_.
+
+    A similarity of 0.9 is a ratio of 0.9 or a common stretch of 0.9 / 0.95 of the shorter title.  For the ratio, at most a
+    tenth of both lengths together stays unmatched; each unmatched character of the shorter title (s) breaks up to ``gram``
+    of its runs, each one between matched characters up to gram - 1.  For runs of three that is half its length at most,
+    so at least two runs are left from eight characters on, and its rarest runs, half its length and one more, hold one that the other
+    title has.  These are joined with all runs of titles that are as long or longer; pairs that share fewer runs than their
+    lengths allow go before the costly comparison.
     """
     grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - gram + 1), lambda i: F.substring(c, i, F.lit(gram))))
-    a = left.filter(F.length(title) >= least).select(*[F.col(c).alias(f"l_{c}") for c in left.columns], grams(F.col(title)).alias("_ga"), F.monotonically_increasing_id().alias("_ia"))
-    b = right.filter(F.length(title) >= least).select(*[F.col(c).alias(f"r_{c}") for c in right.columns], grams(F.col(title)).alias("_gb"), F.monotonically_increasing_id().alias("_ib"))
+    a = left.filter(F.length(title) >= least).select(*[F.col(c).alias(f"l_{c}") for c in left.columns], grams(F.col(title)).alias("_ga"), F.length(title).alias("_la"), F.monotonically_increasing_id().alias("_ia"))
+    b = right.filter(F.length(title) >= least).select(*[F.col(c).alias(f"r_{c}") for c in right.columns], grams(F.col(title)).alias("_gb"), F.length(title).alias("_lb"), F.monotonically_increasing_id().alias("_ib"))
     a, b = written(a, "left"), written(b, "right")
-    every_a, every_b = a.select("_ia", F.size("_ga").alias("_n"), F.explode("_ga").alias("_gram")), b.select("_ib", F.size("_gb").alias("_n"), F.explode("_gb").alias("_gram"))
+    blocks = [f"_block{i}" for i in range(len(block))]
+    every_a = a.select("_ia", "_la", *[F.col(f"l_{c}").alias(k) for c, k in zip(block, blocks)], F.explode("_ga").alias("_gram"))
+    every_b = b.select("_ib", "_lb", *[F.col(f"r_{c}").alias(k) for c, k in zip(block, blocks)], F.explode("_gb").alias("_gram"))
     counts = every_a.select("_gram").union(every_b.select("_gram")).groupBy("_gram").count()
 
-    def rarest(every: DataFrame, key: str) -> DataFrame:
+    def rarest(every: DataFrame, key: str, length: str) -> DataFrame:
         place = F.row_number().over(Window.partitionBy(key).orderBy("count", "_gram"))
-        return every.join(counts, "_gram").withColumn("_place", place).filter(F.col("_place") <= F.ceil(F.col("_n") * 0.35) + 1).select(key, "_gram")
-
-    met = rarest(every_a, "_ia").join(every_b, "_gram").select("_ia", "_ib").union(rarest(every_b, "_ib").join(every_a, "_gram").select("_ia", "_ib")).distinct()
-    shared = F.size(F.array_intersect("_ga", "_gb")) >= F.least(F.size("_ga"), F.size("_gb")) * 0.65
-    return met.join(a, "_ia").join(b, "_ib").filter(shared).drop("_ga", "_gb", "_ia", "_ib")
+        return every.join(counts, "_gram").withColumn("_place", place).filter(F.col("_place") <= F.floor(F.col(length) / 2) + 1).drop("_place", "count")
+
+    on = ["_gram", *blocks]
+    met = rarest(every_a, "_ia", "_la").join(every_b, on).filter("_la <= _lb").select("_ia", "_ib")
+    met = met.union(rarest(every_b, "_ib", "_lb").join(every_a, on).filter("_lb <= _la").select("_ia", "_ib")).distinct()
+    short, long = F.least("_la", "_lb"), F.greatest("_la", "_lb")
+    unmatched = F.floor((short + long) / 10)
+    own = F.floor((unmatched - (long - short)) / 2)  # unmatched characters of the shorter title, at most
+    broken = F.greatest(F.when(own >= 0, gram * own + (gram - 1) * (own + long - short)).otherwise(0), F.floor(short / 18))
+    size = F.when(F.col("_la") <= F.col("_lb"), F.size("_ga")).otherwise(F.size("_gb"))
+    shared = F.size(F.array_intersect("_ga", "_gb")) >= F.greatest(size - broken, F.lit(1))
+    return met.join(a, "_ia").join(b, "_ib").filter(shared).drop("_ga", "_gb", "_la", "_lb", "_ia", "_ib")
 
 
 def best_overlap(candidates: DataFrame, known: DataFrame, group: str, other: str, key: str, least_rows: int = 3) -> DataFrame:

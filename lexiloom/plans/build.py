@@ -48,7 +48,7 @@ def link(left: DataFrame, right: DataFrame, reading: dict[str, str] | None = Non
     wide = lambda df, p: df.select(*[F.col(c).alias(p + c) for c in df.columns])
     subset = inside.join(wide(x, "l_"), "l_id").join(wide(y, "r_"), "r_id").filter((F.col("l_journal") == F.col("r_journal")) & (F.abs(F.col("l_year") - F.col("r_year")) <= 1))
     done = written(done.union(settled(subset, "subset")), "links")
-    rest = linkage.residual_pairs(free(a, "left_id"), free(b, "right_id"), "key").filter((F.col("l_journal") == F.col("r_journal")) & (F.abs(F.col("l_year") - F.col("r_year")) <= 1))
+    rest = linkage.residual_pairs(free(a, "left_id"), free(b, "right_id"), "key", block=["journal"]).filter((F.col("l_journal") == F.col("r_journal")) & (F.abs(F.col("l_year") - F.col("r_year")) <= 1))
     return written(done.union(settled(rest, "residual", 0.9)), "links")
 
 

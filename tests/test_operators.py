@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from lexiloom.functions.linguistic import title_similarity
 from lexiloom.operators import dedupe, feed, linkage, merge, summary
 
 
@@ -42,6 +43,33 @@ def test_greedy_blocks(spark):
     assert [f[1:] for f in found if f[0] == 1] == greedy([e[1:] for e in edges if e[0] == 1])
 
 
+def test_residual_pairs_keep_every_similar_pair(spark):
+    r = random.Random(3)
+
+    def changed(t):
+        t = list(t)
+        for _ in range(r.randint(1, 3)):
+            i = r.randrange(len(t) - 1)
+            kind = r.randrange(4)
+            if kind == 0:
+                t[i] = r.choice("abcdefgh")
+            elif kind == 1:
+                t[i], t[i + 1] = t[i + 1], t[i]
+            elif kind == 2:
+                t.insert(i, r.choice("abcdefgh"))
+            else:
+                del t[i]
+        return "".join(t)
+
+    titles = ["".join(r.choice(letters) for _ in range(n)) for n in (8, 9, 10, 11, 12, 14, 20, 30, 41) for letters in ["abcdefgh"] * 8 + ["ab"]]
+    others = [changed(t) for t in titles for _ in range(4)] + [t[:-1] for t in titles] + [t + "x" * 9 for t in titles]
+    a, b = (spark.createDataFrame(list(enumerate(x)), "id int, key string") for x in (titles, others))
+    found = {(p.l_id, p.r_id) for p in linkage.residual_pairs(a, b, "key").collect()}
+    found_back = {(p.r_id, p.l_id) for p in linkage.residual_pairs(b, a, "key").collect()}
+    wanted = {(i, j) for i, x in enumerate(titles) for j, y in enumerate(others) if len(y) >= 8 and title_similarity(x, y) >= 0.9}
+    assert len(wanted) > 150 and wanted <= found and wanted <= found_back
+
+
 def test_known_id_join_claims_once(spark):
     left = spark.createDataFrame([(1, "k1", "d", 0), (2, "k1", "e", 1)], "l int, k string, d string, pos int")
     right = spark.createDataFrame([(10, "k1", None, 0), (11, None, "e", 1), (12, None, "d", 2)], "r int, rk string, rd string, pos int")
