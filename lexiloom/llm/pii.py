@@ -1,7 +1,8 @@
 """Personal data by fixed forms and bootstrapped contextual extraction.
 
-Base forms (e-mail, ip, card, phone) are matched exactly.  Every identifier-like token is an instance, and a
-seed if it is a valid e-mail address, ip or card number.  Instances and the lexical
+Base forms (e-mail, ip, card, phone) are matched exactly.  Every match of a form and every identifier-like token
+(of six characters or more, with a digit or one of ``@._%+`` within; words of letters and hyphens alone are none) is an instance, and a
+seed if it is valid as one of the four kinds.  Instances and the lexical
 patterns around them (the words to the left, the next word, the token's shape) form a graph:
 a pattern's confidence for a kind is the share of its distinct instances' scores, and an instance
 that isn't a seed scores the best of its patterns.  After some rounds, instances that only
@@ -25,14 +26,13 @@ from pyspark.sql.window import Window
 from ..session import written
 
 KINDS = ("email", "ip", "card", "phone")
-SEEDED = ("email", "ip", "card")
 FORMS = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?=(?:[\x20-]?[0-9]){15})(?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-TOKEN = r"(?<![A-Za-z0-9@._%+-])(?=[A-Za-z@._%+-]*+[0-9])[A-Za-z0-9][A-Za-z0-9@._%+-]{4,}[A-Za-z0-9]"
+TOKEN = r"(?<![A-Za-z0-9@._%+-])(?=[A-Za-z-]*+[0-9]|[A-Za-z-]++[@._%+][@._%+-]*+[A-Za-z0-9])[A-Za-z0-9][A-Za-z0-9@._%+-]{4,}[A-Za-z0-9]"
 NEEDS = {"email": "@", "ip": ".", "phone": "+"}  # a text without this has no match
 ROUNDS, CONFIDENT, SUPPORT = 3, 0.8, 5
 _PART = r"0*(?:[0-9]|[1-9][0-9]|1[0-9][0-9]|2[0-4][0-9]|25[0-5])"
@@ -99,43 +99,46 @@ def patterns() -> Column:
     return F.filter(made, lambda p: p.isNotNull())
 
 
-def scored(tokens: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """instance, kind of each distinct token (rows of match, left, right) that isn't a seed but belongs to a kind."""
-    edges = written(tokens.select(F.explode(patterns()).alias("pattern"), F.col("match").alias("instance")).distinct(), "edges")
-    match = F.col("instance")
+def scored(matches: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """instance, kind of each distinct match (rows of kind, match, left, right) that isn't a seed but belongs to a kind."""
+    match = F.col("match")
     seeds = {
         "email": match.rlike(r"\A" + r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++\z"),
         "ip": valid(F.lit("ip"), match),
         "card": match.rlike(r"\A[0-9]{16,19}\z") & _luhn(match),
     }
-    seed = F.coalesce(*[F.when(c, F.lit(k)) for k, c in seeds.items()])
-    instances = written(edges.select("instance").distinct().withColumn("seed", seed), "instances")
-    known = instances.select(F.col("instance").alias("own"), *[F.when(F.col("seed") == k, 1.0).otherwise(0.0).alias(k) for k in SEEDED], F.col("seed"))
+    place = lambda c: F.coalesce(*[F.when(c(k), F.lit(i)) for i, k in enumerate(KINDS)])
+    own = place(lambda k: seeds.get(k, F.lit(False)))
+    seed = F.when(F.col("kind") == "token", own).when(valid(F.col("kind"), match), place(lambda k: F.col("kind") == k))
+    rows = written(matches.select(F.explode(patterns()).alias("pattern"), match.alias("instance"), seed.alias("seed")).distinct(), "rows")
+    edges = written(rows.select("pattern", "instance").distinct(), "edges")
+    instances = written(rows.groupBy("instance").agg(F.min("seed").alias("_s")).select("instance", F.get(F.array(*map(F.lit, KINDS)), F.col("_s")).alias("seed")), "instances")
+    known = instances.select(F.col("instance").alias("own"), *[F.when(F.col("seed") == k, 1.0).otherwise(0.0).alias(k) for k in KINDS], F.col("seed"))
     support = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= SUPPORT).select(F.col("pattern").alias("wide"))
     strong = written(edges.join(support, F.col("pattern") == F.col("wide")).select("pattern", "instance"), "strong")
     for _ in range(rounds):
-        sums = strong.join(known, F.col("instance") == F.col("own")).groupBy("pattern").agg(*[(F.sum(k) / (F.count(F.lit(1)) + 1)).alias(f"p_{k}") for k in SEEDED])
-        sums = written(sums.withColumnRenamed("pattern", "of").filter(F.greatest(*[F.col(f"p_{k}") for k in SEEDED]) >= 0.5), "patterns")
-        best = strong.join(sums, F.col("pattern") == F.col("of")).groupBy("instance").agg(*[F.max(f"p_{k}").alias(f"p_{k}") for k in SEEDED]).withColumnRenamed("instance", "member")
+        sums = strong.join(known, F.col("instance") == F.col("own")).groupBy("pattern").agg(*[(F.sum(k) / (F.count(F.lit(1)) + 1)).alias(f"p_{k}") for k in KINDS])
+        sums = written(sums.withColumnRenamed("pattern", "of").filter(F.greatest(*[F.col(f"p_{k}") for k in KINDS]) >= 0.5), "patterns")
+        best = strong.join(sums, F.col("pattern") == F.col("of")).groupBy("instance").agg(*[F.max(f"p_{k}").alias(f"p_{k}") for k in KINDS]).withColumnRenamed("instance", "member")
         joined = instances.join(best, F.col("instance") == F.col("member"), "left")
         value = lambda k: F.when(F.col("seed") == k, 1.0).when(F.col("seed").isNotNull(), 0.0).otherwise(F.coalesce(f"p_{k}", F.lit(0.0)))
-        known = written(joined.select(F.col("instance").alias("own"), *[value(k).alias(k) for k in SEEDED], "seed"), "scores")
-    top = F.greatest(*SEEDED)
-    kind = F.coalesce(*[F.when(F.col(k) == top, F.lit(k)) for k in SEEDED])
+        known = written(joined.select(F.col("instance").alias("own"), *[value(k).alias(k) for k in KINDS], "seed"), "scores")
+    top = F.greatest(*KINDS)
+    kind = F.coalesce(*[F.when(F.col(k) == top, F.lit(k)) for k in KINDS])
     return known.filter(F.col("seed").isNull() & (top >= CONFIDENT)).select(F.col("own").alias("instance"), kind.alias("found"))
 
 
 def spans(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text_col: str = "text") -> DataFrame:
     """_row, keep..., base and more: arrays of (rank, start, end), rank the place of the kind in KINDS; more has the found ones."""
     matches = written(occurrences(docs, keep, text_col), "occurrences")
-    found = scored(matches.filter("kind = 'token'").select("match", "left", "right"))
+    found = scored(matches.filter("match is not null").select("kind", "match", "left", "right"))
     rank = F.coalesce(*[F.when(F.col("kind") == k, F.lit(i)) for i, k in enumerate(KINDS)])
     own = F.coalesce(*[F.when(F.col("found") == k, F.lit(i)) for i, k in enumerate(KINDS)])
     ok = valid(F.col("kind"), F.col("match"))
-    placed = matches.join(found, (F.col("kind") == "token") & (F.col("match") == F.col("instance")), "left")
+    placed = matches.join(found, ~ok & (F.col("match") == F.col("instance")), "left")
     base = F.when(ok, F.struct(rank.alias("rank"), F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end")))
     more = F.when(F.col("found").isNotNull(), F.struct(own.alias("rank"), F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end")))
-    return placed.select("_row", *keep, base.alias("base"), more.alias("more")).groupBy("_row", *keep).agg(F.sort_array(F.collect_list("base")).alias("base"), F.sort_array(F.collect_list("more")).alias("more"))
+    return placed.select("_row", *keep, base.alias("base"), more.alias("more")).groupBy("_row", *keep).agg(F.sort_array(F.collect_list("base")).alias("base"), F.array_distinct(F.sort_array(F.collect_list("more"))).alias("more"))
 
 
 def _said(items: Column, prefix: str = "") -> Column:
@@ -149,8 +152,9 @@ def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     of_kind = lambda i: F.size(F.filter("base", lambda s: s["rank"] == i)).cast("long")
     counts = [of_kind(i).alias(f"n_{k}") for i, k in enumerate(KINDS)]
     base = _said(F.col("base"))
-    # A found token inside a base span says nothing new.
+    # A found instance that meets a base span, or lies inside another found one, says nothing new.
     fresh = F.filter("more", lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
+    fresh = F.filter(fresh, lambda m: ~F.exists("more", lambda b: (b["start"] <= m["start"]) & (m["end"] <= b["end"]) & (b["end"] - b["start"] > m["end"] - m["start"])))
     more = _said(fresh, "ctx_")
     return rows.select("doc_id", *counts, F.sha2(F.array_join(base, ",").cast("binary"), 256).alias("base_sha256"), F.array_join(F.concat(base, more), ",").alias("spans"), F.size(fresh).cast("long").alias("n_found"))
 

@@ -161,6 +161,17 @@ def test_context_finds_unseen_identifiers(spark):
     assert found[91].spans == ""
 
 
+def test_context_is_learnt_from_all_forms_of_seeds(spark):
+    names = ["anna.lee", "bob.ray", "cy.moor", "dan.fox", "eve.hill", "flo.park", "guy.wood", "hal.reed", "ida.lane"]
+    cards = ["4111 1111 1111 1111", "5500 0055 5555 5559", "4012 8888 8888 1881", "5105-1051-0510-5100", "6011-1111-1111-1117", "4222 2222 2222 2220", "5555-5555-5555-4444", "4000 0566 5566 5556", "2223 0031 2200 3222"]
+    texts = [f"please mail {n}@example.com today" for n in names] + [f"card no {c} paid" for c in cards] + [f"ring up +1 202 555 01{i}7 later" for i in range(9)]
+    odd = ["please mail jo.smith@localhost today", "card no 4111 1111 1111 1112 paid", "ring up 202-555-0199 later", "a well-known sentence.Another one"]
+    df = spark.createDataFrame(list(enumerate(texts + odd)), "doc_id long, text string")
+    found = {r.doc_id: r for r in pii.found(df).collect()}
+    assert [found[len(texts) + i].spans for i in range(4)] == ["ctx_email:12:30", "ctx_card:8:27", "ctx_phone:8:20", ""]
+    assert all(found[i].n_found == 0 for i in range(len(texts)))
+
+
 def test_masking(spark):
     df = spark.createDataFrame([(1, "to a@b.cc, or 1.2.3.4!", 5), (2, None, 6), (3, "plain é", 7), (3, "plain é", 7)], "doc_id long, text string, base int")
     assert sorted(tuple(map(str, r)) for r in pii.redacted(df).collect()) == [("1", "to <EMAIL>, or <IP>!", "5"), ("2", "None", "6"), ("3", "plain é", "7"), ("3", "plain é", "7")]
