@@ -1,180 +1,370 @@
-"""Byte-level BPE by a global shuffle of distinct words, and decoding by the token-byte table.
-
-Encoding runs in three steps.  Each task cuts its texts into pre-tokens and sends on each
-of its distinct words once, with the task's number: occurrences are aggregated before
-the shuffle, as a word like " the" would otherwise be a third of all rows, and positions stay
-with the text, where they are already in order.  The words are dealt out by their bytes;
-whoever gets a word has it encoded once and attaches the ids to each task that asked.  The answers
-go back by task, into one dictionary file each, and each task, reading its texts again, puts the
-ids in the place of the words, position by position.  A word that a dictionary lacks (the input was split
-otherwise the second time) is encoded on the spot, so results don't depend on the split.
-
-Decoding joins each id with the bytes of the token (a table bounded by the vocabulary).
-
-Cases: a null text is empty and has no ids; repeated rows are encoded each; null ids are kept; an empty
-table gives no rows; other columns are not read; unknown token ids raise an error in decoding.
+"""Byte-level BPE by a global shuffle of distinct words, and decoding by a join with the token-byte table.
+
+Encoding explodes texts into pre-tokens with their positions.  Occurrences are aggregated before
+the shuffle: documents are taken in blocks of ``BLOCK_CHARS`` code points, and each distinct word of a
+block is one row with all its positions there, so a word like " the" is one row a block and not a third of
+all rows.  Rows are dealt out by word; where all rows of a word meet it is encoded once and its ids join
+each of them.  A word that fills more than one in ``OFTEN`` positions of a block is also dealt by the
+block, into ``SALTS`` parts, each of which encodes it.  The rows then go back to their blocks,
+where positions put the ids in order.  Ids come from nowhere else: a word that doesn't return is an error.
+
+Decoding explodes ids likewise, into each distinct token of a group of rows with its positions there, joins
+the table of token bytes (broadcast: one row a token, so bounded by the vocabulary) and reassembles by position.
+
+Blocks are cut from rows in an order of their own (by id and text within a partition), so that
+a task run again after a lost executor cuts the same ones.  Positions and ids travel as bytes of
+seven bits each, the first lowest, the last of a number marked by a clear eighth bit.
+
+Cases: a null text is empty and has no ids; repeated rows are encoded each; null ids are kept; very long
+texts are a block of their own; an empty table gives no rows; other columns are not read; unknown
+token ids raise an error in decoding.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-import pyarrow.dataset as ds
-import pyarrow.fs as pafs
-from pyspark.sql import DataFrame
+import pyarrow.compute  # noqa: F401
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import work_folder
-from .textscan import Ragged, WordCodes, ranges, rank_codes, read_ranks, text_slices
+from .textscan import WordCodes, ranges, rank_codes, read_ranks, text_slices
 from .tokenizing import id_type
 
-
-def task_words(docs: DataFrame, path: str, pattern: str, text_col: str = "text") -> DataFrame:
-    """chunk (the task's number), word: each distinct pre-token of a task once (again if it has very many)."""
-
-    def words(batches):
+BLOCK_CHARS = 16_000_000
+GROUP_IDS = 2_000_000  # ids that are decoded together, or one row's if it has more
+OFTEN, SALTS = 2_000, 64
+ROWS = 20_000  # of a record batch
+
+
+def to_varints(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of non-negative numbers and how many each takes."""
+    values = values.astype(np.uint64, copy=False)
+    widths = np.ones(len(values), np.int64)
+    top = int(values.max()) if len(values) else 0
+    for k in range(1, 10):
+        if top >> 7 * k:
+            widths += values >> np.uint64(7 * k) > 0
+    starts = np.cumsum(widths) - widths
+    out = np.zeros(int(widths.sum()), np.uint8)
+    for k in range(int(widths.max()) if len(widths) else 0):
+        has = np.flatnonzero(widths > k)
+        part = (values[has] >> np.uint64(7 * k) & np.uint64(0x7F)).astype(np.uint8)
+        out[starts[has] + k] = part | ((widths[has] > k + 1).astype(np.uint8) << 7)
+    return out, widths
+
+
+def from_varints(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers again, and the place after each one's last byte."""
+    ends = np.flatnonzero(raw < 0x80) + 1
+    starts = np.append(0, ends[:-1])[: len(ends)]
+    widths = ends - starts
+    out = (raw[starts] & 0x7F).astype(np.int64)
+    for k in range(1, int(widths.max()) if len(widths) else 0):
+        has = np.flatnonzero(widths > k)
+        out[has] |= (raw[starts[has] + k] & 0x7F).astype(np.int64) << 7 * k
+    return out, ends
+
+
+def _binary(raw: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(raw))]).cast(pa.binary())
+
+
+def _raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary column without nulls, and the bounds of each row."""
+    _, offsets, data = column.buffers()
+    bounds = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    raw = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]] if data is not None else np.zeros(0, np.uint8)
+    return raw, bounds - bounds[0]
+
+
+def _positions(numbers: np.ndarray, n: int) -> tuple[pa.Array, np.ndarray]:
+    """For each of the numbers 0 to n - 1, all of which occur: its positions as varints of steps, and how many there are."""
+    order = np.argsort(numbers, kind="stable")
+    counts = np.bincount(numbers, minlength=n)
+    first = np.cumsum(counts) - counts
+    steps = np.diff(order, prepend=0)
+    steps[first] = order[first]
+    raw, widths = to_varints(steps)
+    return _binary(raw, np.append(0, np.cumsum(np.add.reduceat(widths, first) if n else np.zeros(0, np.int64)))), counts
+
+
+def _scattered(at: pa.Array, total: int) -> np.ndarray:
+    """Which row each of ``total`` positions belongs to; an error if that isn't one row each."""
+    raw, bounds = _raw(at)
+    steps, ends = from_varints(raw)
+    counts = np.diff(np.searchsorted(ends, bounds, "right"))
+    if len(steps) != total:
+        raise ValueError(f"{total} positions wait for words, {len(steps)} came")
+    first = np.cumsum(counts) - counts
+    sums = np.cumsum(steps)
+    places = sums - np.repeat((sums - steps)[first], counts) if total else steps
+    rows = np.full(total, -1, np.int64)
+    rows[places] = np.repeat(np.arange(len(counts)), counts)
+    if total and rows.min() < 0:
+        raise ValueError("some positions have no word")
+    return rows
+
+
+def _sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for at in range(0, batch.num_rows, ROWS):
+        yield batch.slice(at, ROWS)
+
+
+class _Block:
+    """Documents that are cut into words together."""
+
+    def __init__(self, pre, number: int):
+        self.number, self.chars = number, 0
+        self.words = WordCodes(pre, lambda found: [[]] * len(found), limit=1 << 62)
+        self.keys, self.counts, self.sequence = [], [], []
+
+    def add(self, keys: pa.Array, piece) -> None:
+        self.chars += len(piece.points)
+        self.keys.append(keys)
+        if not len(piece.points):
+            self.counts.append(np.zeros(len(piece), np.int64))
+            return
+        rows, inverse, docs = self.words.distinct(piece)
+        self.sequence.append(rows[inverse].astype(np.int32))
+        self.counts.append(np.bincount(docs, minlength=len(piece)))
+
+    def rows(self, names: list[str], often: int) -> Iterator[pa.RecordBatch]:
+        if not self.keys:
+            return
+        store, n = self.words.bytes, self.words.bytes.rows
+        numbers = np.concatenate(self.sequence) if self.sequence else np.zeros(0, np.int32)
+        at, counts = _positions(numbers, n)
+        word = _binary(store.flat[: store.at[n]], store.at[: n + 1]).cast(pa.string())
+        salt = np.where(counts * often > len(numbers), 1 + self.number % SALTS, 0)
+        keys = pa.chunked_array(self.keys).combine_chunks()
+        none = lambda kind, k=n: pa.nulls(k, kind)
+        block = lambda k: pa.array(np.full(k, self.number, np.int64))
+        yield from _sliced(pa.RecordBatch.from_arrays([block(n), pa.array(salt, pa.int32()), word, at, none(pa.int64()), none(keys.type), none(pa.int64())], names))
+        k = len(keys)
+        place = np.arange(k)
+        yield from _sliced(pa.RecordBatch.from_arrays([block(k), pa.array(place % SALTS, pa.int32()), none(pa.string(), k), none(pa.binary(), k), pa.array(place), keys, pa.array(np.concatenate(self.counts), pa.int64())], names))
+
+
+def exploded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS, often: int = OFTEN) -> DataFrame:
+    """block, salt, word, at for each distinct word of a block, at its positions; and block, place, id, n for each document, n its words."""
+    names = ["block", "salt", "word", "at", "place", "id", "n"]
+
+    def cut(batches):
         from pyspark import TaskContext
 
-        chunk = TaskContext.get().partitionId()
-        codes = WordCodes(rank_codes(path, pattern).pre, lambda found: [[]] * len(found))
+        number, pre = TaskContext.get().partitionId() << 32, rank_codes(path, pattern).pre
+        block = _Block(pre, number)
         for batch in batches:
-            for piece in text_slices(batch.column(0)):
-                if not len(piece.points):
-                    continue
-                told = codes.ids.rows
-                codes.distinct(piece)
-                told = told if codes.ids.rows >= told else 0  # it started anew
-                store, n = codes.bytes, codes.bytes.rows - told
-                if n:
-                    ends = store.at[told : store.rows + 1] - store.at[told]
-                    raw = store.flat[store.at[told] : store.at[store.rows]].tobytes()
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, chunk, np.int32)), pa.StringArray.from_buffers(n, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(raw))], ["chunk", "word"])
+            for piece in text_slices(batch.column(1)):
+                block.add(batch.column(0).slice(piece.first, len(piece)), piece)
+                if block.chars >= block_chars:
+                    yield from block.rows(names, often)
+                    number += 1
+                    block = _Block(pre, number)
+        yield from block.rows(names, often)
 
-    return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(words, "chunk int, word string")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).sortWithinPartitions("id", F.xxhash64("text"), "text")
+    return rows.mapInArrow(cut, f"block long, salt int, word string, at binary, place long, id {id_type(docs, id_col)}, n long")
 
 
-def coded_words(words: DataFrame, path: str, pattern: str) -> DataFrame:
-    """Adds ``ids`` (little-endian uint32) to (chunk, word); a word is encoded once, where all its rows meet."""
+def coded_words(rows: DataFrame, path: str, pattern: str) -> DataFrame:
+    """Rows of ``exploded`` with ``ids`` (varints) in the place of the word, which is encoded once where its rows meet."""
+    names = [c for c in rows.columns if c not in ("salt", "word")]
 
     def code(batches):
-        codes = rank_codes(path, pattern)
+        library = rank_codes(path, pattern)
+        codes = WordCodes(library.pre, library.encode)  # of this task alone: others have other words
         for batch in batches:
-            distinct = pc.dictionary_encode(batch.column(1))
-            column = _coded(codes, distinct.dictionary)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), column.take(distinct.indices)], ["chunk", "word", "ids"])
+            word = batch.column("word")
+            distinct = word.dictionary_encode()
+            ids = _coded(codes, distinct.dictionary).take(distinct.indices)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), ids], [*names, "ids"])
 
-    return words.repartition("word").mapInArrow(code, "chunk int, word string, ids binary")
+    schema = ", ".join(f"{c} {id_type(rows, c)}" for c in names)
+    return rows.repartition("word", "salt").mapInArrow(code, f"{schema}, ids binary")
 
 
 def _coded(codes: WordCodes, words: pa.Array) -> pa.Array:
+    """Ids as varints of distinct words."""
     from .textscan import span_hashes
 
-    parts = []
+    parts = [pa.array([], pa.binary())]
     for piece in text_slices(words):
         hashes, order = np.unique(span_hashes(piece.points, piece.bounds[:-1], piece.bounds[1:]), return_index=True)
         rows = np.empty(len(piece), np.int64)
-        found = codes.numbers(hashes, piece.data, piece.byte_bounds[order], piece.byte_bounds[order + 1])
         if len(order) < len(piece):  # two words of one hash: each for itself
             for i in range(len(piece)):
                 own = span_hashes(piece.points, piece.bounds[i : i + 1], piece.bounds[i + 1 : i + 2])
                 rows[i] = codes.numbers(own, piece.data, piece.byte_bounds[i : i + 1], piece.byte_bounds[i + 1 : i + 2])[0]
         else:
-            rows[order] = found
-        ends = np.append(0, np.cumsum(codes.ids.lengths(rows))) * 4
-        parts.append(pa.BinaryArray.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(codes.ids.gather(rows).astype("<u4"))]))
-    return pa.concat_arrays(parts) if parts else pa.array([], pa.binary())
-
-
-def _encoded(docs: DataFrame, path: str, pattern: str, id_col: str, text_col: str, emit: Callable[[pa.Array, np.ndarray, np.ndarray], pa.RecordBatch], schema: str) -> DataFrame:
-    """Rows that ``emit`` makes of some documents' ids, all their token ids and the number of each."""
-    folder = work_folder(docs.sparkSession, "dictionaries")
-    coded = coded_words(task_words(docs, path, pattern, text_col), path, pattern)
-    coded.repartition("chunk").write.option("compression", "zstd").partitionBy("chunk").parquet(folder)
-
-    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+            rows[order] = codes.numbers(hashes, piece.data, piece.byte_bounds[order], piece.byte_bounds[order + 1])
+        raw, widths = to_varints(codes.ids.gather(rows))
+        ends = np.append(0, np.cumsum(widths))
+        parts.append(_binary(raw, ends[np.append(0, np.cumsum(codes.ids.lengths(rows)))]))
+    return pa.concat_arrays(parts)
+
+
+def _documents(table: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Keys, all token ids and the number of ids of each document of a block, from all its rows."""
+    is_word = table.column("at").is_valid()
+    words, docs = table.filter(is_word), table.filter(pa.compute.invert(is_word)).sort_by("place")
+    counts = docs.column("n").to_numpy()
+    which = _scattered(words.column("at").combine_chunks(), int(counts.sum()))
+    raw, bounds = _raw(words.column("ids").combine_chunks())
+    ids, ends = from_varints(raw)
+    first = np.searchsorted(ends, bounds, "right")
+    widths = np.diff(first)[which]
+    done = np.append(0, np.cumsum(widths))[np.append(0, np.cumsum(counts))]
+    return docs.column("id").combine_chunks(), ids[ranges(first[:-1][which], widths)].astype("<u4"), np.diff(done)
+
+
+def reassembled(coded: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, ids (little-endian uint32) of each document, from all rows of ``coded_words``."""
+
+    def assemble(batches):
+        held, block = [], None
+
+        def made():
+            keys, tokens, counts = _documents(pa.Table.from_batches(held))
+            bounds = np.append(0, np.cumsum(counts))
+            for a in range(0, len(keys), 1000):
+                own = bounds[a : a + 1001]
+                yield pa.RecordBatch.from_arrays([keys.slice(a, 1000), pa.array(np.diff(own)), _binary(tokens[own[0] : own[-1]].view(np.uint8), 4 * (own - own[0]))], ["doc_id", "n_tokens", "ids"])
 
-        library = rank_codes(path, pattern)
-        codes = WordCodes(library.pre, library.encode)
-        fs, base = pafs.FileSystem.from_uri(f"{folder}/chunk={TaskContext.get().partitionId()}")
-        if fs.get_file_info(base).type == pafs.FileType.Directory:
-            for batch in ds.dataset(base, filesystem=fs, format="parquet").to_batches(columns=["word", "ids"]):
-                codes.preload(batch.column(0), batch.column(1))
         for batch in batches:
-            for piece in text_slices(batch.column(1)):
-                tokens, counts = codes.slice_ids(piece)
-                yield emit(batch.column(0).slice(piece.first, len(piece)), tokens, counts)
-
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(assemble, schema)
+            blocks = batch.column("block").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a < b:
+                    if held and blocks[a] != block:
+                        yield from made()
+                        held = []
+                    block = blocks[a]
+                    held.append(batch.slice(a, b - a))
+        if held:
+            yield from made()
+
+    rows = coded.repartition("block").sortWithinPartitions("block")
+    return rows.mapInArrow(assemble, f"doc_id {id_type(coded, 'id')}, n_tokens long, ids binary")
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, ids (array) of each document."""
 
-    def emit(keys, tokens, counts):
-        ids = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), pa.array(tokens.astype(np.int32)))
-        return pa.RecordBatch.from_arrays([keys, ids], ["doc_id", "ids"])
+    def lists(batches):
+        for batch in batches:
+            raw, bounds = _raw(batch.column(1))
+            ids = pa.ListArray.from_arrays(pa.array(bounds // 4, pa.int32()), pa.array(np.frombuffer(raw.tobytes(), "<u4").astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
 
-    return _encoded(docs, path, pattern, id_col, text_col, emit, f"doc_id {id_type(docs, id_col)}, ids array<int>")
+    return reassembled(coded_words(exploded(docs, path, pattern, id_col, text_col), path, pattern)).select("doc_id", "ids").mapInArrow(lists, f"doc_id {id_type(docs, id_col)}, ids array<int>")
 
 
-_tables: dict[str, tuple[Ragged, np.ndarray]] = {}
+def token_bytes(spark: SparkSession, path: str) -> DataFrame:
+    """token, data of a tiktoken file: as many rows as the vocabulary has tokens."""
+    rows = sorted((rank, token) for token, rank in read_ranks(path).items())
+    return spark.createDataFrame(pa.table({"token": pa.array([r for r, _ in rows], pa.int32()), "data": pa.array([t for _, t in rows], pa.binary())}))
 
 
-def _token_bytes(path: str) -> tuple[Ragged, np.ndarray]:
-    """The bytes of each token, and which ids there are."""
-    if path not in _tables:
-        ranks = read_ranks(path)
-        size = max(ranks.values()) + 1
-        by_id = [b""] * size
-        for token, rank in ranks.items():
-            by_id[rank] = token
-        table = Ragged(np.uint8)
-        table.extend(np.frombuffer(b"".join(by_id), np.uint8), np.fromiter(map(len, by_id), np.int64, size))
-        _tables[path] = table, np.fromiter((len(t) > 0 for t in by_id), bool, size)
-    return _tables[path]
+def _groups(counts: np.ndarray) -> Iterator[tuple[int, int]]:
+    ends, a = np.cumsum(counts), 0
+    while a < len(counts):
+        b = max(a + 1, int(np.searchsorted(ends, GROUP_IDS + (ends[a - 1] if a else 0), "right")))
+        yield a, b
+        a = b
 
 
-def decoded(tokens: np.ndarray, counts: np.ndarray, path: str) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of all documents' ids, and where each document's begin and end."""
-    table, known = _token_bytes(path)
-    tokens = tokens.astype(np.int64)
-    if len(tokens) and (tokens.min() < 0 or tokens.max() >= len(known) or not known[tokens].all()):
-        raise ValueError("there are ids that the token table lacks")
-    widths = table.lengths(tokens)
-    ends = np.append(0, np.cumsum(widths))
-    return table.flat[ranges(table.at[tokens], widths)], ends[np.append(0, np.cumsum(counts))]
+def _decoded(coded: DataFrame, path: str, id_col: str, ids_col: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, data for rows whose ids are little-endian uint32."""
+    kind = id_type(coded, id_col)
+    names = ["token", "at", "waiting", "id", "n", "ids_sha256"]
+
+    def explode(batches):
+        for batch in batches:
+            raw, bounds = _raw(batch.column(1).fill_null(b""))
+            tokens = np.frombuffer(raw.tobytes(), "<u4")
+            counts = np.diff(bounds) // 4
+            for a, b in _groups(counts):
+                own = tokens[bounds[a] // 4 : bounds[b] // 4]
+                distinct, numbers = np.unique(own, return_inverse=True)
+                at, _ = _positions(numbers, len(distinct))
+                n, k = len(distinct), b - a
+                waiting = np.append(np.zeros(k - 1, np.int64), n)  # the last row closes the group and says how many tokens it had
+                data = memoryview(raw)
+                digests = [hashlib.sha256(data[x:y]).hexdigest() for x, y in zip(bounds[a:b].tolist(), bounds[a + 1 : b + 1].tolist())]
+                keys = batch.column(0).slice(a, k)
+                yield pa.RecordBatch.from_arrays([pa.array(distinct.astype(np.int64)), at, pa.nulls(n, pa.int64()), pa.nulls(n, keys.type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.string())], names)
+                yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.array(waiting), keys, pa.array(counts[a:b]), pa.array(digests, pa.string())], names)
+
+    def join_up(batches):
+        words, docs = [], []
+
+        def made():
+            tokens = pa.Table.from_batches(words, words[0].schema) if words else None
+            rows = pa.Table.from_batches(docs).combine_chunks()
+            counts = rows.column("n").to_numpy()
+            n, total = 0 if tokens is None else tokens.num_rows, int(counts.sum())
+            if n != int(rows.column("waiting").to_numpy().sum()):
+                raise ValueError("a group's tokens are not together")
+            if n and tokens.column("data").null_count:
+                raise ValueError("there are ids that the token table lacks")
+            if n:
+                which = _scattered(tokens.column("at").combine_chunks(), total)
+                raw, bounds = _raw(tokens.column("data").combine_chunks())
+                widths = np.diff(bounds)[which]
+                data = raw[ranges(bounds[:-1][which], widths)]
+                ends = np.append(0, np.cumsum(widths))[np.append(0, np.cumsum(counts))]
+            else:
+                data, ends = np.zeros(0, np.uint8), np.zeros(len(counts) + 1, np.int64)
+            yield pa.RecordBatch.from_arrays([rows.column("id").combine_chunks(), pa.array(counts), rows.column("ids_sha256").combine_chunks(), _binary(data, ends)], ["doc_id", "n_tokens", "ids_sha256", "data"])
+
+        for batch in batches:
+            waiting = batch.column("waiting").fill_null(0).to_numpy()
+            is_token = batch.column("at").is_valid().to_numpy(zero_copy_only=False)
+            # Runs of token rows and of document rows take turns; a token row after document rows begins a new group.
+            turns = np.flatnonzero(np.diff(is_token.astype(np.int8))) + 1
+            cuts = [0, *turns.tolist(), len(waiting)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                if is_token[a]:
+                    if docs:
+                        yield from made()
+                        words, docs = [], []
+                    words.append(batch.slice(a, b - a))
+                else:
+                    docs.append(batch.slice(a, b - a))
+        if docs or words:
+            yield from made()
+
+    rows = coded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")).mapInArrow(explode, f"token long, at binary, waiting long, id {kind}, n long, ids_sha256 string")
+    table = F.broadcast(token_bytes(coded.sparkSession, path).withColumnRenamed("token", "known"))  # bounded by the vocabulary
+    joined = rows.join(table, F.col("token") == F.col("known"), "left").select(*names, "data")
+    return joined.mapInArrow(join_up, f"doc_id {kind}, n_tokens long, ids_sha256 string, data binary")
 
 
 def decode(coded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """doc_id, data (binary) for rows of ids; null ids count as none."""
+    """doc_id, data (binary) for rows of ids (array); null ids count as none."""
+    ids = F.filter(F.coalesce(F.col(ids_col).cast("array<bigint>"), F.array().cast("array<bigint>")), lambda x: x.isNotNull())
 
-    def rows(batches):
+    def packed(batches):
         for batch in batches:
-            lists = pc.fill_null(batch.column(1), pa.scalar([], batch.column(1).type))
-            counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-            raw, ends = decoded(lists.flatten().to_numpy(zero_copy_only=False), counts, path)
-            data = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(raw)]).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), data], ["doc_id", "data"])
+            lists = batch.column(1)
+            values = lists.flatten().to_numpy(zero_copy_only=False)
+            if len(values) and (values.min() < 0 or values.max() >= 1 << 32):
+                raise ValueError("there are ids that the token table lacks")
+            counts = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), _binary(values.astype("<u4").view(np.uint8), 4 * np.append(0, np.cumsum(counts)))], ["id", "ids"])
 
-    return coded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")).mapInArrow(rows, f"doc_id {id_type(coded, id_col)}, data binary")
+    rows = coded.select(F.col(id_col).alias("id"), ids.alias("ids")).mapInArrow(packed, f"id {id_type(coded, id_col)}, ids binary")
+    return _decoded(rows, path, "id", "ids").select("doc_id", "data")
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: digests of the ids and of the bytes decoded from them."""
-
-    def emit(keys, tokens, counts):
-        raw, ends = decoded(tokens, counts, path)
-        ids, data = memoryview(tokens.astype("<u4")).cast("B"), memoryview(raw)
-        at = (np.append(0, np.cumsum(counts)) * 4).tolist()
-        ends = ends.tolist()
-        one = [hashlib.sha256(ids[a:b]).hexdigest() for a, b in zip(at, at[1:])]
-        two = [hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(ends, ends[1:])]
-        return pa.RecordBatch.from_arrays([keys, pa.array(counts), pa.array(one), pa.array(two)], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return _encoded(docs, path, pattern, id_col, text_col, emit, f"doc_id {id_type(docs, id_col)}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    coded = reassembled(coded_words(exploded(docs, path, pattern, id_col, text_col), path, pattern))
+    return _decoded(coded, path, "doc_id", "ids").select("doc_id", "n_tokens", "ids_sha256", F.sha2("data", 256).alias("decoded_sha256"))

@@ -221,24 +221,6 @@ class WordCodes:
         self.hashes, self.number = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.ids, self.bytes = Ragged(np.uint32), Ragged(np.uint8)
 
-    def preload(self, words: pa.Array, ids: pa.Array) -> None:
-        """Learn words (string) with their ids (little-endian uint32 as binary) without the library."""
-        for piece in text_slices(words):
-            at = ids.slice(piece.first, len(piece))
-            hashes, some = np.unique(span_hashes(piece.points, piece.bounds[:-1], piece.bounds[1:]), return_index=True)
-            fresh = ~np.isin(hashes, self.hashes)
-            hashes, some = hashes[fresh], some[fresh]
-            _, offsets, raw = at.buffers()
-            bounds = np.frombuffer(offsets, np.int32)[at.offset : at.offset + len(at) + 1].astype(np.int64) // 4
-            widths, flat = (bounds[1:] - bounds[:-1])[some], np.frombuffer(raw, "<u4")
-            lengths = (piece.byte_bounds[1:] - piece.byte_bounds[:-1])[some]
-            first = self.ids.rows
-            self.ids.extend(flat[ranges(bounds[some], widths)], widths)
-            self.bytes.extend(np.frombuffer(piece.data, np.uint8)[ranges(piece.byte_bounds[some], lengths)], lengths)
-            where = np.searchsorted(self.hashes, hashes)
-            self.hashes = np.insert(self.hashes, where, hashes)
-            self.number = np.insert(self.number, where, np.arange(first, first + len(some)))
-
     def _add(self, data: bytes, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         coded = self.encode([data[i:j].decode() for i, j in zip(starts.tolist(), ends.tolist())])
         lengths = np.fromiter(map(len, coded), np.int64, len(coded))

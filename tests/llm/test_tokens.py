@@ -184,3 +184,32 @@ def test_byte_bpe(docs, empty):
         ids = np.array(own.encode_ordinary(text(r.doc_id)), "<u4")
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(text(r.doc_id).encode()).hexdigest())
     assert byte_bpe.round_trip(empty, RANKS, public.PATTERN).count() == 0
+
+
+def test_byte_bpe_in_small_blocks_with_salted_words(docs):
+    own = tiktoken.Encoding("t", pat_str=public.PATTERN, mergeable_ranks=textscan.read_ranks(RANKS), special_tokens={})
+    many = docs.union(docs).union(docs)
+    rows = byte_bpe.exploded(many, RANKS, public.PATTERN, block_chars=50, often=1_000_000)
+    assert rows.select("block").distinct().count() > 3 and rows.filter("word is not null and salt > 0").count() > 0
+    assert rows.filter("word = 'word'").count() + rows.filter("word = ' word'").count() < 20  # of 15,000 occurrences
+    found = byte_bpe.reassembled(byte_bpe.coded_words(rows, RANKS, public.PATTERN)).collect()
+    text = lambda k: "no id" if k is None else TEXTS[k] or ""
+    assert Counter(r.doc_id for r in found) == Counter({k: 3 for k in [None, *range(len(TEXTS))]})
+    assert all(np.frombuffer(r.ids, "<u4").tolist() == own.encode_ordinary(text(r.doc_id)) for r in found)
+
+
+def test_byte_bpe_has_no_other_source_of_ids(docs):
+    coded = byte_bpe.coded_words(byte_bpe.exploded(docs, RANKS, public.PATTERN), RANKS, public.PATTERN)
+    with pytest.raises(Exception, match="positions wait for words"):
+        byte_bpe.reassembled(coded.filter("at is null or length(ids) > 1")).collect()
+    with pytest.raises(Exception, match="token table lacks"):
+        byte_bpe.decode(docs.select("doc_id", F.array(F.lit(50_300)).alias("ids")), RANKS).collect()
+
+
+@pytest.mark.parametrize("top", [1, 127, 128, 1 << 14, 1 << 40])
+def test_varints(top):
+    for n in (0, 1, 500):
+        values = np.random.default_rng(n).integers(0, top, n, endpoint=True)
+        raw, widths = byte_bpe.to_varints(values)
+        again, ends = byte_bpe.from_varints(raw)
+        assert again.tolist() == values.tolist() and np.cumsum(widths).tolist() == ends.tolist()
