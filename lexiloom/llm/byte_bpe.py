@@ -2,11 +2,12 @@
 
 Encoding explodes texts into pre-tokens with their positions.  Occurrences are aggregated before
 the shuffle: documents are taken in blocks of ``BLOCK_CHARS`` code points, and each distinct word of a
-block is one row with all its positions there, so a word like " the" is one row a block and not a third of
-all rows.  Rows are dealt out by word; where all rows of a word meet it is encoded once and its ids join
-each of them.  A word that fills more than one in ``OFTEN`` positions of a block is also dealt by the
-block, into ``SALTS`` parts, each of which encodes it.  The rows then go back to their blocks,
-where positions put the ids in order.  Ids come from nowhere else: a word that doesn't return is an error.
+block is sent once with all its positions there, so a word like " the" is one entry a block and not a third
+of all.  Words are dealt into as many buckets as there are shuffle partitions by their hash, and what goes from a block to a
+bucket is one row, compressed as a whole.  In its bucket each distinct word is encoded once and its ids
+join every block's positions of it.  A word that fills more than one in ``OFTEN`` positions of a block is dealt by the
+block as well, so its positions spread over all buckets.  Rows then go back to their blocks, where positions
+put the ids in order.  Ids come from nowhere else: a word that doesn't return is an error.
 
 Decoding explodes ids likewise, into each distinct token of a group of rows with its positions there, joins
 the table of token bytes (broadcast: one row a token, so bounded by the vocabulary) and reassembles by position.
@@ -23,21 +24,23 @@ token ids raise an error in decoding.
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .textscan import WordCodes, ranges, rank_codes, read_ranks, text_slices
+from .textscan import WordCodes, mixed, ranges, rank_codes, read_ranks, span_hashes, text_slices
 from .tokenizing import id_type
 
 BLOCK_CHARS = 16_000_000
 GROUP_IDS = 2_000_000  # ids that are decoded together, or one row's if it has more
-OFTEN, SALTS = 2_000, 64
-ROWS = 20_000  # of a record batch
+OFTEN = 2_000
+PACK = struct.Struct("<4q")
 
 
 def to_varints(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -81,22 +84,37 @@ def _raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, bounds - bounds[0]
 
 
-def _positions(numbers: np.ndarray, n: int) -> tuple[pa.Array, np.ndarray]:
-    """For each of the numbers 0 to n - 1, all of which occur: its positions as varints of steps, and how many there are."""
+def _packed(*columns: np.ndarray) -> bytes:
+    """Two columns of bytes, each with the number of bytes of each row, compressed together."""
+    flat, sizes, more, more_sizes = columns
+    one, two = to_varints(sizes)[0], to_varints(more_sizes)[0]
+    body = b"".join(x.tobytes() for x in (one, two, flat.astype(np.uint8, copy=False), more))
+    return PACK.pack(len(one), len(two), len(flat), len(more)) + zstandard.compress(body, 3)
+
+
+def _unpacked(pack: bytes) -> tuple[np.ndarray, ...]:
+    lengths = PACK.unpack(pack[: PACK.size])
+    ends = np.cumsum(lengths)
+    body = np.frombuffer(zstandard.decompress(pack[PACK.size :], max_output_size=int(ends[-1])), np.uint8)
+    one, two, flat, more = np.split(body, ends[:-1])
+    return flat, from_varints(one)[0], more, from_varints(two)[0]
+
+
+def _positions(numbers: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each of the numbers 0 to n - 1, all of which occur: its positions as varints of steps, their bytes, and how many there are."""
     order = np.argsort(numbers, kind="stable")
     counts = np.bincount(numbers, minlength=n)
     first = np.cumsum(counts) - counts
     steps = np.diff(order, prepend=0)
     steps[first] = order[first]
     raw, widths = to_varints(steps)
-    return _binary(raw, np.append(0, np.cumsum(np.add.reduceat(widths, first) if n else np.zeros(0, np.int64)))), counts
+    return raw, np.add.reduceat(widths, first) if n else np.zeros(0, np.int64), counts
 
 
-def _scattered(at: pa.Array, total: int) -> np.ndarray:
+def _scattered(raw: np.ndarray, sizes: np.ndarray, total: int) -> np.ndarray:
     """Which row each of ``total`` positions belongs to; an error if that isn't one row each."""
-    raw, bounds = _raw(at)
     steps, ends = from_varints(raw)
-    counts = np.diff(np.searchsorted(ends, bounds, "right"))
+    counts = np.diff(np.searchsorted(ends, np.append(0, np.cumsum(sizes)), "right"))
     if len(steps) != total:
         raise ValueError(f"{total} positions wait for words, {len(steps)} came")
     first = np.cumsum(counts) - counts
@@ -109,11 +127,6 @@ def _scattered(at: pa.Array, total: int) -> np.ndarray:
     return rows
 
 
-def _sliced(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    for at in range(0, batch.num_rows, ROWS):
-        yield batch.slice(at, ROWS)
-
-
 class _Block:
     """Documents that are cut into words together."""
 
@@ -132,67 +145,82 @@ class _Block:
         self.sequence.append(rows[inverse].astype(np.int32))
         self.counts.append(np.bincount(docs, minlength=len(piece)))
 
-    def rows(self, names: list[str], often: int) -> Iterator[pa.RecordBatch]:
+    def packs(self, buckets: int, often: int) -> Iterator[tuple[int, bytes, bool]]:
+        """Bucket, words with positions, True; and the documents with their numbers of words, False."""
         if not self.keys:
             return
         store, n = self.words.bytes, self.words.bytes.rows
         numbers = np.concatenate(self.sequence) if self.sequence else np.zeros(0, np.int32)
-        at, counts = _positions(numbers, n)
-        word = _binary(store.flat[: store.at[n]], store.at[: n + 1]).cast(pa.string())
-        salt = np.where(counts * often > len(numbers), 1 + self.number % SALTS, 0)
+        raw, widths, counts = _positions(numbers, n)
+        hashes = np.zeros(n, np.uint64)
+        hashes[self.words.number] = self.words.hashes  # of words of one hash all but one stay at 0
+        shift = np.where(counts * often > len(numbers), int(mixed(np.array([self.number], np.uint64))[0] % np.uint64(buckets)), 0)
+        bucket = ((hashes % np.uint64(buckets)).astype(np.int64) + shift) % buckets
+        word = _binary(store.flat[: store.at[n]], store.at[: n + 1])
+        order = pc.sort_indices(word).to_numpy().astype(np.int64)  # neighbours in order compress better
+        order = order[np.argsort(bucket[order], kind="stable")]
+        ends = np.append(0, np.cumsum(widths))
+        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        for k in range(buckets):
+            own = order[cuts[k] : cuts[k + 1]]
+            if len(own):
+                yield k, _packed(store.flat[ranges(store.at[own], store.lengths(own))], store.lengths(own), raw[ranges(ends[own], widths[own])], widths[own]), True
+        sink = pa.BufferOutputStream()
         keys = pa.chunked_array(self.keys).combine_chunks()
-        none = lambda kind, k=n: pa.nulls(k, kind)
-        block = lambda k: pa.array(np.full(k, self.number, np.int64))
-        yield from _sliced(pa.RecordBatch.from_arrays([block(n), pa.array(salt, pa.int32()), word, at, none(pa.int64()), none(keys.type), none(pa.int64())], names))
-        k = len(keys)
-        place = np.arange(k)
-        yield from _sliced(pa.RecordBatch.from_arrays([block(k), pa.array(place % SALTS, pa.int32()), none(pa.string(), k), none(pa.binary(), k), pa.array(place), keys, pa.array(np.concatenate(self.counts), pa.int64())], names))
+        with pa.ipc.new_stream(sink, pa.schema([("id", keys.type), ("n", pa.int64())])) as writer:
+            writer.write_table(pa.table([keys, np.concatenate(self.counts)], names=["id", "n"]))
+        yield self.number % buckets, sink.getvalue().to_pybytes(), False
 
 
 def exploded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS, often: int = OFTEN) -> DataFrame:
-    """block, salt, word, at for each distinct word of a block, at its positions; and block, place, id, n for each document, n its words."""
-    names = ["block", "salt", "word", "at", "place", "id", "n"]
+    """bucket, block, is_words, pack: the distinct words of a block that go to a bucket, with their positions; and the block's documents."""
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def cut(batches):
         from pyspark import TaskContext
 
         number, pre = TaskContext.get().partitionId() << 32, rank_codes(path, pattern).pre
+
+        def rows(block):
+            for bucket, pack, is_words in block.packs(buckets, often):
+                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([block.number], pa.int64()), pa.array([is_words]), pa.array([pack], pa.binary())], ["bucket", "block", "is_words", "pack"])
+
         block = _Block(pre, number)
         for batch in batches:
             for piece in text_slices(batch.column(1)):
                 block.add(batch.column(0).slice(piece.first, len(piece)), piece)
                 if block.chars >= block_chars:
-                    yield from block.rows(names, often)
+                    yield from rows(block)
                     number += 1
                     block = _Block(pre, number)
-        yield from block.rows(names, often)
+        yield from rows(block)
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).sortWithinPartitions("id", F.xxhash64("text"), "text")
-    return rows.mapInArrow(cut, f"block long, salt int, word string, at binary, place long, id {id_type(docs, id_col)}, n long")
+    return rows.mapInArrow(cut, "bucket int, block long, is_words boolean, pack binary")
 
 
 def coded_words(rows: DataFrame, path: str, pattern: str) -> DataFrame:
-    """Rows of ``exploded`` with ``ids`` (varints) in the place of the word, which is encoded once where its rows meet."""
-    names = [c for c in rows.columns if c not in ("salt", "word")]
+    """Rows of ``exploded`` with ids (varints) in the place of words; each distinct word is encoded once, where its rows meet."""
 
     def code(batches):
         library = rank_codes(path, pattern)
         codes = WordCodes(library.pre, library.encode)  # of this task alone: others have other words
         for batch in batches:
-            word = batch.column("word")
-            distinct = word.dictionary_encode()
-            ids = _coded(codes, distinct.dictionary).take(distinct.indices)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), ids], [*names, "ids"])
+            block, is_words, pack = (batch.column(c) for c in ("block", "is_words", "pack"))
+            for i in range(batch.num_rows):
+                own = pack[i].as_py()
+                if is_words[i].as_py():
+                    word, lengths, at, widths = _unpacked(own)
+                    ids, sizes = _coded(codes, _binary(word, np.append(0, np.cumsum(lengths))).cast(pa.string()))
+                    own = _packed(ids, sizes, at, widths)
+                yield pa.RecordBatch.from_arrays([block.slice(i, 1), is_words.slice(i, 1), pa.array([own], pa.binary())], ["block", "is_words", "pack"])
 
-    schema = ", ".join(f"{c} {id_type(rows, c)}" for c in names)
-    return rows.repartition("word", "salt").mapInArrow(code, f"{schema}, ids binary")
+    return rows.repartition("bucket").mapInArrow(code, "block long, is_words boolean, pack binary")
 
 
-def _coded(codes: WordCodes, words: pa.Array) -> pa.Array:
-    """Ids as varints of distinct words."""
-    from .textscan import span_hashes
-
-    parts = [pa.array([], pa.binary())]
+def _coded(codes: WordCodes, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of distinct words as varints, and the number of bytes of each word's."""
+    out, sizes = [np.zeros(0, np.uint8)], [np.zeros(0, np.int64)]
     for piece in text_slices(words):
         hashes, order = np.unique(span_hashes(piece.points, piece.bounds[:-1], piece.bounds[1:]), return_index=True)
         rows = np.empty(len(piece), np.int64)
@@ -203,53 +231,54 @@ def _coded(codes: WordCodes, words: pa.Array) -> pa.Array:
         else:
             rows[order] = codes.numbers(hashes, piece.data, piece.byte_bounds[order], piece.byte_bounds[order + 1])
         raw, widths = to_varints(codes.ids.gather(rows))
-        ends = np.append(0, np.cumsum(widths))
-        parts.append(_binary(raw, ends[np.append(0, np.cumsum(codes.ids.lengths(rows)))]))
-    return pa.concat_arrays(parts)
+        ends = np.append(0, np.cumsum(widths))[np.append(0, np.cumsum(codes.ids.lengths(rows)))]
+        out.append(raw), sizes.append(np.diff(ends))
+    return np.concatenate(out), np.concatenate(sizes)
 
 
-def _documents(table: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Keys, all token ids and the number of ids of each document of a block, from all its rows."""
-    is_word = table.column("at").is_valid()
-    words, docs = table.filter(is_word), table.filter(pa.compute.invert(is_word)).sort_by("place")
+def _documents(packs: list[bytes], docs: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Keys, all token ids and the number of ids of each document of a block, from all its packs."""
+    parts = [_unpacked(p) for p in packs] or [_unpacked(_packed(*[np.zeros(0, np.uint8), np.zeros(0, np.int64)] * 2))]
+    raw, sizes, at, at_sizes = (np.concatenate([p[k] for p in parts]) for k in range(4))
     counts = docs.column("n").to_numpy()
-    which = _scattered(words.column("at").combine_chunks(), int(counts.sum()))
-    raw, bounds = _raw(words.column("ids").combine_chunks())
+    which = _scattered(at, at_sizes, int(counts.sum()))
     ids, ends = from_varints(raw)
-    first = np.searchsorted(ends, bounds, "right")
+    first = np.searchsorted(ends, np.append(0, np.cumsum(sizes)), "right")
     widths = np.diff(first)[which]
     done = np.append(0, np.cumsum(widths))[np.append(0, np.cumsum(counts))]
     return docs.column("id").combine_chunks(), ids[ranges(first[:-1][which], widths)].astype("<u4"), np.diff(done)
 
 
-def reassembled(coded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids (little-endian uint32) of each document, from all rows of ``coded_words``."""
+def reassembled(coded: DataFrame, kind: str) -> DataFrame:
+    """doc_id (of the type ``kind``), n_tokens, ids (little-endian uint32) of each document, from all rows of ``coded_words``."""
 
     def assemble(batches):
-        held, block = [], None
+        block, packs, docs = None, [], None
 
         def made():
-            keys, tokens, counts = _documents(pa.Table.from_batches(held))
+            if docs is None:
+                raise ValueError("a block came back without its documents")
+            keys, tokens, counts = _documents(packs, docs)
             bounds = np.append(0, np.cumsum(counts))
             for a in range(0, len(keys), 1000):
                 own = bounds[a : a + 1001]
                 yield pa.RecordBatch.from_arrays([keys.slice(a, 1000), pa.array(np.diff(own)), _binary(tokens[own[0] : own[-1]].view(np.uint8), 4 * (own - own[0]))], ["doc_id", "n_tokens", "ids"])
 
         for batch in batches:
-            blocks = batch.column("block").to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)]
-            for a, b in zip(cuts, cuts[1:]):
-                if a < b:
-                    if held and blocks[a] != block:
-                        yield from made()
-                        held = []
-                    block = blocks[a]
-                    held.append(batch.slice(a, b - a))
-        if held:
+            for number, is_words, pack in zip(*(batch.column(c) for c in ("block", "is_words", "pack"))):
+                if block is not None and number.as_py() != block:
+                    yield from made()
+                    packs, docs = [], None
+                block = number.as_py()
+                if is_words.as_py():
+                    packs.append(pack.as_py())
+                else:
+                    docs = pa.ipc.open_stream(pack.as_buffer()).read_all()
+        if block is not None:
             yield from made()
 
     rows = coded.repartition("block").sortWithinPartitions("block")
-    return rows.mapInArrow(assemble, f"doc_id {id_type(coded, 'id')}, n_tokens long, ids binary")
+    return rows.mapInArrow(assemble, f"doc_id {kind}, n_tokens long, ids binary")
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -261,7 +290,8 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
             ids = pa.ListArray.from_arrays(pa.array(bounds // 4, pa.int32()), pa.array(np.frombuffer(raw.tobytes(), "<u4").astype(np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], ["doc_id", "ids"])
 
-    return reassembled(coded_words(exploded(docs, path, pattern, id_col, text_col), path, pattern)).select("doc_id", "ids").mapInArrow(lists, f"doc_id {id_type(docs, id_col)}, ids array<int>")
+    coded = coded_words(exploded(docs, path, pattern, id_col, text_col), path, pattern)
+    return reassembled(coded, id_type(docs, id_col)).select("doc_id", "ids").mapInArrow(lists, f"doc_id {id_type(docs, id_col)}, ids array<int>")
 
 
 def token_bytes(spark: SparkSession, path: str) -> DataFrame:
@@ -291,7 +321,8 @@ def _decoded(coded: DataFrame, path: str, id_col: str, ids_col: str) -> DataFram
             for a, b in _groups(counts):
                 own = tokens[bounds[a] // 4 : bounds[b] // 4]
                 distinct, numbers = np.unique(own, return_inverse=True)
-                at, _ = _positions(numbers, len(distinct))
+                steps, widths, _ = _positions(numbers, len(distinct))
+                at = _binary(steps, np.append(0, np.cumsum(widths)))
                 n, k = len(distinct), b - a
                 waiting = np.append(np.zeros(k - 1, np.int64), n)  # the last row closes the group and says how many tokens it had
                 data = memoryview(raw)
@@ -313,7 +344,8 @@ def _decoded(coded: DataFrame, path: str, id_col: str, ids_col: str) -> DataFram
             if n and tokens.column("data").null_count:
                 raise ValueError("there are ids that the token table lacks")
             if n:
-                which = _scattered(tokens.column("at").combine_chunks(), total)
+                steps, at = _raw(tokens.column("at").combine_chunks())
+                which = _scattered(steps, np.diff(at), total)
                 raw, bounds = _raw(tokens.column("data").combine_chunks())
                 widths = np.diff(bounds)[which]
                 data = raw[ranges(bounds[:-1][which], widths)]
@@ -357,7 +389,7 @@ def decode(coded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "
             values = lists.flatten().to_numpy(zero_copy_only=False)
             if len(values) and (values.min() < 0 or values.max() >= 1 << 32):
                 raise ValueError("there are ids that the token table lacks")
-            counts = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+            counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), _binary(values.astype("<u4").view(np.uint8), 4 * np.append(0, np.cumsum(counts)))], ["id", "ids"])
 
     rows = coded.select(F.col(id_col).alias("id"), ids.alias("ids")).mapInArrow(packed, f"id {id_type(coded, id_col)}, ids binary")
@@ -366,5 +398,5 @@ def decode(coded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "
 
 def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: digests of the ids and of the bytes decoded from them."""
-    coded = reassembled(coded_words(exploded(docs, path, pattern, id_col, text_col), path, pattern))
+    coded = reassembled(coded_words(exploded(docs, path, pattern, id_col, text_col), path, pattern), id_type(docs, id_col))
     return _decoded(coded, path, "doc_id", "ids").select("doc_id", "n_tokens", "ids_sha256", F.sha2("data", 256).alias("decoded_sha256"))

@@ -189,19 +189,28 @@ def test_byte_bpe(docs, empty):
 def test_byte_bpe_in_small_blocks_with_salted_words(docs):
     own = tiktoken.Encoding("t", pat_str=public.PATTERN, mergeable_ranks=textscan.read_ranks(RANKS), special_tokens={})
     many = docs.union(docs).union(docs)
-    rows = byte_bpe.exploded(many, RANKS, public.PATTERN, block_chars=50, often=1_000_000)
-    assert rows.select("block").distinct().count() > 3 and rows.filter("word is not null and salt > 0").count() > 0
-    assert rows.filter("word = 'word'").count() + rows.filter("word = ' word'").count() < 20  # of 15,000 occurrences
-    found = byte_bpe.reassembled(byte_bpe.coded_words(rows, RANKS, public.PATTERN)).collect()
     text = lambda k: "no id" if k is None else TEXTS[k] or ""
-    assert Counter(r.doc_id for r in found) == Counter({k: 3 for k in [None, *range(len(TEXTS))]})
-    assert all(np.frombuffer(r.ids, "<u4").tolist() == own.encode_ordinary(text(r.doc_id)) for r in found)
+    for often in (1, 1_000_000):
+        rows = byte_bpe.exploded(many, RANKS, public.PATTERN, block_chars=50, often=often)
+        packs = rows.collect()
+        assert len({r.block for r in packs}) > 6
+        words = [(r.bucket, w) for r in packs if r.is_words for w in split_words(bytes(r.pack))]
+        assert sum(w == b" word" for _, w in words) == 3  # of 14,997 occurrences
+        assert (len(set(words)) == len({w for _, w in words})) == (often == 1)  # rare words have one bucket, frequent ones more
+        found = byte_bpe.reassembled(byte_bpe.coded_words(rows, RANKS, public.PATTERN), "long").collect()
+        assert Counter(r.doc_id for r in found) == Counter({k: 3 for k in [None, *range(len(TEXTS))]})
+        assert all(np.frombuffer(r.ids, "<u4").tolist() == own.encode_ordinary(text(r.doc_id)) for r in found)
+
+
+def split_words(pack):
+    flat, sizes, _, _ = byte_bpe._unpacked(pack)
+    return [w.tobytes() for w in np.split(flat, np.cumsum(sizes)[:-1])]
 
 
 def test_byte_bpe_has_no_other_source_of_ids(docs):
     coded = byte_bpe.coded_words(byte_bpe.exploded(docs, RANKS, public.PATTERN), RANKS, public.PATTERN)
     with pytest.raises(Exception, match="positions wait for words"):
-        byte_bpe.reassembled(coded.filter("at is null or length(ids) > 1")).collect()
+        byte_bpe.reassembled(coded.filter("not is_words or length(pack) % 2 = 0"), "long").collect()
     with pytest.raises(Exception, match="token table lacks"):
         byte_bpe.decode(docs.select("doc_id", F.array(F.lit(50_300)).alias("ids")), RANKS).collect()
 
