@@ -1,13 +1,14 @@
 """Byte-level BPE by a global shuffle of distinct words, and decoding by a join with the token-byte table.
 
 Encoding explodes texts into pre-tokens with their positions.  Occurrences are aggregated before
-the shuffle: documents are taken in blocks of ``BLOCK_CHARS`` code points, and each distinct word of a
-block is sent once with all its positions there, so a word like " the" is one entry a block and not a third
-of all.  Words are dealt into as many buckets as there are shuffle partitions by their hash, and what goes from a block to a
-bucket is one row, compressed as a whole.  In its bucket each distinct word is encoded once and its ids
-join every block's positions of it.  A word that fills more than one in ``OFTEN`` positions of a block is dealt by the
-block as well, so its positions spread over all buckets.  Rows then go back to their blocks, where positions
-put the ids in order.  Ids come from nowhere else: a word that doesn't return is an error.
+the shuffle: documents are taken in blocks of ``BLOCK_CHARS`` code points, each distinct word of a
+block is numbered and sent once, so a word like " the" is one entry a block and not a third of all, and each
+position holds its word's number.  Words are dealt into as many buckets as there are shuffle partitions by their
+hash, and what goes from a block to a bucket is one row, compressed as a whole.  In its bucket each distinct
+word is encoded once, and its ids take its place in every block's row.  A word that fills more than one in ``OFTEN``
+positions of a block is dealt by the block as well, so that no bucket gets all blocks' entries.  Rows then go
+back to their blocks, where ids join the positions by number.  Ids come from nowhere else: a word that
+doesn't return is an error.
 
 Decoding explodes ids likewise, into each distinct token of a group of rows with its positions there, joins
 the table of token bytes (broadcast: one row a token, so bounded by the vocabulary) and reassembles by position.
@@ -38,9 +39,10 @@ from .textscan import WordCodes, mixed, ranges, rank_codes, read_ranks, span_has
 from .tokenizing import id_type
 
 BLOCK_CHARS = 16_000_000
-GROUP_IDS = 2_000_000  # ids that are decoded together, or one row's if it has more
+GROUP_IDS = 500_000  # ids that are decoded together, or one row's if it has more
 OFTEN = 2_000
-PACK = struct.Struct("<4q")
+WORDS, PLACES, DOCUMENTS = 0, 1, 2  # kinds of packs
+PACK = struct.Struct("<3q")
 
 
 def to_varints(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -84,20 +86,18 @@ def _raw(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, bounds - bounds[0]
 
 
-def _packed(*columns: np.ndarray) -> bytes:
-    """Two columns of bytes, each with the number of bytes of each row, compressed together."""
-    flat, sizes, more, more_sizes = columns
-    one, two = to_varints(sizes)[0], to_varints(more_sizes)[0]
-    body = b"".join(x.tobytes() for x in (one, two, flat.astype(np.uint8, copy=False), more))
-    return PACK.pack(len(one), len(two), len(flat), len(more)) + zstandard.compress(body, 3)
+def _packed(flat: np.ndarray, sizes: np.ndarray, numbers: np.ndarray) -> bytes:
+    """Rows of bytes, how many each has, and their ascending numbers, compressed together."""
+    one, two = to_varints(sizes)[0], to_varints(np.diff(numbers, prepend=0))[0]
+    body = b"".join(x.tobytes() for x in (one, two, flat.astype(np.uint8, copy=False)))
+    return PACK.pack(len(one), len(two), len(flat)) + zstandard.compress(body, 3)
 
 
-def _unpacked(pack: bytes) -> tuple[np.ndarray, ...]:
-    lengths = PACK.unpack(pack[: PACK.size])
-    ends = np.cumsum(lengths)
+def _unpacked(pack: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    ends = np.cumsum(PACK.unpack(pack[: PACK.size]))
     body = np.frombuffer(zstandard.decompress(pack[PACK.size :], max_output_size=int(ends[-1])), np.uint8)
-    one, two, flat, more = np.split(body, ends[:-1])
-    return flat, from_varints(one)[0], more, from_varints(two)[0]
+    one, two, flat = np.split(body, ends[:-1])
+    return flat, from_varints(one)[0], np.cumsum(from_varints(two)[0])
 
 
 def _positions(numbers: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -145,35 +145,38 @@ class _Block:
         self.sequence.append(rows[inverse].astype(np.int32))
         self.counts.append(np.bincount(docs, minlength=len(piece)))
 
-    def packs(self, buckets: int, often: int) -> Iterator[tuple[int, bytes, bool]]:
-        """Bucket, words with positions, True; and the documents with their numbers of words, False."""
+    def packs(self, buckets: int, often: int) -> Iterator[tuple[int, int, bytes]]:
+        """Bucket, kind and pack of the words with their numbers, of the word number at each position, and of the documents."""
         if not self.keys:
             return
         store, n = self.words.bytes, self.words.bytes.rows
-        numbers = np.concatenate(self.sequence) if self.sequence else np.zeros(0, np.int32)
-        raw, widths, counts = _positions(numbers, n)
+        sequence = np.concatenate(self.sequence) if self.sequence else np.zeros(0, np.int32)
+        counts = np.bincount(sequence, minlength=n)
+        order = np.argsort(-counts, kind="stable")  # frequent words get small numbers
+        number = np.empty(n, np.int32)
+        number[order] = np.arange(n, dtype=np.int32)
         hashes = np.zeros(n, np.uint64)
         hashes[self.words.number] = self.words.hashes  # of words of one hash all but one stay at 0
-        shift = np.where(counts * often > len(numbers), int(mixed(np.array([self.number], np.uint64))[0] % np.uint64(buckets)), 0)
-        bucket = ((hashes % np.uint64(buckets)).astype(np.int64) + shift) % buckets
-        word = _binary(store.flat[: store.at[n]], store.at[: n + 1])
-        order = pc.sort_indices(word).to_numpy().astype(np.int64)  # neighbours in order compress better
-        order = order[np.argsort(bucket[order], kind="stable")]
-        ends = np.append(0, np.cumsum(widths))
-        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        shift = np.where(counts * often > len(sequence), int(mixed(np.array([self.number], np.uint64))[0] % np.uint64(buckets)), 0)
+        bucket = (((hashes % np.uint64(buckets)).astype(np.int64) + shift) % buckets)[order]
+        by = np.argsort(bucket, kind="stable")
+        cuts = np.searchsorted(bucket[by], np.arange(buckets + 1))
         for k in range(buckets):
-            own = order[cuts[k] : cuts[k + 1]]
-            if len(own):
-                yield k, _packed(store.flat[ranges(store.at[own], store.lengths(own))], store.lengths(own), raw[ranges(ends[own], widths[own])], widths[own]), True
+            mine = by[cuts[k] : cuts[k + 1]]  # numbers, ascending
+            if len(mine):
+                own = order[mine]
+                yield k, WORDS, _packed(store.flat[ranges(store.at[own], store.lengths(own))], store.lengths(own), mine)
+        at = self.number % buckets
+        yield at, PLACES, zstandard.compress(to_varints(number[sequence])[0].tobytes(), 3)
         sink = pa.BufferOutputStream()
         keys = pa.chunked_array(self.keys).combine_chunks()
-        with pa.ipc.new_stream(sink, pa.schema([("id", keys.type), ("n", pa.int64())])) as writer:
-            writer.write_table(pa.table([keys, np.concatenate(self.counts)], names=["id", "n"]))
-        yield self.number % buckets, sink.getvalue().to_pybytes(), False
+        with pa.ipc.new_stream(sink, pa.schema([("id", keys.type), ("n", pa.int64()), ("words", pa.int64())])) as writer:
+            writer.write_table(pa.table([keys, np.concatenate(self.counts), np.full(len(keys), n)], names=["id", "n", "words"]))
+        yield at, DOCUMENTS, sink.getvalue().to_pybytes()
 
 
 def exploded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS, often: int = OFTEN) -> DataFrame:
-    """bucket, block, is_words, pack: the distinct words of a block that go to a bucket, with their positions; and the block's documents."""
+    """bucket, block, kind, pack: the distinct words of a block that go to a bucket; and, for the block, the word at each position and the documents."""
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def cut(batches):
@@ -182,8 +185,8 @@ def exploded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", t
         number, pre = TaskContext.get().partitionId() << 32, rank_codes(path, pattern).pre
 
         def rows(block):
-            for bucket, pack, is_words in block.packs(buckets, often):
-                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([block.number], pa.int64()), pa.array([is_words]), pa.array([pack], pa.binary())], ["bucket", "block", "is_words", "pack"])
+            for bucket, kind, pack in block.packs(buckets, often):
+                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([block.number], pa.int64()), pa.array([kind], pa.int32()), pa.array([pack], pa.binary())], ["bucket", "block", "kind", "pack"])
 
         block = _Block(pre, number)
         for batch in batches:
@@ -196,7 +199,7 @@ def exploded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", t
         yield from rows(block)
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).sortWithinPartitions("id", F.xxhash64("text"), "text")
-    return rows.mapInArrow(cut, "bucket int, block long, is_words boolean, pack binary")
+    return rows.mapInArrow(cut, "bucket int, block long, kind int, pack binary")
 
 
 def coded_words(rows: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -206,16 +209,16 @@ def coded_words(rows: DataFrame, path: str, pattern: str) -> DataFrame:
         library = rank_codes(path, pattern)
         codes = WordCodes(library.pre, library.encode)  # of this task alone: others have other words
         for batch in batches:
-            block, is_words, pack = (batch.column(c) for c in ("block", "is_words", "pack"))
+            block, kind, pack = (batch.column(c) for c in ("block", "kind", "pack"))
             for i in range(batch.num_rows):
                 own = pack[i].as_py()
-                if is_words[i].as_py():
-                    word, lengths, at, widths = _unpacked(own)
+                if kind[i].as_py() == WORDS:
+                    word, lengths, numbers = _unpacked(own)
                     ids, sizes = _coded(codes, _binary(word, np.append(0, np.cumsum(lengths))).cast(pa.string()))
-                    own = _packed(ids, sizes, at, widths)
-                yield pa.RecordBatch.from_arrays([block.slice(i, 1), is_words.slice(i, 1), pa.array([own], pa.binary())], ["block", "is_words", "pack"])
+                    own = _packed(ids, sizes, numbers)
+                yield pa.RecordBatch.from_arrays([block.slice(i, 1), kind.slice(i, 1), pa.array([own], pa.binary())], ["block", "kind", "pack"])
 
-    return rows.repartition("bucket").mapInArrow(code, "block long, is_words boolean, pack binary")
+    return rows.repartition("bucket").mapInArrow(code, "block long, kind int, pack binary")
 
 
 def _coded(codes: WordCodes, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -236,49 +239,57 @@ def _coded(codes: WordCodes, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out), np.concatenate(sizes)
 
 
-def _documents(packs: list[bytes], docs: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+def _documents(packs: list[bytes], places: bytes, docs: pa.Table) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Keys, all token ids and the number of ids of each document of a block, from all its packs."""
-    parts = [_unpacked(p) for p in packs] or [_unpacked(_packed(*[np.zeros(0, np.uint8), np.zeros(0, np.int64)] * 2))]
-    raw, sizes, at, at_sizes = (np.concatenate([p[k] for p in parts]) for k in range(4))
-    counts = docs.column("n").to_numpy()
-    which = _scattered(at, at_sizes, int(counts.sum()))
+    parts = [_unpacked(p) for p in packs] or [(np.zeros(0, np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+    raw, sizes, numbers = (np.concatenate([p[k] for p in parts]) for k in range(3))
+    del parts
+    words = docs.column("words")[0].as_py()
+    if len(numbers) != words or (np.bincount(numbers, minlength=words) != 1).any():
+        raise ValueError(f"positions wait for {words} words, {len(numbers)} came")
     ids, ends = from_varints(raw)
     first = np.searchsorted(ends, np.append(0, np.cumsum(sizes)), "right")
+    place = np.empty(words, np.int64)
+    place[numbers] = np.arange(words)
+    with zstandard.ZstdDecompressor().stream_reader(places) as source:
+        which = place[from_varints(np.frombuffer(source.read(), np.uint8))[0]]
+    counts = docs.column("n").to_numpy()
     widths = np.diff(first)[which]
     done = np.append(0, np.cumsum(widths))[np.append(0, np.cumsum(counts))]
-    return docs.column("id").combine_chunks(), ids[ranges(first[:-1][which], widths)].astype("<u4"), np.diff(done)
+    return docs.column("id").combine_chunks(), ids.astype("<u4")[ranges(first[:-1][which], widths)], np.diff(done)
 
 
-def reassembled(coded: DataFrame, kind: str) -> DataFrame:
-    """doc_id (of the type ``kind``), n_tokens, ids (little-endian uint32) of each document, from all rows of ``coded_words``."""
+def _assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, n_tokens, ids of the blocks whose rows (block, kind, pack) follow each other."""
+    block, packs = None, {}
 
-    def assemble(batches):
-        block, packs, docs = None, [], None
+    def made():
+        if PLACES not in packs or DOCUMENTS not in packs:
+            raise ValueError("a block came back without its documents")
+        keys, tokens, counts = _documents(packs.get(WORDS, []), packs[PLACES][0], pa.ipc.open_stream(packs[DOCUMENTS][0]).read_all())
+        packs.clear()
+        bounds = np.append(0, np.cumsum(counts))
+        for a in range(0, len(keys), 1000):
+            own = bounds[a : a + 1001]
+            yield pa.RecordBatch.from_arrays([keys.slice(a, 1000), pa.array(np.diff(own)), _binary(tokens[own[0] : own[-1]].view(np.uint8), 4 * (own - own[0]))], ["doc_id", "n_tokens", "ids"])
 
-        def made():
-            if docs is None:
-                raise ValueError("a block came back without its documents")
-            keys, tokens, counts = _documents(packs, docs)
-            bounds = np.append(0, np.cumsum(counts))
-            for a in range(0, len(keys), 1000):
-                own = bounds[a : a + 1001]
-                yield pa.RecordBatch.from_arrays([keys.slice(a, 1000), pa.array(np.diff(own)), _binary(tokens[own[0] : own[-1]].view(np.uint8), 4 * (own - own[0]))], ["doc_id", "n_tokens", "ids"])
+    for batch in batches:
+        for number, kind, pack in zip(*(batch.column(c) for c in ("block", "kind", "pack"))):
+            if block is not None and number.as_py() != block:
+                yield from made()
+            block = number.as_py()
+            packs.setdefault(kind.as_py(), []).append(pack.as_py())
+    if block is not None:
+        yield from made()
+
+
+def reassembled(coded: DataFrame, kind: str) -> DataFrame:
+    """doc_id (of the type ``kind``), n_tokens, ids (little-endian uint32) of each document, from all rows of ``coded_words``."""
+    return _by_block(coded).mapInArrow(_assembled, f"doc_id {kind}, n_tokens long, ids binary")
 
-        for batch in batches:
-            for number, is_words, pack in zip(*(batch.column(c) for c in ("block", "is_words", "pack"))):
-                if block is not None and number.as_py() != block:
-                    yield from made()
-                    packs, docs = [], None
-                block = number.as_py()
-                if is_words.as_py():
-                    packs.append(pack.as_py())
-                else:
-                    docs = pa.ipc.open_stream(pack.as_buffer()).read_all()
-        if block is not None:
-            yield from made()
 
-    rows = coded.repartition("block").sortWithinPartitions("block")
-    return rows.mapInArrow(assemble, f"doc_id {kind}, n_tokens long, ids binary")
+def _by_block(coded: DataFrame) -> DataFrame:
+    return coded.repartition("block").sortWithinPartitions("block").select("block", "kind", "pack")
 
 
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -308,28 +319,33 @@ def _groups(counts: np.ndarray) -> Iterator[tuple[int, int]]:
         a = b
 
 
-def _decoded(coded: DataFrame, path: str, id_col: str, ids_col: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, data for rows whose ids are little-endian uint32."""
-    kind = id_type(coded, id_col)
-    names = ["token", "at", "waiting", "id", "n", "ids_sha256"]
+TOKENS = ["token", "at", "waiting", "id", "n", "ids_sha256"]
+
+
+def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows whose first column is the id and whose last is ids: a row for each distinct token of a group, then its documents."""
+    for batch in batches:
+        raw, bounds = _raw(batch.column(batch.num_columns - 1).fill_null(b""))
+        tokens = np.frombuffer(raw.tobytes(), "<u4")
+        counts = np.diff(bounds) // 4
+        for a, b in _groups(counts):
+            own = tokens[bounds[a] // 4 : bounds[b] // 4]
+            distinct, numbers = np.unique(own, return_inverse=True)
+            steps, widths, _ = _positions(numbers, len(distinct))
+            n, k = len(distinct), b - a
+            waiting = np.append(np.zeros(k - 1, np.int64), n)  # the last row closes the group and says how many tokens it had
+            data = memoryview(raw)
+            digests = [hashlib.sha256(data[x:y]).hexdigest() for x, y in zip(bounds[a:b].tolist(), bounds[a + 1 : b + 1].tolist())]
+            keys = batch.column(0).slice(a, k)
+            yield pa.RecordBatch.from_arrays([pa.array(distinct.astype(np.int64)), _binary(steps, np.append(0, np.cumsum(widths))), pa.nulls(n, pa.int64()), pa.nulls(n, keys.type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.string())], TOKENS)
+            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.array(waiting), keys, pa.array(counts[a:b]), pa.array(digests, pa.string())], TOKENS)
+
+
+def _decoded(rows: DataFrame, make, kind: str, path: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, data; ``make`` turns batches of ``rows`` into rows (id, ..., ids as little-endian uint32)."""
 
     def explode(batches):
-        for batch in batches:
-            raw, bounds = _raw(batch.column(1).fill_null(b""))
-            tokens = np.frombuffer(raw.tobytes(), "<u4")
-            counts = np.diff(bounds) // 4
-            for a, b in _groups(counts):
-                own = tokens[bounds[a] // 4 : bounds[b] // 4]
-                distinct, numbers = np.unique(own, return_inverse=True)
-                steps, widths, _ = _positions(numbers, len(distinct))
-                at = _binary(steps, np.append(0, np.cumsum(widths)))
-                n, k = len(distinct), b - a
-                waiting = np.append(np.zeros(k - 1, np.int64), n)  # the last row closes the group and says how many tokens it had
-                data = memoryview(raw)
-                digests = [hashlib.sha256(data[x:y]).hexdigest() for x, y in zip(bounds[a:b].tolist(), bounds[a + 1 : b + 1].tolist())]
-                keys = batch.column(0).slice(a, k)
-                yield pa.RecordBatch.from_arrays([pa.array(distinct.astype(np.int64)), at, pa.nulls(n, pa.int64()), pa.nulls(n, keys.type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.string())], names)
-                yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.array(waiting), keys, pa.array(counts[a:b]), pa.array(digests, pa.string())], names)
+        return _token_rows(make(batches))
 
     def join_up(batches):
         words, docs = [], []
@@ -373,9 +389,9 @@ def _decoded(coded: DataFrame, path: str, id_col: str, ids_col: str) -> DataFram
         if docs or words:
             yield from made()
 
-    rows = coded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids")).mapInArrow(explode, f"token long, at binary, waiting long, id {kind}, n long, ids_sha256 string")
-    table = F.broadcast(token_bytes(coded.sparkSession, path).withColumnRenamed("token", "known"))  # bounded by the vocabulary
-    joined = rows.join(table, F.col("token") == F.col("known"), "left").select(*names, "data")
+    exploded_ids = rows.mapInArrow(explode, f"token long, at binary, waiting long, id {kind}, n long, ids_sha256 string")
+    table = F.broadcast(token_bytes(rows.sparkSession, path).withColumnRenamed("token", "known"))  # bounded by the vocabulary
+    joined = exploded_ids.join(table, F.col("token") == F.col("known"), "left").select(*TOKENS, "data")
     return joined.mapInArrow(join_up, f"doc_id {kind}, n_tokens long, ids_sha256 string, data binary")
 
 
@@ -392,11 +408,12 @@ def decode(coded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "
             counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), _binary(values.astype("<u4").view(np.uint8), 4 * np.append(0, np.cumsum(counts)))], ["id", "ids"])
 
-    rows = coded.select(F.col(id_col).alias("id"), ids.alias("ids")).mapInArrow(packed, f"id {id_type(coded, id_col)}, ids binary")
-    return _decoded(rows, path, "id", "ids").select("doc_id", "data")
+    rows = coded.select(F.col(id_col).alias("id"), ids.alias("ids"))
+    return _decoded(rows, packed, id_type(coded, id_col), path).select("doc_id", "data")
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: digests of the ids and of the bytes decoded from them."""
-    coded = reassembled(coded_words(exploded(docs, path, pattern, id_col, text_col), path, pattern), id_type(docs, id_col))
-    return _decoded(coded, path, "doc_id", "ids").select("doc_id", "n_tokens", "ids_sha256", F.sha2("data", 256).alias("decoded_sha256"))
+    coded = coded_words(exploded(docs, path, pattern, id_col, text_col), path, pattern)
+    rows = _decoded(_by_block(coded), _assembled, id_type(docs, id_col), path)  # reassembled and exploded again by one worker
+    return rows.select("doc_id", "n_tokens", "ids_sha256", F.sha2("data", 256).alias("decoded_sha256"))

@@ -194,7 +194,7 @@ def test_byte_bpe_in_small_blocks_with_salted_words(docs):
         rows = byte_bpe.exploded(many, RANKS, public.PATTERN, block_chars=50, often=often)
         packs = rows.collect()
         assert len({r.block for r in packs}) > 6
-        words = [(r.bucket, w) for r in packs if r.is_words for w in split_words(bytes(r.pack))]
+        words = [(r.bucket, w) for r in packs if r.kind == byte_bpe.WORDS for w in split_words(bytes(r.pack))]
         assert sum(w == b" word" for _, w in words) == 3  # of 14,997 occurrences
         assert (len(set(words)) == len({w for _, w in words})) == (often == 1)  # rare words have one bucket, frequent ones more
         found = byte_bpe.reassembled(byte_bpe.coded_words(rows, RANKS, public.PATTERN), "long").collect()
@@ -203,14 +203,14 @@ def test_byte_bpe_in_small_blocks_with_salted_words(docs):
 
 
 def split_words(pack):
-    flat, sizes, _, _ = byte_bpe._unpacked(pack)
+    flat, sizes, _ = byte_bpe._unpacked(pack)
     return [w.tobytes() for w in np.split(flat, np.cumsum(sizes)[:-1])]
 
 
 def test_byte_bpe_has_no_other_source_of_ids(docs):
     coded = byte_bpe.coded_words(byte_bpe.exploded(docs, RANKS, public.PATTERN), RANKS, public.PATTERN)
-    with pytest.raises(Exception, match="positions wait for words"):
-        byte_bpe.reassembled(coded.filter("not is_words or length(pack) % 2 = 0"), "long").collect()
+    with pytest.raises(Exception, match="positions wait for"):
+        byte_bpe.reassembled(coded.filter("kind > 0 or length(pack) % 2 = 0"), "long").collect()
     with pytest.raises(Exception, match="token table lacks"):
         byte_bpe.decode(docs.select("doc_id", F.array(F.lit(50_300)).alias("ids")), RANKS).collect()
 
