@@ -172,6 +172,55 @@ def test_context_is_learnt_from_all_forms_of_seeds(spark):
     assert all(found[i].n_found == 0 for i in range(len(texts)))
 
 
+def test_only_the_words_around_tell(spark):
+    r = random.Random(9)
+    key = lambda n: "".join(r.choice("0123456789abcdef") for _ in range(n))
+    sure = lambda: "0123456789abcdef" + key(24)
+    filler = lambda: " ".join(r.choice("abcdefgh") * 4 for _ in range(6))
+    texts = [f'{filler()} api token = "{sure()}" {filler()}' for _ in range(12)]
+    texts += [f'{filler()} api token = "A{i}7-xq" {filler()}' for i in range(3)] + [f"{filler()} order A{i}7-xq9 {filler()}" for i in range(3)]
+    found = {x.doc_id: x for x in pii.found(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, t in enumerate(texts):
+        a = t.find('"') + 1
+        assert found[i].spans == (f"ctx_secret:{a}:{t.rfind(chr(34))}" if a else ""), t
+
+
+def test_long_texts_with_many_spans(spark):
+    text = "".join(f"x{i}@y.zz {i} +1 202 555 {i % 10000:04d} 1.2.3.4 \U0001f642\n" for i in range(3000))
+    other = "é" * 9000 + " a@b.cc " + "z " * 9000
+    df = spark.createDataFrame([(1, text), (2, other)], "doc_id long, text string")
+    rows = {r.doc_id: r for r in pii.found(df).collect()}
+    for k, t in ((1, text), (2, other)):
+        assert rows[k].spans == ",".join(f"{pii.KINDS[i]}:{a}:{b}" for i, a, b in brute_spans(t))
+    masked = {r.doc_id: r.text for r in pii.redacted(df).collect()}
+    for k, t in ((1, text), (2, other)):
+        out, at, runs = "", 0, []
+        for i, a, b in sorted(brute_spans(t), key=lambda s: (s[1], s[2], s[0])):
+            if runs and a < runs[-1][1]:
+                runs[-1][1] = max(runs[-1][1], b)
+            else:
+                runs.append([a, b, pii.KINDS[i].upper()])
+        for a, b, kind in runs:
+            out, at = out + t[at:a] + f"<{kind}>", b
+        assert masked[k] == out + t[at:]
+
+
+def test_running_and_spans_that_meet(spark):
+    r = random.Random(3)
+    lists = [[], [5], [r.randint(-9, 9) for _ in range(1000)]] + [[r.randint(-9, 9) for _ in range(k)] for k in (63, 64, 65, 128)]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(lists)], "i int, x array<bigint>")
+    sums = {q.i: q.s for q in df.select("i", pii.running(F.col("x"), lambda a, b: a + b, F.lit(0).cast("long")).alias("s")).collect()}
+    assert all(sums[i] == [sum(x[: k + 1]) for k in range(len(x))] for i, x in enumerate(lists))
+    cases = []
+    for _ in range(60):
+        spans = lambda n, ranks: sorted((r.randrange(ranks), a, a + r.randint(1, 9)) for a in (r.randint(0, 60) for _ in range(n)))
+        cases.append((spans(r.randint(0, 5), 4), spans(r.randint(0, 6), 5)))
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], f"i int, base {pii.SPAN}, more {pii.SPAN}")
+    for q in df.select("i", pii._fresh(F.col("base"), F.col("more")).alias("f")).collect():
+        base, more = cases[q.i]
+        assert [tuple(s) for s in q.f] == [m for m in more if not any(b[1] < m[2] and m[1] < b[2] for b in base)]
+
+
 def test_masking(spark):
     df = spark.createDataFrame([(1, "to a@b.cc, or 1.2.3.4!", 5), (2, None, 6), (3, "plain é", 7), (3, "plain é", 7)], "doc_id long, text string, base int")
     assert sorted(tuple(map(str, r)) for r in pii.redacted(df).collect()) == [("1", "to <EMAIL>, or <IP>!", "5"), ("2", "None", "6"), ("3", "plain é", "7"), ("3", "plain é", "7")]
