@@ -1,15 +1,18 @@
 """Quality by weak supervision: rules vote good or bad or abstain, and EM weighs the votes.
 
-Each rule looks at one measure of a document.  Votes of all documents are counted by pattern (at most
+Each rule looks at one measure of a document.  Votes of the documents are counted by pattern (at most
 3 ** rules of them); expectation-maximisation on the counts estimates how often good and bad documents
-get each vote from each rule, starting from and held near stated beliefs, and never turns a vote
-round; how much a vote weighs is left to the estimates.  A document is kept if its posterior probability of being good is at least 0.5 and the base
-rules don't fail it.  All of it is DataFrame functions; the model that reaches the driver is
+get each vote from each rule.  Stated beliefs begin it, which settles which class is the good one, and weigh
+as much as ``PRIOR`` documents, however many there are; nothing else bounds the estimates.  A
+document is kept if its posterior probability of being good is at least 0.5.  ``judged`` also drops what the
+base rules fail, and learns from the documents that pass them; ``good_documents`` goes by the posterior
+alone and learns from all.  All of it is DataFrame functions; the model that reaches the driver is
 3 * rules + 1 numbers.
 
-Cases: a null or empty text has no words, fails the base rules and is not kept; repeated rows are
-judged each; rows with a null id are judged like others; an empty table gives no rows; other
-columns are not read by ``judged`` and kept by ``good_documents``.
+Cases: a null or empty text has no words, fails the base rules, gets no votes and is kept by neither; repeated rows
+are judged each and count each; rows with a null id are judged like others; very long texts are measured whole,
+in time in proportion to their length but for a sort of their windows; an empty table gives no rows; other
+columns are not read by ``judged``, kept by ``good_documents``, and may have any names.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from ..session import written
 
 BLANK = r"[\x20\x09-\x0D]"
 ROUNDS = 30
-HOLD = 0.5  # weight of the beliefs, as a share of the documents
+PRIOR = 20.0  # documents of either class that the beliefs stand for
 # rule: (good votes: bad and good; bad documents: bad and good) as believed at first
 BELIEFS = {
     "symbols": (0.004, 0.95, 0.30, 0.65),
@@ -106,10 +109,8 @@ def fitted(voted: DataFrame, rules: list[str]) -> tuple[list[float], float]:
     bad = [x for _, _, g, p in belief for x in (g, 1 - g - p, p)]
     array = lambda values: F.array(*[F.lit(float(v)) for v in values])
 
-    def ratio(g: Column, b: Column, i: Column) -> Column:
-        raw = F.log(F.greatest(g, F.lit(1e-6)) / F.greatest(b, F.lit(1e-6)))
-        kind = i % 3  # a bad vote never speaks for a document, a good one never against it
-        return F.when(kind == 0, F.least(raw, F.lit(0.0))).when(kind == 2, F.greatest(raw, F.lit(0.0))).otherwise(raw)
+    def ratio(x: Column) -> Column:
+        return F.log(x["g"] / x["b"])
 
     def step(state: Column, _: Column) -> Column:
         def add(sums: Column, p: Column) -> Column:
@@ -119,42 +120,42 @@ def fitted(voted: DataFrame, rules: list[str]) -> tuple[list[float], float]:
             return F.zip_with(sums, mine, lambda a, b: a + b)
 
         sums = F.aggregate("patterns", F.array_repeat(F.lit(0.0), 2 * k + 2), add)
-        held = F.col("total") * HOLD + 1
 
         def renewed(s: Column) -> Column:
-            g = F.zip_with(F.slice(s, 1, k), array(good), lambda x, b: (x + held * b) / (F.element_at(s, 2 * k + 1) + held))
-            b = F.zip_with(F.slice(s, k + 1, k), array(bad), lambda x, b: (x + held * b) / (F.element_at(s, 2 * k + 2) + held))
-            logs = F.transform(F.arrays_zip(g.alias("g"), b.alias("b")), lambda x, i: ratio(x["g"], x["b"], i))
-            share = (F.element_at(s, 2 * k + 2) + held * BAD_SHARE) / (F.col("total") + held)
-            share = F.least(F.greatest(share, F.lit(0.02)), F.lit(0.5))
-            return F.struct(logs.alias("logs"), F.log((1 - share) / share).alias("base"))
+            g = F.zip_with(F.slice(s, 1, k), array(good), lambda x, b: (x + PRIOR * b) / (F.element_at(s, 2 * k + 1) + PRIOR))
+            b = F.zip_with(F.slice(s, k + 1, k), array(bad), lambda x, b: (x + PRIOR * b) / (F.element_at(s, 2 * k + 2) + PRIOR))
+            share = (F.element_at(s, 2 * k + 2) + PRIOR * BAD_SHARE) / (F.col("total") + PRIOR)
+            return F.struct(F.transform(F.arrays_zip(g.alias("g"), b.alias("b")), ratio).alias("logs"), F.log((1 - share) / share).alias("base"))
 
         return F.element_at(F.transform(F.array(sums), renewed), 1)
 
-    first = F.struct(F.transform(F.arrays_zip(array(good).alias("g"), array(bad).alias("b")), lambda x, i: ratio(x["g"], x["b"], i)).alias("logs"), F.log(F.lit((1 - BAD_SHARE) / BAD_SHARE)).alias("base"))
+    first = F.struct(F.transform(F.arrays_zip(array(good).alias("g"), array(bad).alias("b")), ratio).alias("logs"), F.log(F.lit((1 - BAD_SHARE) / BAD_SHARE)).alias("base"))
     model = patterns.select(F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), first, step).alias("m")).first()["m"]  # 3 * rules + 1 numbers
     return list(model["logs"]), float(model["base"])
 
 
-def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), base_rules: bool = True) -> DataFrame:
     """doc_id (or ``keep``), n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, probability."""
     rows = measures(docs, id_col, text_col, keep)
     own = votes()
-    rows = written(rows.withColumns({f"_{r}": v for r, v in own.items()}), "votes")
+    failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
+    rows = written(rows.withColumns({f"_{r}": v for r, v in own.items()} | {"_failed": failed}), "votes")
     rules = list(own)
-    logs, base = fitted(rows.select(*[F.col(f"_{r}").alias(r) for r in rules]), rules)
+    learnt = rows.filter("not _failed") if base_rules else rows
+    logs, base = fitted(learnt.select(*[F.col(f"_{r}").alias(r) for r in rules]), rules)
     odds = F.lit(base)
     for i, r in enumerate(rules):
         for j, v in enumerate((-1, 0, 1)):
             odds = odds + F.when(F.col(f"_{r}") == v, F.lit(logs[3 * i + j])).otherwise(F.lit(0.0))
-    failed = (F.col("n_words") < 50) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
     probability = F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
-    return rows.select(*(keep or ("doc_id",)), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & (probability >= 0.5)).alias("kept"), probability.alias("probability"))
+    good = (probability >= 0.5) & (F.col("n_words") > 0)
+    kept = good & ~F.col("_failed") if base_rules else good
+    return rows.select(*(keep or ("doc_id",)), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", F.col("_failed").alias("base_failed"), kept.alias("kept"), probability.alias("probability"))
 
 
 def good_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, of documents that ``judged`` keeps."""
+    """The rows, with all their columns, of documents whose posterior is good, short ones too."""
     hidden = {c: f"_c{i}" for i, c in enumerate(docs.columns)}
     own = docs.select(*[F.col(f"`{c}`").alias(h) for c, h in hidden.items()])
-    rows = judged(own, text_col=hidden[text_col], keep=tuple(hidden.values()))
+    rows = judged(own, text_col=hidden[text_col], keep=tuple(hidden.values()), base_rules=False)
     return rows.filter("kept").select(*[F.col(h).alias(c) for c, h in hidden.items()])

@@ -1,5 +1,6 @@
 """Near duplicates, quality, personal data and toxicity against brute force."""
 
+import math
 import random
 import re
 import zlib
@@ -102,25 +103,66 @@ def test_quality_keeps_clean_and_drops_bad(spark, sf):
     assert kept.columns == [*docs.columns, "n_words"] and 0 < kept.count() < docs.count()
 
 
+def brute_em(marks, rules, rounds):
+    """EM over single documents, in plain loops."""
+    prior = {c: {r: dict(zip((-1, 1), quality.BELIEFS[r][2 * c : 2 * c + 2])) for r in rules} for c in (0, 1)}  # 0: good, 1: bad
+    for c in (0, 1):
+        for r in rules:
+            prior[c][r][0] = 1 - prior[c][r][-1] - prior[c][r][1]
+    share, chance = quality.BAD_SHARE, prior
+    for _ in range(rounds):
+        weights = []
+        for m in marks:
+            like = [1 - share, share]
+            for c in (0, 1):
+                for r in rules:
+                    like[c] *= chance[c][r][m[r]]
+            weights.append([x / sum(like) for x in like])
+        total = [sum(w[c] for w in weights) for c in (0, 1)]
+        share = (total[1] + quality.PRIOR * quality.BAD_SHARE) / (len(marks) + quality.PRIOR)
+        chance = {c: {r: {v: (sum(w[c] for w, m in zip(weights, marks) if m[r] == v) + quality.PRIOR * prior[c][r][v]) / (total[c] + quality.PRIOR) for v in (-1, 0, 1)} for r in rules} for c in (0, 1)}
+    return [math.log(chance[0][r][v] / chance[1][r][v]) for r in rules for v in (-1, 0, 1)], math.log((1 - share) / share)
+
+
+def voted(spark, marks, rules):
+    return spark.createDataFrame([tuple(m[r] for r in rules) for m in marks], ", ".join(f"{r} int" for r in rules))
+
+
+def test_estimates_equal_brute_force_em(spark):
+    r, rules = random.Random(8), list(quality.BELIEFS)
+    marks = [{x: r.choice((-1, -1, 0, 1) if i % 6 == 0 else (-1, 0) + (1,) * 12) for x in rules} for i in range(300)]
+    logs, base = quality.fitted(voted(spark, marks, rules), rules)
+    wanted, wanted_base = brute_em(marks, rules, quality.ROUNDS)
+    assert abs(base - wanted_base) < 1e-6 and max(abs(a - b) for a, b in zip(logs, wanted)) < 1e-6
+    assert quality.fitted(voted(spark, marks, rules).filter("1 = 0"), rules)[1] == pytest.approx(math.log((1 - quality.BAD_SHARE) / quality.BAD_SHARE))
+
+
 def test_estimates_set_the_weight_of_a_vote(spark):
     rules = list(quality.BELIEFS)
     junk = {"symbols": -1, "capitals": -1, "plain": -1}
     marks = [{}] * 900 + [junk] * 60 + [{**junk, "sentences": -1}] * 20 + [{"sentences": -1}] * 200  # sentences: as often among the good
-    voted = spark.createDataFrame([tuple(m.get(r, 1) for r in rules) for m in marks], ", ".join(f"{r} int" for r in rules))
-    logs, base = quality.fitted(voted, rules)
+    logs, base = quality.fitted(voted(spark, [{x: m.get(x, 1) for x in rules} for m in marks], rules), rules)
     weight = lambda m: base + sum(logs[3 * i + 1 + m.get(r, 1)] for i, r in enumerate(rules))
-    assert logs[3 * rules.index("sentences")] > -2 and logs[3 * rules.index("symbols")] < -4.5
+    assert abs(logs[3 * rules.index("sentences")]) < 1 and logs[3 * rules.index("symbols")] < -4.5
     assert weight({"sentences": -1}) > 0 > weight(junk)
 
 
 def test_one_weak_bad_vote_keeps_a_document(spark):
     r = random.Random(6)
     clean = lambda: " ".join("".join(r.choice("abcdefghij") for _ in range(5)) for _ in range(80))
-    texts = [f"{clean()}. Fine?" for _ in range(60)] + [" ".join(w + r.choice(["$$$", "&&&", "###"]) for w in clean().split()) + "." for _ in range(8)] + [clean()] + ["\u65e5\u672c\u8a9e\u3001\u3067\u3059\u3002 " * 2 + clean() + "."]
+    texts = [f"{clean()}. Fine?" for _ in range(60)] + [" ".join(w + r.choice(["$$$", "&&&", "###"]) for w in clean().split()) + "." for _ in range(8)] + [clean()] * 6 + ["\u65e5\u672c\u8a9e\u3001\u3067\u3059\u3002 " * 2 + clean() + "."]
     found = {x.doc_id: x.kept for x in quality.judged(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert [i for i, kept in found.items() if not kept] == list(range(60, 68))
 
 
+def test_clean_documents_alone_stay(spark):
+    r = random.Random(7)
+    clean = lambda n: " ".join("".join(r.choice("abcdefghij") for _ in range(5)) for _ in range(n)) + "."
+    texts = [clean(r.choice((8, 30, 80, 300))) for _ in range(80)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, "", None])], "doc_id long, text string")
+    assert {x.doc_id for x in quality.good_documents(df).collect()} == set(range(80))
+
+
 EMAIL, IP = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD, PHONE = re.compile(r"[0-9]([\x20-]?[0-9])+"), re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
