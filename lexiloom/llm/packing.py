@@ -5,31 +5,34 @@ that histogram: at most ``capacity`` lengths, however many documents.  A pattern
 list of lengths with the number of bins that are filled so.  Best fit makes the first
 patterns; then documents move, or are exchanged one for one, two for one or one for two,
 between underfull patterns wherever that increases the sum of squared fills, which
-empties bins.  Each piece finds its place by its rank among the pieces of its length.
+empties bins.  It ends when no exchange increases that sum, which can't rise for ever.
 
-Cases: a null text is empty (its piece holds the end id alone); repeated rows are packed
-each; ties of length are dealt out by hash, id and piece; rows with a null id are packed
-like others; an empty table gives no pieces; other columns of the input are not read.
+Each piece finds its place by its rank among the pieces of its length.  A task numbers its own pieces of each length as
+it writes them; counts by task and length, summed over tasks, say how many come before.  No piece moves for
+that, whatever length most pieces have, and the driver gets one count a length.
+
+Cases: a null text is empty (its piece holds the end id alone); very long texts are cut into as many pieces as they
+need; repeated rows are packed each; pieces of one length are dealt out as they come; rows with a null id are packed
+like others; an empty table gives no pieces; ``pack_documents`` reads no other columns, ``pack`` keeps those it is
+given (``sequence_id`` and ``offset`` in their place if there were such).
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import Counter
+from collections import Counter, deque
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from ..session import written
 from .tokenizing import encoded_slices, id_type
 
-SALTS = 64  # parts into which the pieces of one length are dealt; 64 * capacity counts reach the driver at most
-MOST_MOVES = 20_000  # of the local search on the histogram; each strictly increases the squared fill
-
 
 def token_pieces(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32 and, if asked for, ids.
@@ -106,31 +109,41 @@ def _better(full: tuple, low: tuple, capacity: int) -> tuple[tuple, tuple] | Non
     return order(a), order(b)
 
 
-def improve(patterns: Counter, capacity: int, most: int = MOST_MOVES) -> Counter:
-    """Local search: moves and exchanges until none increases the squared fill or all bins but one are full."""
+def improve(patterns: Counter, capacity: int) -> Counter:
+    """Local search: moves and exchanges until none increases the squared fill.
+
+    Each pattern that is new or got more bins meets all underfull ones once, the fullest first.
+    """
     done = Counter({p: c for p, c in patterns.items() if sum(p) == capacity})
     open_ = Counter({p: c for p, c in patterns.items() if sum(p) < capacity})
-    tried: set[tuple] = set()
+    fill = {p: sum(p) for p in open_}
+    number = {p: i for i, p in enumerate(open_)}
+    idle: set[int] = set()  # pairs without an exchange that gains
+    queue = deque(sorted(open_, key=lambda p: (fill[p], p)))
+    queued = set(queue)
+
+    def wait(pattern: tuple) -> None:
+        if pattern not in queued:
+            queued.add(pattern)
+            queue.append(pattern)
 
     def put(pattern: tuple, times: int) -> None:
-        if pattern:
-            (done if sum(pattern) == capacity else open_)[pattern] += times
-
-    while most:
-        order = sorted(open_, key=lambda p: (-sum(p), p))
-        change = None
-        for j in range(len(order) - 1, -1, -1):  # the emptiest bin gives first
-            for full in order[: j + 1]:
-                low = order[j]
-                if full == low and open_[low] < 2 or (full, low) in tried:
-                    continue
-                if change := _better(full, low, capacity):
-                    break
-                tried.add((full, low))
-            if change:
-                break
+        if sum(pattern) == capacity:
+            done[pattern] += times
+        elif pattern:
+            fill[pattern] = sum(pattern)
+            number.setdefault(pattern, len(number))
+            open_[pattern] += times
+            wait(pattern)
+
+    def exchange(full: tuple, low: tuple) -> bool:
+        pair = number[full] << 32 | number[low]
+        if fill[full] < fill[low] or pair in idle:
+            return False
+        change = _better(full, low, capacity)
         if not change:
-            break
+            idle.add(pair)
+            return False
         times = open_[low] // 2 if full == low else min(open_[full], open_[low])
         for p in (full, low):
             open_[p] -= times
@@ -138,7 +151,16 @@ def improve(patterns: Counter, capacity: int, most: int = MOST_MOVES) -> Counter
                 del open_[p]
         for p in change:
             put(p, times)
-        most -= 1
+        return True
+
+    while queue:
+        own = queue.popleft()
+        queued.remove(own)
+        for other in sorted(open_, key=lambda p: (-fill[p], p)):
+            if own not in open_:
+                break
+            if other in open_ and (own != other or open_[own] > 1) and (exchange(own, other) or exchange(other, own)) and own in open_:
+                wait(own)
     return done + open_
 
 
@@ -177,33 +199,50 @@ class Places:
         return self.base[k] + within // self.copies[k], self.offsets[self.at[k] + within % self.copies[k]]
 
 
-def pack(pieces: DataFrame, capacity: int = 1024, length_col: str = "length", order_cols: tuple[str, ...] = ("doc_id", "piece")) -> DataFrame:
-    """Adds ``sequence_id`` and ``offset`` to materialised rows whose lengths are 1 to ``capacity``."""
-    salt = F.pmod(F.xxhash64(*order_cols), F.lit(SALTS)).cast("int")
-    rows = pieces.withColumns({"_salt": salt, "_length": F.col(length_col).cast("long")})
-    found = rows.groupBy("_length", "_salt").agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values(["_length", "_salt"])  # capacity * SALTS rows at most
-    wrong = found[(found["_length"].isna()) | (found["_length"] < 1) | (found["_length"] > capacity)]
-    if len(wrong):
-        raise ValueError(f"lengths must be 1 to {capacity}: {wrong['_length'].tolist()[:3]}")
-    found["before"] = found.groupby("_length")["n"].cumsum() - found["n"]
-    before = np.zeros((capacity + 1, SALTS), np.int64)
-    before[found["_length"].astype(int), found["_salt"]] = found["before"]
-    counts = {int(k): int(v) for k, v in found.groupby("_length")["n"].sum().items()}
-    places = Places.of(improve(best_fit(counts, capacity), capacity))
+def numbered(pieces: DataFrame, capacity: int, length_col: str) -> DataFrame:
+    """The rows, written, with their task (``_task``) and their number among its rows of that length (``_nth``)."""
+    wrong = F.raise_error(F.concat(F.lit(f"lengths must be 1 to {capacity}: "), F.coalesce(F.col(length_col).cast("string"), F.lit("null"))))
+    length = F.col(length_col).cast("long")
+    rows = pieces.withColumn("_length", F.when(length.between(1, capacity), length).otherwise(wrong))
+    schema = StructType([*rows.schema.fields, StructField("_task", LongType()), StructField("_nth", LongType())])
+
+    def count(batches):
+        from pyspark import TaskContext
+
+        task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
+        for batch in batches:
+            length = batch.column("_length").to_numpy()
+            order = np.argsort(length, kind="stable")
+            counts = np.bincount(length, minlength=capacity + 1)
+            nth = np.empty(len(length), np.int64)
+            nth[order] = np.arange(len(length)) - np.repeat(np.cumsum(counts) - counts, counts)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(length), task, np.int64)), pa.array(nth + seen[length])], [*batch.schema.names, "_task", "_nth"])
+            seen += counts
+
+    return written(rows.mapInArrow(count, schema), "pieces")
+
+
+def pack(pieces: DataFrame, capacity: int = 1024, length_col: str = "length") -> DataFrame:
+    """Adds ``sequence_id`` and ``offset`` to rows whose lengths are 1 to ``capacity``; the rows are written once to the shared folder."""
+    rows = numbered(pieces, capacity, length_col)
+    counts = written(rows.groupBy("_task", "_length").agg(F.count(F.lit(1)).alias("n")), "counts")  # a row for each task and length
+    found = counts.groupBy("_length").agg(F.sum("n").alias("n")).collect()  # capacity rows at most
+    places = Places.of(improve(best_fit({r["_length"]: r["n"] for r in found}, capacity), capacity))
+    earlier = Window.partitionBy("_length").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)  # a row for each task
+    before = counts.select(F.col("_task").alias("_t"), F.col("_length").alias("_l"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before"))
 
     @F.pandas_udf("sequence_id long, offset long")
-    def place(length, salt, rank):
+    def place(length, rank):
         import pandas as pd
 
-        n = length.to_numpy()
-        where = places.find(n, before[n, salt.to_numpy()] + rank.to_numpy() - 1)
+        where = places.find(length.to_numpy(), rank.to_numpy())
         return pd.DataFrame({"sequence_id": where[0], "offset": where[1]})
 
-    window = Window.partitionBy("_length", "_salt").orderBy(*order_cols)
-    ranked = rows.withColumn("_rank", F.row_number().over(window)).withColumn("_place", place("_length", "_salt", "_rank"))
-    return ranked.select(*pieces.columns, F.col("_place.sequence_id").alias("sequence_id"), F.col("_place.offset").alias("offset"))
+    ranked = rows.join(before, (F.col("_task") == F.col("_t")) & (F.col("_length") == F.col("_l"))).withColumn("_place", place("_length", F.col("_before") + F.col("_nth")))
+    kept = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    return ranked.select(*[F.col(f"`{c}`") for c in kept], F.col("_place.sequence_id").alias("sequence_id"), F.col("_place.offset").alias("offset"))
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, keep_ids: bool = False) -> DataFrame:
-    """Tokenizes, cuts and packs whole documents; the pieces are written once to the shared folder."""
-    return pack(written(token_pieces(docs, path, capacity, end_id, keep_ids=keep_ids), "pieces"), capacity)
+    """Tokenizes, cuts and packs whole documents."""
+    return pack(token_pieces(docs, path, capacity, end_id, keep_ids=keep_ids), capacity)

@@ -127,9 +127,48 @@ def test_exchange_empties_a_bin():
     assert packing.improve(start, 100).total() == 2
 
 
+def test_search_empties_bins_that_best_fit_leaves():
+    saved = 0
+    for seed in range(60):
+        r = random.Random(seed)
+        counts = Counter(r.randint(20, 60) for _ in range(200))
+        first = packing.best_fit(counts, 100)
+        last = packing.improve(first, 100)
+        assert last.total() <= first.total()
+        saved += first.total() - last.total()
+        # Nothing is left that an exchange would improve.
+        bins = [p for p in last if sum(p) < 100]
+        for a in bins:
+            for b in bins:
+                if (a != b or last[a] > 1) and sum(a) >= sum(b):
+                    assert packing._better(a, b, 100) is None
+    assert saved >= 10
+
+
+def test_search_has_no_end_before_its_own():
+    r = random.Random(1)
+    counts = Counter(r.randint(1, 700) for _ in range(40_000))
+    first = packing.best_fit(counts, 1024)
+    last = packing.improve(first, 1024)
+    assert sum(sum(p) * c for p, c in last.items()) == sum(n * c for n, c in counts.items())
+    assert last.total() <= first.total()
+
+
+def test_pack_with_one_length_for_most_rows(spark):
+    rows = spark.range(20_000, numPartitions=7).selectExpr("id as doc_id", "case when id % 3 = 0 then 100 when id % 3 = 1 then 60 else 40 end as size", "'x' as offset", "id as _x")
+    found = packing.pack(rows, 100, "size")
+    assert found.columns == ["doc_id", "size", "_x", "sequence_id", "offset"]
+    bins = Counter()
+    for r in found.collect():
+        bins[r.sequence_id] += r["size"]
+    assert len(bins) == 6667 + 6667 and max(bins.values()) == 100
+    assert packing.pack(rows.filter("1 = 0"), 100, "size").count() == 0
+
+
 def test_pack_refuses_wrong_lengths(spark):
-    with pytest.raises(ValueError):
-        packing.pack(spark.createDataFrame([(1, 0, 2000)], "doc_id long, piece int, length long"), 1024)
+    for wrong in (2000, 0, None):
+        with pytest.raises(Exception, match="lengths must be"):
+            packing.pack(spark.createDataFrame([(1, 0, wrong)], "doc_id long, piece int, length long"), 1024)
 
 
 @pytest.mark.parametrize("top", [1, 255, 256, 70_000, 2**31])
