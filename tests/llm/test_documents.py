@@ -68,6 +68,26 @@ def test_near_duplicates_odd_rows(spark):
     assert near_dedup.near_duplicates(df.filter("1 = 0"), 2).count() == 0
 
 
+def test_repeated_rows_are_one_node(spark):
+    words = [f"w{i}" for i in range(60)]
+    near, far = " ".join(words), " ".join([*words[:58], "x", "y"])
+    rows = spark.range(6000).selectExpr("id % 3 as k").withColumn("text", F.when(F.col("k") == 0, near).when(F.col("k") == 1, far).otherwise("other " * 3))
+    found = near_dedup.near_duplicates(rows.withColumnRenamed("k", "doc_id"), 2).groupBy("doc_id", "component_id", "kept").count().collect()
+    assert sorted(map(tuple, found)) == [(0, 0, True, 2000), (1, 0, False, 2000), (2, 2, True, 2000)]
+
+
+def test_outsiders_of_a_large_group_need_one_link_each(spark):
+    r = random.Random(5)
+    base = [f"w{i}" for i in range(100)]
+    group = [" ".join([*base, *(f"g{r.randrange(6)}" for _ in range(8))]) for _ in range(120)]
+    outside = [" ".join([*base[:k], *(f"o{k}_{j}" for j in range(100 - k))]) for k in range(80, 99)]
+    texts = group + outside
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for rounds in (0, 2):
+        found = {x.doc_id: x.component_id for x in near_dedup.near_duplicates(df, 2, rounds=rounds).collect()}
+        assert [found[i] for i in range(len(texts))] == brute_components(texts, 2, 80)[1]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 200), (200, 150), (7, 300)]
     found = {r.node: r.component for r in near_dedup.components(spark.createDataFrame(edges, "a long, b long")).collect()}
