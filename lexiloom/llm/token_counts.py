@@ -64,26 +64,22 @@ def with_suffix_sums(hist: DataFrame) -> DataFrame:
 def answers(hist: DataFrame, limits: DataFrame, limit_col: str = "context") -> DataFrame:
     """For each row of ``limits``: total tokens, tokens if cut to the limit, documents and tokens over it.
 
-    The histogram joins on its blocks: those wholly below, wholly above, and the
-    limit's own.  Limits may be any non-negative numbers; a null one gets nulls.
+    A limit joins its own block of the histogram by equality; blocks know the sums of all longer ones.
+    Limits may be any non-negative numbers; a null one gets nulls.
     """
-    block = F.floor(F.col("n_tokens") / BLOCK)
-    cells = hist.groupBy(block.alias("block")).agg(F.sum("n_docs").alias("n"), F.sum(F.col("n_tokens") * F.col("n_docs")).alias("t"), F.collect_list(F.struct("n_tokens", "n_docs")).alias("cells"))
+    block = lambda c: F.floor(F.col(c) / BLOCK).alias("block")
     rows = limits.select(F.col(limit_col).cast("long").alias("limit")).distinct()
-    own = F.floor(F.col("limit") / BLOCK)
+    cell = F.when(F.col("n_docs") > 0, F.struct("n_tokens", "n_docs"))
+    every = hist.select(block("n_tokens"), "n_tokens", "n_docs").union(rows.select(block("limit"), F.lit(0), F.lit(0)).filter("block is not null"))
+    sums = every.groupBy("block").agg(F.sum("n_docs").alias("n"), F.sum(F.col("n_tokens") * F.col("n_docs")).alias("t"), F.collect_list(cell).alias("cells"))
+    longer = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)  # a row a block
+    known = sums.select(F.col("block").alias("own"), "cells", F.coalesce(F.sum("n").over(longer), F.lit(0)).alias("d"), F.coalesce(F.sum("t").over(longer), F.lit(0)).alias("o"), F.sum("t").over(Window.partitionBy(F.lit(1))).alias("total"))
     over = F.filter("cells", lambda c: c["n_tokens"] > F.col("limit"))
-    docs_over = F.when(F.col("block") > own, F.col("n")).when(F.col("block") < own, F.lit(0)).otherwise(F.aggregate(over, F.lit(0).cast("long"), lambda a, c: a + c["n_docs"]))
-    tokens_over = F.when(F.col("block") > own, F.col("t")).when(F.col("block") < own, F.lit(0)).otherwise(F.aggregate(over, F.lit(0).cast("long"), lambda a, c: a + c["n_docs"] * c["n_tokens"]))
-    # A stated set of limits against all blocks: the limits are the query set.
-    found = rows.join(F.broadcast(cells), F.col("limit").isNotNull(), "left").select("limit", docs_over.alias("d"), tokens_over.alias("o"), "t")
-    sums = found.groupBy("limit").agg(F.sum("d").alias("docs_over"), F.sum("o").alias("tokens_over"), F.sum("t").alias("total_tokens"))
-    zero = lambda c: F.when(F.col("limit").isNotNull(), F.coalesce(F.col(c), F.lit(0)))
-    return sums.select(
-        F.col("limit").alias(limit_col),
-        zero("total_tokens").alias("total_tokens"),
-        zero("docs_over").alias("docs_over"),
-        (zero("total_tokens") - zero("tokens_over") + F.col("limit") * zero("docs_over")).alias("truncated_total"),
-    )
+    docs_over = F.col("d") + F.aggregate(over, F.lit(0).cast("long"), lambda a, c: a + c["n_docs"])
+    tokens_over = F.col("o") + F.aggregate(over, F.lit(0).cast("long"), lambda a, c: a + c["n_docs"] * c["n_tokens"])
+    found = rows.join(known, F.floor(F.col("limit") / BLOCK) == F.col("own"), "left").select("limit", docs_over.alias("docs_over"), tokens_over.alias("tokens_over"), "total")
+    truncated = F.col("total") - F.col("tokens_over") + F.col("limit") * F.col("docs_over")
+    return found.select(F.col("limit").alias(limit_col), F.col("total").alias("total_tokens"), "docs_over", truncated.alias("truncated_total"))
 
 
 def quantiles(sums: DataFrame, probabilities: list[float]) -> DataFrame:

@@ -11,10 +11,15 @@ Tokens without a chosen feature all have the same potentials, so a run of n of t
 2 * 2 matrix: marginals are exact for whole texts of any length, at a cost in
 proportion to the tokens that bear features.
 
-Bounds: ``SAMPLE`` labelled documents of either class (those of the least hash of the id), ``CANDIDATES`` features
-reach the driver, ``WINDOWS`` sequences train the chain.  Cases: a null or empty text scores as a text without features; repeated
-rows score each; rows with a null id score but never train; contradicting labels of an id count once
-each; without both kinds of labels every score is 0; other columns are not read.
+Bounds, all of them on training and parameters of ``train``: ``sample`` labelled documents of either class (those of the
+least hash of the id), of which ``candidates`` features are looked at, ``chosen`` are boosted into the
+chain, and ``windows`` sequences (those of the least hash of document and place) train it.  What reaches the driver is
+bounded by them: which candidates each sampled document has, and the windows.  Scoring has no bounds.
+
+Cases: a null or empty text scores as a text without features; very long texts score whole; repeated
+rows score each; of rows that repeat a labelled id the least text trains; rows with a null id score but never train; contradicting labels of an
+id count once each; without both kinds of labels every score is 0; an empty table gives no rows; ``toxicity`` and ``score`` read
+no other columns, ``not_toxic`` keeps them under any names.
 """
 
 from __future__ import annotations
@@ -26,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
 from .textscan import TextSlice, mixed, span_hashes, text_slices, words
 from .tokenizing import id_type
 
@@ -174,7 +180,7 @@ class Tagger:
         return 1 / (1 + np.exp(-np.clip(self.document[0] + summary @ self.document[1:], -500, 500)))
 
 
-def _boosted(present: list[np.ndarray], toxic: np.ndarray, n: int) -> list[int]:
+def _boosted(present: list[np.ndarray], toxic: np.ndarray, n: int, most: int) -> list[int]:
     """Features that tell toxic documents best, each chosen by the documents that earlier ones leave unexplained."""
     rows = np.repeat(np.arange(len(present)), [len(p) for p in present])
     columns = np.concatenate(present) if present else np.zeros(0, np.int64)
@@ -188,7 +194,7 @@ def _boosted(present: list[np.ndarray], toxic: np.ndarray, n: int) -> list[int]:
         by[f] = rows[order[ends[f] : ends[f + 1]]]
     hits = np.bincount(columns, weight[rows] * toxic[rows], n)
     usual = (~toxic).sum() / max(toxic.sum(), 1)
-    for _ in range(CHOSEN):
+    for _ in range(most):
         gain = hits - 4 * wrong / max(usual, 1e-9) - 0.5 * wrong
         f = int(np.argmax(gain))
         if gain[f] < least:
@@ -252,8 +258,8 @@ def _fit_documents(x: np.ndarray, toxic: np.ndarray, importance: np.ndarray) ->
     return beta
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: bool = True) -> Tagger:
-    """Learns from the labelled documents (with folds: those not held out), at most SAMPLE of each class."""
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", folds: bool = True, sample: int = SAMPLE, candidates: int = CANDIDATES, chosen: int = CHOSEN, windows: int = WINDOWS) -> Tagger:
+    """Learns from the labelled documents (with folds: those not held out), at most ``sample`` of each class."""
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic")).filter("id is not null and toxic in (0, 1)").distinct()
     if folds:
         marks = marks.filter(~held_out("id"))
@@ -263,8 +269,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if not (shares.get(0) and shares.get(1)):
         return Tagger()
     order = [F.xxhash64(F.col("id").cast("string")), F.col("id")]
-    sample = there.filter("toxic = 1").orderBy(*order).limit(SAMPLE).union(there.filter("toxic = 0").orderBy(*order).limit(SAMPLE))
-    chosen = source.join(F.broadcast(sample), "id").select("text", "toxic")  # 2 * SAMPLE ids
+    drawn = there.filter("toxic = 1").orderBy(*order).limit(sample).union(there.filter("toxic = 0").orderBy(*order).limit(sample))
+    rows = source.join(F.broadcast(drawn), "id")  # 2 * sample ids
+    texts = written(rows.groupBy("id", "toxic").agg(F.min(F.coalesce("text", F.lit(""))).alias("text")).select("text", "toxic", F.xxhash64(F.col("id").cast("string")).alias("key")), "labelled")
 
     def features(batches):
         for batch in batches:
@@ -281,10 +288,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 mark = np.repeat(toxic[piece.first : piece.first + len(piece)], [len(k) for k in keys])
                 yield pa.RecordBatch.from_arrays([pa.array(every.view(np.int64)), pa.array(np.bincount(which, mark, len(every)).astype(np.int64)), pa.array(np.bincount(which, 1 - mark, len(every)).astype(np.int64))], ["feature", "yes", "no"])
 
-    counts = chosen.mapInArrow(features, "feature long, yes long, no long").groupBy("feature").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
-    n_yes, n_no = min(shares[1], SAMPLE), min(shares[0], SAMPLE)
+    counts = texts.mapInArrow(features, "feature long, yes long, no long").groupBy("feature").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no"))
+    n_yes, n_no = min(shares[1], sample), min(shares[0], sample)
     odds = F.log((F.col("yes") + 0.5) / (n_yes + 1)) - F.log((F.col("no") + 0.5) / (n_no + 1))
-    best = counts.filter((F.col("yes") >= 2) & (odds > 1.5)).orderBy(F.desc(odds * F.sqrt("yes")), "feature").limit(CANDIDATES).select("feature").toPandas()
+    best = counts.filter((F.col("yes") >= 2) & (odds > 1.5)).orderBy(F.desc(odds * F.sqrt("yes")), "feature").limit(candidates).select("feature").toPandas()
     hashes = np.sort(best["feature"].to_numpy(np.int64).view(np.uint64))
     probe = Tagger(hashes, np.zeros(len(hashes)))
 
@@ -294,36 +301,47 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             for piece in text_slices(batch.column(0)):
                 _, _, docs_, kinds = token_features(piece)
                 tokens, found = probe.matches(kinds)
-                first = np.searchsorted(docs_, np.arange(len(piece) + 1))
                 at = np.searchsorted(docs_[tokens], np.arange(len(piece) + 1))
-                rows = [((tokens[a:b] - first[i]).tolist(), found[a:b].tolist()) for i, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist()))]
-                yield pa.RecordBatch.from_arrays([pa.array(toxic[piece.first : piece.first + len(piece)].astype(np.int64)), pa.array(np.diff(first)), pa.array([r[0] for r in rows], pa.list_(pa.int64())), pa.array([r[1] for r in rows], pa.list_(pa.int64()))], ["toxic", "n", "tokens", "found"])
+                rows = [np.unique(found[a:b]).tolist() for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(toxic[piece.first : piece.first + len(piece)].astype(np.int64)), pa.array(rows, pa.list_(pa.int64()))], ["toxic", "found"])
 
-    seen = chosen.mapInArrow(present, "toxic long, n long, tokens array<long>, found array<long>").collect()  # 2 * SAMPLE rows
+    seen = texts.mapInArrow(present, "toxic long, found array<long>").collect()  # 2 * sample rows of candidates each at most
     toxic = np.array([r["toxic"] == 1 for r in seen])
-    picked = np.array(sorted(_boosted([np.unique(np.array(r["found"], np.int64)) for r in seen], toxic, len(hashes))), np.int64)
+    picked = np.array(sorted(_boosted([np.array(r["found"], np.int64) for r in seen], toxic, len(hashes), chosen)), np.int64)
     if not len(picked):
         return Tagger(document=_fit_documents(np.zeros((len(seen), 3)), toxic, _importance(toxic, shares)), known=True)
-    place = np.full(len(hashes), -1)
-    place[picked] = np.arange(len(picked))
-    # Windows of tokens around the features, and as many elsewhere; WINDOWS of them, drawn evenly, train the chain.
-    kept, drawn = [], []
-    for i, r in enumerate(seen):
-        at, found = np.array(r["tokens"], np.int64), place[np.array(r["found"], np.int64)]
-        kept.append((at[found >= 0], found[found >= 0]))
-        blocks = np.unique(kept[-1][0] // WINDOW)
-        used = set(blocks.tolist())
-        spare = [b for b in range(-(-r["n"] // WINDOW)) if b not in used][: max(1, len(blocks))]
-        drawn += [(i, b) for b in [*blocks.tolist(), *spare]]
-    if len(drawn) > WINDOWS:
-        drawn = [drawn[k] for k in sorted(np.random.default_rng(0).choice(len(drawn), WINDOWS, replace=False).tolist())]
-    tokens_of, marks_of = [[] for _ in picked], np.zeros((len(drawn), WINDOW), int)
-    for row, (i, b) in enumerate(drawn):
-        at, found = kept[i]
-        own = at // WINDOW == b
-        if toxic[i]:
-            marks_of[row, at[own] % WINDOW] = 1
-        for t, f in zip((at[own] % WINDOW).tolist(), found[own].tolist()):
+    tagger = Tagger(hashes[picked], np.zeros(len(picked)))
+
+    def sequences(batches):
+        """Windows of tokens around the features, and as many elsewhere, drawn by hash."""
+        for batch in batches:
+            toxic, keys = batch.column(1).to_numpy(), batch.column(2).to_numpy().view(np.uint64)
+            for piece in text_slices(batch.column(0)):
+                _, _, docs_, kinds = token_features(piece)
+                tokens, found = tagger.matches(kinds)
+                first = np.searchsorted(docs_, np.arange(len(piece) + 1))
+                at = np.searchsorted(docs_[tokens], np.arange(len(piece) + 1))
+                draws, marks, places, features = [], [], [], []
+                for i in range(len(piece)):
+                    own, f = tokens[at[i] : at[i + 1]] - first[i], found[at[i] : at[i + 1]]
+                    blocks = np.arange(-(-int(first[i + 1] - first[i]) // WINDOW))
+                    with np.errstate(over="ignore"):
+                        draw = mixed(keys[piece.first + i] + blocks.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+                    used = np.isin(blocks, own // WINDOW)
+                    spare = np.flatnonzero(~used)[np.argsort(draw[~used], kind="stable")][: max(1, int(used.sum()))]
+                    for b in [*np.flatnonzero(used).tolist(), *spare.tolist()]:
+                        inside = own // WINDOW == b
+                        draws.append(int(draw[b].view(np.int64))), marks.append(int(toxic[piece.first + i]))
+                        places.append((own[inside] % WINDOW).tolist()), features.append(f[inside].tolist())
+                yield pa.RecordBatch.from_arrays([pa.array(draws, pa.int64()), pa.array(marks, pa.int64()), pa.array(places, pa.list_(pa.int64())), pa.array(features, pa.list_(pa.int64()))], ["draw", "toxic", "places", "features"])
+
+    trained = texts.mapInArrow(sequences, "draw long, toxic long, places array<long>, features array<long>")
+    trained = trained.orderBy("draw", "toxic", "places", "features").limit(windows).collect()  # windows of WINDOW tokens
+    tokens_of, marks_of = [[] for _ in picked], np.zeros((len(trained), WINDOW), int)
+    for row, r in enumerate(trained):
+        if r["toxic"]:
+            marks_of[row, r["places"]] = 1
+        for t, f in zip(r["places"], r["features"]):
             tokens_of[f].append(row * WINDOW + t)
     weights, bias, moves = _fit_chain([np.array(t, np.int64) for t in tokens_of], marks_of, len(picked))
     tagger = Tagger(hashes[picked], weights, bias, moves)
@@ -336,7 +354,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 x = tagger.summary(own, p, n)
                 yield pa.RecordBatch.from_arrays([pa.array(mark[piece.first : piece.first + len(piece)].astype(np.int64)), *(pa.array(x[:, k]) for k in range(3))], ["toxic", "x0", "x1", "x2"])
 
-    rows = chosen.mapInArrow(summed, "toxic long, x0 double, x1 double, x2 double").toPandas()  # 2 * SAMPLE rows
+    rows = texts.mapInArrow(summed, "toxic long, x0 double, x1 double, x2 double").toPandas()  # 2 * sample rows
     mark = rows["toxic"].to_numpy() == 1
     tagger.document = _fit_documents(rows[["x0", "x1", "x2"]].to_numpy(), mark, _importance(mark, shares))
     tagger.known = True

@@ -325,6 +325,24 @@ def test_toxicity(spark):
     assert toxicity.score(df.filter("1 = 0"), tagger).count() == 0
 
 
+def test_toxicity_of_held_out_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    found = toxicity.toxicity(docs, labels).filter("held_out").join(labels.select("doc_id", "toxic"), "doc_id").collect()
+    toxic = [r.predicted for r in found if r.toxic == 1]
+    assert sum(toxic) >= 0.7 * len(toxic) and sum(r.predicted for r in found if r.toxic == 0) <= 0.02 * len(found)
+
+
+def test_training_bounds_and_repeated_ids(spark):
+    docs, labels = toxic_docs(200)
+    df = spark.createDataFrame(docs, "doc_id long, text string, score int")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int, quality int")
+    one = toxicity.train(df, marks, sample=15, candidates=40, chosen=3, windows=20)
+    two = toxicity.train(df.union(df).union(df).repartition(5), marks, sample=15, candidates=40, chosen=3, windows=20)
+    assert 0 < len(one.hashes) <= 3
+    assert one.hashes.tolist() == two.hashes.tolist() and abs(one.weights - two.weights).max() < 1e-9 and abs(one.document - two.document).max() < 1e-6
+
+
 def test_chain_marginals_equal_those_by_enumeration():
     import numpy as np
     import pyarrow as pa
