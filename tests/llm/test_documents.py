@@ -326,11 +326,13 @@ def test_toxicity(spark):
 
 
 def test_toxicity_of_held_out_documents(spark):
-    sf = "/root/testdata/sf0.01"
-    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").join(labels.select("doc_id"), "doc_id")
     found = toxicity.toxicity(docs, labels).filter("held_out").join(labels.select("doc_id", "toxic"), "doc_id").collect()
     toxic = [r.predicted for r in found if r.toxic == 1]
-    assert sum(toxic) >= 0.7 * len(toxic) and sum(r.predicted for r in found if r.toxic == 0) <= 0.02 * len(found)
+    assert len(toxic) > 50 and sum(toxic) >= 0.8 * len(toxic)
+    assert sum(r.predicted for r in found if r.toxic == 0) <= 0.02 * len(found)
 
 
 def test_training_bounds_and_repeated_ids(spark):
