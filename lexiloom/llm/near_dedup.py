@@ -87,18 +87,16 @@ def sketches(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: str
     return source.mapInArrow(rows, f"id {id_type(docs, id_col)}, n long, s1 long, s2 long, sketch array<long>")
 
 
-def _full_sets(docs: DataFrame, nodes: DataFrame, repeated: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """node, full for the nodes; ids that ``repeated`` (id) names are of several rows, of which equal ones count once."""
+def _full_sets(docs: DataFrame, nodes: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
+    """node, full for the nodes, one row for each of a node's texts."""
 
     def rows(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists(list(shingle_sets(batch.column(1), width)))], ["node", "full"])
 
     source = docs.select(F.col(id_col).alias("node"), F.col(text_col).cast("string").alias("text"))
-    again = repeated.select(F.col("id").alias("node"))
-    once = source.join(nodes.join(again, "node", "left_anti"), "node", "left_semi")
-    several = source.join(nodes.join(again, "node", "left_semi"), "node", "left_semi").distinct()
-    return once.union(several).mapInArrow(rows, f"node {id_type(docs, id_col)}, full array<long>").filter(F.size("full") > 0)
+    wanted = source.join(nodes, "node", "left_semi").distinct()  # rows of a node are together already: no second shuffle
+    return wanted.mapInArrow(rows, f"node {id_type(docs, id_col)}, full array<long>").filter(F.size("full") > 0)
 
 
 def _runs(width: int) -> Column:
@@ -126,22 +124,25 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _rest(rows: DataFrame, full: DataFrame, percent: int, fits, best: bool) -> DataFrame:
-    """Pairs (a, b) of different components that can be similar, among rows (node, n, component); none is missed.
+def _rarest(rows: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """node, n, pos, df, shingle: the first n - n * percent / 100 + 1 shingles of each of the rows (node, n), the rarest first."""
+    own = full.select(F.col("node").alias("of"), "full")
+    shingles = rows.join(own, F.col("node") == F.col("of")).select("node", "n", F.explode("full").alias("shingle"))
+    frequency = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).withColumnRenamed("shingle", "counted")
+    sets = shingles.join(frequency, F.col("shingle") == F.col("counted")).groupBy("node", "n").agg(F.sort_array(F.collect_set(F.struct("df", "shingle"))).alias("ordered"))
+    reach = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
+    return written(sets.select("node", "n", F.posexplode(F.slice("ordered", F.lit(1), reach))).filter("col.df > 1").select("node", "n", "pos", F.col("col.df").alias("df"), F.col("col.shingle").alias("shingle")), "rarest")
+
 
-    Rarest shingles first, similar sets share one of the first n - n * percent / 100 + 1 of each, and
-    from the first that they share enough shingles must remain on both sides.  In each list only
+def _rest(heads: DataFrame, percent: int, fits, best: bool) -> DataFrame:
+    """Pairs (a, b) of different components that can be similar, among rows of ``_rarest`` with a component; none is missed.
+
+    Similar sets share one of their rarest shingles, and from the first that they share enough
+    shingles must remain on both sides.  In each list only
     classes outside its commonest component look for partners.  With ``best`` each of them takes one
     partner of each other component, that which may share most: a link to any of its members will do, so
     a group of near copies isn't met one by one.  Frequent lists are split by the seeker.
     """
-    own = full.select(F.col("node").alias("of"), "full")
-    shingles = rows.join(own, F.col("node") == F.col("of")).select("node", "n", "component", F.explode("full").alias("shingle"))
-    frequency = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).withColumnRenamed("shingle", "counted")
-    sets = shingles.join(frequency, F.col("shingle") == F.col("counted")).groupBy("node", "n", "component").agg(F.sort_array(F.collect_set(F.struct("df", "shingle"))).alias("ordered"))
-    reach = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
-    heads = sets.select("node", "n", "component", F.posexplode(F.slice("ordered", F.lit(1), reach))).filter("col.df > 1").select("node", "n", "component", "pos", F.col("col.df").alias("df"), F.col("col.shingle").alias("shingle"))
-    heads = written(heads, "heads")
     usual = heads.groupBy("shingle", "component").count().groupBy("shingle").agg(F.max(F.struct("count", "component"))["component"].alias("usual"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").drop("parts").withColumnRenamed("shingle", "listed")
     parts = F.least(F.floor(F.col("df") / SPLIT) + 1, F.lit(MOST_PARTS)).cast("int")
     part = F.pmod(F.xxhash64("node"), parts).cast("int")
@@ -165,14 +166,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     known = base.filter("id is not null and n > 0")
     classes = written(known.groupBy("s1", "s2").agg(F.min(F.struct("id", "row")).alias("first")).select("s1", "s2", "first.id", "first.row").withColumnRenamed("id", "node"), "classes")
     nodes = known.drop("id").join(classes.select("row", "node"), "row").select("node", "n", "sketch")  # one row a class, however many rows repeat it
-    repeated = known.groupBy("id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
     keys = F.concat(F.when(F.col("n") <= SMALL, _runs(2)).otherwise(F.array().cast("array<bigint>")), F.when(F.col("n") > MIDDLE, _runs(3)).otherwise(F.array().cast("array<bigint>")))
     every = nodes.select(F.explode(F.array_distinct(keys)).alias("key"), "node", "n")
     shared = every.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high").select(F.col("key").alias("shared"))
     lists = written(every.join(shared, F.col("key") == F.col("shared")).select("key", "node", "n"), "lists")
     members = lists.select("node").distinct()
     small = written(nodes.join(members, "node", "left_semi"), "listed")
-    full = written(_full_sets(docs, members, repeated, width, id_col, text_col), "sets")
+    full = written(_full_sets(docs, members, width, id_col, text_col), "sets")
 
     def similar(pairs: DataFrame) -> DataFrame:
         """Pairs that the union sketch lets through and whose full sets are similar enough."""
@@ -189,7 +189,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
         return found.filter(both * 100 >= (F.size("fa") + F.size("fb") - both) * percent).select("a", "b")
 
     fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
-    edges = tested = labels = None
+    edges = tested = labels = rarest = None
     for turn in range(rounds + 2):
         if labels is None:
             rows = lists.withColumn("component", F.col("node"))
@@ -207,7 +207,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
             counted = met.groupBy(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).agg(F.count(F.lit(1)).alias("overlap"), F.min(F.least("n", "leader_n")).alias("least"))
             pairs = counted.filter((F.col("overlap") > 1) | (F.col("least") <= SMALL)).select("a", "b")
         else:
-            pairs = _rest(rows.select("node", "n", "component").distinct(), full, percent, fits, best=turn == rounds).distinct()
+            apart = rows.select("node", "n", "component").distinct()
+            rarest = _rarest(apart.select("node", "n"), full, percent) if rarest is None else rarest
+            own = apart.select(F.col("node").alias("member"), "component")
+            heads = written(rarest.join(own, F.col("node") == F.col("member")).drop("member"), "heads")
+            pairs = _rest(heads, percent, fits, best=turn == rounds).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
