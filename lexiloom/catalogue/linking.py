@@ -118,18 +118,30 @@ def q_residual_match(t):
     return linkage.scored(pairs, "l_key", "r_key").filter("sim >= 0.9").select(F.col("l_page_id").alias("a_key"), F.col("r_page_id").alias("b_key"), F.round("sim", 6).alias("sim"))
 
 
-@query()
+@query("""WITH RECURSIVE e AS (SELECT a.p_partkey AS a_key, b.p_partkey AS b_key, a.p_brand || '/' || a.p_size AS blk, round(1 - levenshtein(a.p_name, b.p_name) / greatest(length(a.p_name), length(b.p_name)), 6) AS score FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_type < 'M' AND b.p_type >= 'M'),
+ o AS (SELECT *, row_number() OVER (PARTITION BY blk ORDER BY score DESC, a_key DESC, b_key DESC) AS nth FROM e),
+ g AS (SELECT DISTINCT blk, 0::BIGINT AS step, []::BIGINT[] AS used_a, []::BIGINT[] AS used_b, NULL::BIGINT AS a_key, NULL::BIGINT AS b_key, NULL::DOUBLE AS score FROM e
+ UNION ALL SELECT g.blk, step + 1, CASE WHEN free THEN list_append(used_a, o.a_key) ELSE used_a END, CASE WHEN free THEN list_append(used_b, o.b_key) ELSE used_b END, CASE WHEN free THEN o.a_key END, CASE WHEN free THEN o.b_key END, o.score
+ FROM g JOIN o ON o.blk = g.blk AND nth = step + 1, LATERAL (SELECT NOT list_contains(used_a, o.a_key) AND NOT list_contains(used_b, o.b_key) AS free))
+SELECT a_key, b_key, score FROM g WHERE a_key IS NOT NULL""")
 def q_greedy_match(t):
     p = t.part.select("p_partkey", "p_brand", "p_size", "p_name", "p_type")
     pairs = linkage.block_pairs(p.filter("p_type < 'M'"), p.filter("p_type >= 'M'"), ["p_brand", "p_size"])
-    edges = linkage.scored(pairs, "l_p_name", "r_p_name").select(F.col("l_p_partkey").alias("a_key"), F.col("r_p_partkey").alias("b_key"), F.round("score", 6).alias("score"))
+    score = F.lit(1) - F.levenshtein("l_p_name", "r_p_name") / F.greatest(F.length("l_p_name"), F.length("r_p_name"))
+    edges = pairs.select(F.col("l_p_partkey").alias("a_key"), F.col("r_p_partkey").alias("b_key"), F.round(score, 6).alias("score"))
     return linkage.greedy_rounds(edges, "a_key", "b_key", "score")
 
 
-@query()
+@query("""WITH p AS (SELECT p_partkey, length(p_name) AS n, p_size AS k, p_partkey % 4 AS rule FROM part)
+SELECT p_partkey, round(CASE WHEN rule = 3 THEN 2 * n / (2 * n + 3) * 0.3 ELSE greatest(2 * n / (2 * n + k), CASE WHEN n >= 6 THEN 0.95 ELSE 0 END) * CASE WHEN rule = 2 THEN 0.4 ELSE 1 END END, 6) AS sim,
+ round(CASE WHEN rule = 3 THEN 2 * n / (2 * n + 3) ELSE 2 * n / (2 * n + k) END, 6) AS ratio FROM p WHERE rule <> 3 OR 2 * n / (2 * n + 3) > 0.95""")
 def q_similarity(t):
-    p = t.part.select("p_partkey", "p_name", F.lead("p_name").over(Window.partitionBy("p_brand").orderBy("p_partkey")).alias("next_name")).filter("next_name is not null")
-    return p.select("p_partkey", F.round(linguistic.similarity("p_name", "next_name"), 6).alias("sim"), F.round(linguistic.sequence_ratio("p_name", "next_name"), 6).alias("ratio"))
+    """Titles against themselves with a tail: plain, of another part, or a review; the tail has letters that no title has."""
+    rule = F.col("p_partkey") % 4
+    tail = F.when(rule == 3, F.lit("의서평")).otherwise(F.repeat(F.lit("가"), F.col("p_size")))
+    p = t.part.select("p_partkey", F.col("p_name").alias("a"), F.concat("p_name", tail).alias("b"), F.when(rule == 2, 1).alias("p"), F.when(rule == 2, 2).alias("q"), rule.alias("rule"), F.length("p_name").alias("n"))
+    p = p.filter("rule <> 3 or 2 * n / (2 * n + 3) > 0.95")
+    return p.select("p_partkey", F.round(linguistic.title_similarity(F.col("a"), F.col("b"), F.col("p"), F.col("q")), 6).alias("sim"), F.round(linguistic.sequence_ratio(F.col("a"), F.col("b")), 6).alias("ratio"))
 
 
 @query("""SELECT a.o_orderkey AS a_key, b.o_orderkey AS b_key FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND a.o_orderkey < b.o_orderkey AND (year(a.o_orderdate) = year(b.o_orderdate)) AND (a.o_orderpriority = b.o_orderpriority)""")

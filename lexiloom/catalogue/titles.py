@@ -20,9 +20,14 @@ def q_norm_title(t):
     return t.documents.select("doc_id", text.fold_title(_title()).alias("title"))
 
 
-@query()
+LABELLED = f"""CASE doc_id % 6 WHEN 0 THEN '[특집] ' WHEN 1 THEN '<기획논문 1> 일반논문 : ' WHEN 2 THEN '서평: ' WHEN 3 THEN ' 특집 2： ' WHEN 4 THEN 'Book Review : 【Ａ】' ELSE '' END"""
+
+
+@query(rf"""WITH f AS (SELECT doc_id, regexp_replace(lower({DOC_TITLE}), '[^\p{{L}}\p{{N}}]', '', 'g') AS t FROM documents)
+SELECT doc_id, CASE WHEN length(t) >= 8 AND length(t) % 2 = 0 AND t[:length(t)//2] = t[length(t)//2+1:] THEN t[:length(t)//2] ELSE t END AS title FROM f""")
 def q_norm_title_nfkc(t):
-    return t.documents.select("doc_id", linguistic.match_title_udf()(_title()).alias("title"))
+    labelled = F.concat(F.expr(LABELLED), _title(), F.lit(" (漢字 ·佛敎)"))
+    return t.documents.select("doc_id", linguistic.match_title(labelled).alias("title"))
 
 
 @query(rf"SELECT item_id, trim(regexp_replace(trim(regexp_replace(text || ' **', '\s+', ' ', 'g')), '\*+$', '')) AS title FROM benchmark")
@@ -40,10 +45,26 @@ def q_norm_punct(t):
     return t.documents.select("doc_id", text.strip_punctuation(_title()).alias("flat"))
 
 
-@query()
+PARTS = {"1": 1, "II": 2, "(3)": 3, "上": 1, "two": None, "(하)": 3, "Ⅵ ―on it―": 6, "viii": None}
+
+
+@query(f"""SELECT p_partkey, CASE p_partkey % {len(PARTS)} {' '.join(f'WHEN {i} THEN {v}' for i, v in enumerate(PARTS.values()) if v)} END::INT AS part FROM part""")
 def q_part_no(t):
-    titled = t.part.withColumn("title", F.concat_ws(" ", "p_name", F.element_at(F.array(*[F.lit(x) for x in ("1", "II", "(3)", "上", "two")]), (F.col("p_partkey") % 5 + 1).cast("int"))))
-    return titled.select("p_partkey", linguistic.part_no("title").alias("part"))
+    mark = F.element_at(F.array(*map(F.lit, PARTS)), (F.col("p_partkey") % len(PARTS) + 1).cast("int"))
+    return t.part.select("p_partkey", linguistic.part_number(F.concat_ws(" ", "p_name", mark)).alias("part"))
+
+
+@query("""SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN '1' WHEN 1 THEN '2,iii' WHEN 2 THEN '上' ELSE '' END AS marks FROM part""")
+def q_serial_marks(t):
+    mark = F.element_at(F.array(F.lit("(1)"), F.lit("(2) Ⅲ"), F.lit("上"), F.lit("end")), (F.col("p_partkey") % 4 + 1).cast("int"))
+    return t.part.select("p_partkey", F.array_join(linguistic.serial_marks(F.concat_ws(" ", "p_name", mark)), ",").alias("marks"))
+
+
+@query("""SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN '한글 ' ELSE 'é' END || c_name AS said FROM customer""")
+def q_decode_rescue(t):
+    korean = F.concat(F.lit("한글".encode("euc-kr")), F.lit(b" "), F.col("c_name").cast("binary"))
+    raw = F.when(F.col("c_custkey") % 3 == 0, korean).otherwise(F.concat(F.lit("é"), F.col("c_name")).cast("binary"))
+    return t.customer.select("c_custkey", linguistic.rescued(raw).alias("said"))
 
 
 @query("""SELECT p_partkey, array_to_string(list_sort(list_distinct([x::int for x in regexp_extract_all(p_brand || ' ' || p_size::varchar || '-0', '[0-9]+') if x::int > 0])), ',') AS nums FROM part""")

@@ -13,9 +13,9 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(F.trim(c), F.lit(""))
 
 
-def fold_title(c: Column) -> Column:
-    """Lower case, letters, marks and digits only; a title written twice in a row (even length, 8 at least) once."""
-    flat = F.regexp_replace(F.lower(c), NOT_ALNUM, "")
+def fold_title(c: Column, marks: bool = True) -> Column:
+    """Lower case, letters, marks (if wanted) and digits only; a title written twice in a row (even length, 8 at least) once."""
+    flat = F.regexp_replace(F.lower(c), NOT_ALNUM if marks else r"[^\p{L}\p{N}]", "")
     half = (F.length(flat) / 2).cast("int")
     twice = (F.length(flat) >= 8) & (F.length(flat) % 2 == 0) & (F.left(flat, half) == F.right(flat, half))
     return F.when(twice, F.left(flat, half)).otherwise(flat)

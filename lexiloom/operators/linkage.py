@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.linguistic import page_bonus, similarity
+from ..functions.linguistic import page_bonus, title_similarity
 from ..session import written
 from .dedupe import first_wins, last_wins
 
@@ -62,10 +62,10 @@ def subset_pairs(left: DataFrame, right: DataFrame, numbers: str, left_id: str,
     return a.join(b, same & (F.size("_a") != F.size("_b")) & inside).select(left_id, right_id).distinct()
 
 
-def scored(pairs: DataFrame, left_title: str, right_title: str, left_page: str | None = None, right_page: str | None = None) -> DataFrame:
-    """Adds ``sim`` and ``score`` (sim and page bonus), keeping pairs that the acceptance rule lets through."""
+def scored(pairs: DataFrame, left_title: str, right_title: str, left_page: str | None = None, right_page: str | None = None, parts: tuple[str, str] | None = None) -> DataFrame:
+    """Adds ``sim`` and ``score`` (sim and page bonus), keeping pairs that the acceptance rule lets through; parts: columns of serial numbers."""
     bonus = page_bonus(F.col(left_page) - F.col(right_page)) if left_page else F.lit(0.0)
-    rows = pairs.withColumn("sim", similarity(left_title, right_title)).withColumn("_bonus", bonus)
+    rows = pairs.withColumn("sim", title_similarity(F.col(left_title), F.col(right_title), *map(F.col, parts or ()))).withColumn("_bonus", bonus)
     short = F.least(F.length(left_title), F.length(right_title))
     inside = F.contains(F.col(left_title), F.col(right_title)) | F.contains(F.col(right_title), F.col(left_title))
     rows = rows.withColumn("sim", F.when((F.col("_bonus") >= 0.25) & (short >= 2) & inside, F.greatest("sim", F.lit(0.62))).otherwise(F.col("sim")))

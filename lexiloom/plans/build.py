@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.linguistic import match_title_udf
+from ..functions.linguistic import match_title, part_number
 from ..operators import linkage, merge, summary
 from ..operators.dedupe import first_wins, fuzzy_dedupe
 from ..session import written
@@ -28,8 +28,7 @@ class Build:
 
 def link(left: DataFrame, right: DataFrame, reading: dict[str, str] | None = None) -> DataFrame:
     """left_id, right_id, step for rows with the columns named above; ``hint`` of a right row names a left id."""
-    fold = match_title_udf(reading)
-    prepared = lambda df: written(df.withColumn("key", fold("title")).withColumn("nums_key", F.array_join(F.col("nums").cast("array<string>"), ",")), "titles")
+    prepared = lambda df: written(df.withColumn("key", match_title(F.col("title"), reading)).withColumn("part", part_number(F.col("title"))).withColumn("nums_key", F.array_join(F.col("nums").cast("array<string>"), ",")), "titles")
     a, b = prepared(left), prepared(right)
     done = written(_hinted(a, b), "links")
 
@@ -37,7 +36,7 @@ def link(left: DataFrame, right: DataFrame, reading: dict[str, str] | None = Non
         return df.join(done.select(F.col(side).alias("id")), "id", "left_anti")
 
     def settled(pairs: DataFrame, step: str, least: float = 0.0) -> DataFrame:
-        good = linkage.scored(pairs, "l_key", "r_key", "l_page", "r_page").filter(F.col("sim") >= least)
+        good = linkage.scored(pairs, "l_key", "r_key", "l_page", "r_page", ("l_part", "r_part")).filter(F.col("sim") >= least)
         edges = written(good.select(F.col("l_id").alias("left_id"), F.col("r_id").alias("right_id"), "score"), "edges")
         return linkage.greedy_rounds(edges, "left_id", "right_id", "score").select("left_id", "right_id", F.lit(step).alias("step"))
 
@@ -59,8 +58,7 @@ def _hinted(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def build(left: DataFrame, right: DataFrame, fill: list[str], reading: dict[str, str] | None = None) -> Build:
-    fold = match_title_udf(reading)
-    keyed = left.withColumn("title_key", fold("title"))
+    keyed = left.withColumn("title_key", match_title(F.col("title"), reading))
     unique = written(fuzzy_dedupe(keyed, "title_key", "pos", "id", fill).drop("title_key"), "unique")
     pairs = link(unique, right, reading)
     partner = right.join(pairs.select(F.col("right_id").alias("id"), "left_id"), "id")

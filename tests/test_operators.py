@@ -35,6 +35,13 @@ def test_greedy_rounds_pair_large_groups_of_equal_scores(spark):
     assert rows(linkage.greedy_rounds(df, "l", "r", "s")) == greedy(edges)
 
 
+def test_greedy_rounds_walk_a_chain_to_its_end(spark):
+    n = 140  # left k has edges to right k and k + 1 with falling scores, so each round settles few
+    edges = [(k, k, 1.0 - k / 1000) for k in range(n)] + [(k, k + 1, 0.9995 - k / 1000) for k in range(n - 1)]
+    df = spark.createDataFrame(edges, "l int, r int, s double")
+    assert rows(linkage.greedy_rounds(df, "l", "r", "s")) == greedy(edges)
+
+
 def test_greedy_blocks(spark):
     random.seed(1)
     edges = [(b, x, y, random.choice([0.5, 0.7])) for b in range(3) for x in range(4) for y in range(4)]
@@ -66,7 +73,8 @@ def test_residual_pairs_keep_every_similar_pair(spark):
     a, b = (spark.createDataFrame(list(enumerate(x)), "id int, key string") for x in (titles, others))
     found = {(p.l_id, p.r_id) for p in linkage.residual_pairs(a, b, "key").collect()}
     found_back = {(p.r_id, p.l_id) for p in linkage.residual_pairs(b, a, "key").collect()}
-    wanted = {(i, j) for i, x in enumerate(titles) for j, y in enumerate(others) if len(y) >= 8 and title_similarity(x, y) >= 0.9}
+    every = a.toDF("i", "x").crossJoin(b.toDF("j", "y")).filter(F.length("y") >= 8)
+    wanted = {(q.i, q.j) for q in every.filter(title_similarity(F.col("x"), F.col("y")) >= 0.9).collect()}
     assert len(wanted) > 150 and wanted <= found and wanted <= found_back
 
 
