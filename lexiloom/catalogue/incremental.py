@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..operators import feed, summary
+from ..operators import feed, merge, summary
 from ..streaming import harvest
 from .registry import query
 
@@ -108,4 +108,4 @@ def q_harvest_stream(t):
     for _ in range(2):
         stream = t.spark.readStream.schema(e.schema).parquet(f"{folder}/landing")
         harvest.harvest_stream(stream, "event_id", "ts", f"{folder}/store", "kind", f"{folder}/checkpoint").awaitTermination()
-    return t.spark.read.parquet(f"{folder}/store").select("event_id", "user_id", "event_type")
+    return merge.read_table(t.spark, f"{folder}/store").select("event_id", "user_id", "event_type")

@@ -23,10 +23,16 @@ def q_dedupe(t):
     return rows.select("doc_id", "source", F.array_join(F.col("alt_ids").cast("array<string>"), ",").alias("alt_ids"))
 
 
-@query()
+@query("""WITH d AS (SELECT *, regexp_replace(lower(p_brand), '[^a-z0-9]', '', 'g') || CASE WHEN p_size % 9 = 0 THEN '' ELSE regexp_replace(lower(p_type), '[^a-z0-9]', '', 'g') END AS t, p_size % 3 AS page, p_size % 2 AS num, p_partkey % 11 = 0 AS front, CASE WHEN p_partkey % 5 = 0 THEN '' ELSE p_name END AS note, p_partkey % 4 = 0 AS c1, p_size > 25 AS c2 FROM part),
+ k AS (SELECT *, CASE WHEN front OR length(t) < 8 THEN p_partkey::varchar ELSE t || '/' || page || '/' || num END AS g FROM d),
+ r AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY c1 DESC, c2 DESC, p_partkey) AS nth FROM k)
+SELECT min(p_partkey) FILTER (nth = 1) AS id, coalesce(string_agg(p_partkey::varchar, ',' ORDER BY nth) FILTER (nth > 1), '') AS alt_ids, coalesce(first(note ORDER BY nth) FILTER (note <> ''), '') AS note FROM r GROUP BY g""")
 def q_fuzzy_dedupe(t):
-    d = t.documents.select(F.col("doc_id").alias("pos"), F.col("doc_id").cast("string").alias("id"), text.fold_title(F.col("text")).alias("title_key"), (F.col("n_chars") % 7).cast("int").alias("page"), F.array((F.col("n_chars") % 5).cast("int")).alias("nums"), F.lit(0).alias("year"), "lang", "source")
-    return dedupe.fuzzy_dedupe(d, "title_key", "pos", "id", ["lang", "source"]).select("id", F.array_join("alt_ids", ",").alias("alt_ids"))
+    """Parts as articles; all have page, numbers and year, so that who fits whom is an equality."""
+    brand, kind = (F.regexp_replace(F.lower(c), "[^a-z0-9]", "") for c in ("p_brand", "p_type"))
+    d = t.part.select("p_partkey", F.concat(brand, F.when(F.col("p_size") % 9 == 0, "").otherwise(kind)).alias("title_key"), (F.col("p_size") % 3).alias("page"), F.array(F.col("p_size") % 2).alias("nums"), F.lit(2020).alias("year"), F.when(F.col("p_partkey") % 5 == 0, "").otherwise(F.col("p_name")).alias("note"), "p_size")
+    kept = dedupe.fuzzy_dedupe(d, "title_key", "p_partkey", "p_partkey", ["note"], completeness=[F.col("p_partkey") % 4 == 0, F.col("p_size") > 25], apart=F.col("p_partkey") % 11 == 0, shortest=8)
+    return kept.select(F.col("p_partkey").alias("id"), F.array_join("alt_ids", ",").alias("alt_ids"), "note")
 
 
 @query(f"SELECT l_orderkey, l_linenumber, {LINE_SQL} FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {LINE_SQL}) AS rn FROM lineitem) WHERE rn = 1")
@@ -195,7 +201,7 @@ def q_anti_unmatched(t):
 @query("SELECT DISTINCT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal > 9000 AND (c_nationkey, c_mktsegment) NOT IN (SELECT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal < -900)")
 def q_anti_issue(t):
     have = t.customer.filter("c_acctbal < -900").select("c_nationkey", "c_mktsegment")
-    return t.customer.filter("c_acctbal > 9000").select("c_nationkey", "c_mktsegment").distinct().join(have, ["c_nationkey", "c_mktsegment"], "left_anti")
+    return merge.uncovered(t.customer.filter("c_acctbal > 9000").select("c_nationkey", "c_mktsegment").distinct(), have, ["c_nationkey", "c_mktsegment"])
 
 
 @query("""WITH k AS (SELECT *, lower(p_name) || p_size::varchar AS k FROM part), a AS (SELECT * FROM k WHERE p_type < 'M'), b AS (SELECT k, min(p_partkey) AS p_partkey, min(p_brand) AS p_brand FROM k WHERE p_type >= 'M' GROUP BY 1)

@@ -50,34 +50,54 @@ def keyed_dedupe(df: DataFrame, key: Column, completeness: list[Column], order:
     return kept.withColumn("alt_ids", F.coalesce("alt_ids", F.array().cast(kept.schema["alt_ids"].dataType))).drop("_key", "_rank", "_other")
 
 
-def fuzzy_dedupe(df: DataFrame, title_key: str, pos: str, id_col: str, fill: list[str], page: str = "page", nums: str = "nums", year: str = "year") -> DataFrame:
-    """Twins of one folded title: each row joins the first group whose first member fits, by page and numbers or by numbers alone.
-
-    The most complete member stays, its empty fields are filled from the others, and their ids go to
-    ``alt_ids``.  Order matters, so a title's rows are taken in the order of ``pos``.
+def fuzzy_dedupe(df: DataFrame, title_key: str, pos: str, id_col: str, fill: list[str], page: str = "page", nums: str = "nums", year: str = "year", completeness: list[Column] = (), apart: Column | None = None, shortest: int = 4, long: int = 8) -> DataFrame:
+    """Twins of one folded title: each row joins the first group whose first member fits.
+
+    Two rows fit if their years are equal or one is unknown (0 or null), and: both have a page, the pages are equal and so are
+    the numbers unless one has none; or, where a page is missing, both have numbers, the same ones, and the
+    title has ``long`` characters or more.  Of a group the row of the largest ``completeness`` (compared in order; ties: the
+    first) stays, its missing fields of ``fill`` come from the others in that order, and their ids and earlier
+    ``alt_ids`` go to its ``alt_ids``, in order and once.  Titles under ``shortest`` characters and rows marked by
+    ``apart`` (front matter) are nobody's twins.  A group holds one title's rows, in the order of ``pos``.
     """
-    schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in df.schema.fields)}, alt_ids array<string>"
-
-    def fits(a, b) -> bool:
-        if a[year] and b[year] and a[year] != b[year]:
-            return False
-        na, nb = set(a[nums] if a[nums] is not None else []), set(b[nums] if b[nums] is not None else [])
-        if pd.notna(a[page]) and pd.notna(b[page]):
-            return a[page] == b[page] and (not na or not nb or bool(na & nb))
-        return bool(na) and na == nb and len(a[title_key]) >= 8
-
-    def merge(rows: pd.DataFrame) -> pd.DataFrame:
+    rows = df if "alt_ids" in df.columns else df.withColumn("alt_ids", F.array().cast("array<string>"))
+    names = rows.columns
+    alone = (F.length(F.coalesce(F.col(title_key), F.lit(""))) < shortest) | (F.coalesce(apart, F.lit(False)) if apart is not None else F.lit(False))
+    # Titles that only one row has never meet another; they and those apart don't go through Python.
+    counted = rows.withColumn("_alone", alone).withColumn("_key", F.when(~F.col("_alone"), F.col(title_key)))
+    often = counted.filter("_key is not null").groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(F.col("_key").alias("_often"))
+    marked = counted.join(often, F.col("_key") == F.col("_often"), "left")
+    single = marked.filter("_often is null").select(*names)
+    several = marked.filter("_often is not null").select("_key", *names, F.array(*[F.coalesce(c.cast("double"), F.lit(0.0)) for c in completeness]).alias("_full"))
+
+    def filled(value) -> bool:
+        return value is not None and not (isinstance(value, float) and pd.isna(value)) and (not hasattr(value, "__len__") or len(value) > 0)
+
+    def same_place(head: dict, row: dict) -> bool:
+        own, other = (frozenset(x) if filled(x) else frozenset() for x in (head[nums], row[nums]))
+        if filled(head[page]) and filled(row[page]):
+            return head[page] == row[page] and (own == other or not own or not other)
+        return own == other and bool(own) and len(row["_key"]) >= long
+
+    def same_year(head: dict, row: dict) -> bool:
+        known = [y for y in (head[year], row[year]) if filled(y) and y != 0]
+        return len(set(known)) < 2
+
+    def merged(members: list[dict]) -> dict:
+        ranked = sorted(members, key=lambda r: list(r["_full"]), reverse=True)  # stable: the first of equal ones leads
+        best = dict(ranked[0])
+        for c in fill:
+            best[c] = next((r[c] for r in ranked if filled(r[c])), best[c])
+        ids = [x for r in ranked[1:] for x in [r[id_col], *(r["alt_ids"] if filled(r["alt_ids"]) else [])]]
+        known = [*(ranked[0]["alt_ids"] if filled(ranked[0]["alt_ids"]) else [])]
+        best["alt_ids"] = list(dict.fromkeys([*known, *(str(x) for x in ids if x is not None and str(x) != str(best[id_col]))]))
+        return best
+
+    def merge(rows_: pd.DataFrame) -> pd.DataFrame:
         groups: list[list[dict]] = []
-        for row in rows.sort_values(pos).to_dict("records"):
-            home = next((g for g in groups if fits(g[0], row)), None) if len(row[title_key] or "") >= 4 else None
+        for row in rows_.sort_values(pos).to_dict("records"):
+            home = next((g for g in groups if same_year(g[0], row) and same_place(g[0], row)), None)
             groups.append([row]) if home is None else home.append(row)
-        out = []
-        full = lambda r: sum(r[c] is not None and r[c] != "" for c in fill)
-        for g in groups:
-            best, *rest = sorted(g, key=lambda r: -full(r))
-            for c in fill:
-                best[c] = next((r[c] for r in [best, *rest] if r[c] is not None and r[c] != ""), best[c])
-            out.append(best | {"alt_ids": [str(r[id_col]) for r in rest]})
-        return pd.DataFrame(out)
-
-    return df.groupBy(title_key).applyInPandas(merge, schema)
+        return pd.DataFrame([merged(g) for g in groups])[names]
+
+    return single.unionByName(several.groupBy("_key").applyInPandas(merge, rows.schema))

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+import json
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from ..functions.text import blank_to_null
+from ..session import written
 
 
 def _missing(df: DataFrame, c: str, name: str | None = None) -> Column:
@@ -53,18 +59,88 @@ def upsert(stored: DataFrame, new: DataFrame, key: str, sticky: list[str] = ())
     return joined.select(F.coalesce("_b", "_a").alias(key), *[value(c) for c in columns], F.col("_a").isNull().alias("is_new"))
 
 
+MANIFEST = "_manifest.json"
+
+
+def _files(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return hadoop, hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def write_text(spark: SparkSession, path: str, content: str | None) -> None:
+    """Writes a small file whole: under another name first, then renamed over it; None takes it away."""
+    hadoop, fs = _files(spark, path)
+    if content is None:
+        fs.delete(hadoop(path), False)
+        return
+    beside = hadoop(f"{path}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(beside, True)
+    try:
+        out.write(bytearray(content.encode()))
+    finally:
+        out.close()
+    names = spark.sparkContext._jvm.org.apache.hadoop.fs
+    over = spark.sparkContext._gateway.new_array(names.Options.Rename, 1)
+    over[0] = names.Options.Rename.OVERWRITE
+    context = names.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(beside), fs.makeQualified(hadoop(path)), over)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    hadoop, fs = _files(spark, path)
+    if not fs.exists(hadoop(path)):
+        return None
+    source = fs.open(hadoop(path))
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
+
+
+def write_pending(spark: SparkSession, path: str, names: list[str], note: str = "", today: str = "") -> None:
+    """The list of work left over: names once, in order; without any the file goes."""
+    names = list(dict.fromkeys(names))
+    write_text(spark, path, json.dumps({"journals": names, "updated": today, "note": note}, ensure_ascii=False) if names else None)
+
+
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """The rows of a table that ``write_upsert`` keeps; none (of ``schema``) where there is no table yet."""
+    manifest = json.loads(read_text(spark, f"{path}/{MANIFEST}") or "{}")
+    if not manifest:
+        return spark.createDataFrame([], schema or StructType([]))
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(*[f"{path}/{d}" for d in sorted(manifest["partitions"].values())]) if manifest["partitions"] else spark.createDataFrame([], schema or StructType.fromJson(manifest["schema"]))
+
+
 def write_upsert(new: DataFrame, path: str, key: str, partition: str, sticky: list[str] = ()) -> None:
-    """Upsert into a Parquet table, rewriting only the partitions that have new rows; one writer at a time."""
-    spark = new.sparkSession
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    exists = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-    if exists:
-        stored = spark.read.schema(new.schema).parquet(path).join(new.select(partition).distinct(), partition, "left_semi").select(*new.columns)
-        new = upsert(stored, new, key, list(sticky)).drop("is_new").select(*new.columns)
-        from ..session import written
+    """Upsert into a Parquet table; one writer at a time.
 
-        new = written(new, "upsert")
-    new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    Only partitions that have new rows, or hold an older row of a new key, are written again, into a new folder; then a
+    manifest that names each partition's folder takes the old one's place in one rename.  A run that dies
+    before leaves the old table, and a key that changes its partition is in the new one only.
+    """
+    spark = new.sparkSession
+    manifest = json.loads(read_text(spark, f"{path}/{MANIFEST}") or "{}")
+    name = F.coalesce(F.col(partition).cast("string"), F.lit("__null__"))
+    new = written(new, "upsert")
+    touched = new.select(name.alias("p")).distinct()
+    if manifest:
+        stored = read_table(spark, path, new.schema)
+        moved = stored.select(name.alias("p"), key).join(new.select(key).distinct(), key, "left_semi").select("p")
+        touched = touched.union(moved).distinct()
+    names = [r["p"] for r in touched.collect()]  # partitions, not rows
+    rows = new
+    if manifest:
+        old = [manifest["partitions"][n] for n in names if n in manifest["partitions"]]
+        before = spark.read.schema(new.schema).parquet(*[f"{path}/{d}" for d in old]) if old else spark.createDataFrame([], new.schema)
+        rows = upsert(before, new, key, list(sticky)).select(*new.columns)
+    folder = f"data-{uuid.uuid4().hex}"
+    rows.withColumn("_part", F.md5(name.cast("binary"))).write.partitionBy("_part").parquet(f"{path}/{folder}")
+    there = {n: hashlib.md5(n.encode()).hexdigest() for n in names}
+    hadoop, fs = _files(spark, path)
+    kept = {n: d for n, d in manifest.get("partitions", {}).items() if n not in there}
+    kept |= {n: f"{folder}/_part={h}" for n, h in there.items() if fs.exists(hadoop(f"{path}/{folder}/_part={h}"))}
+    write_text(spark, f"{path}/{MANIFEST}", json.dumps({"schema": new.schema.jsonValue(), "partitions": kept}))
 
 
 def priority_merge(first: DataFrame, second: DataFrame, key: Column, graft: list[str]) -> DataFrame:
@@ -135,5 +211,25 @@ def first_filled(sources: list[DataFrame]) -> DataFrame:
     return out
 
 
+def first_filled_by(sources: list[DataFrame], group: str) -> DataFrame:
+    """For each group the rows of the first source that has any for it, with that source's number as ``level``."""
+    every = None
+    for i, df in enumerate(sources):
+        rows = df.withColumn("level", F.lit(i))
+        every = rows if every is None else every.unionByName(rows, allowMissingColumns=True)
+    first = every.groupBy(group).agg(F.min("level").alias("_level")).withColumnRenamed(group, "_g")
+    return every.join(first, F.col(group).eqNullSafe(F.col("_g")) & (F.col("level") == F.col("_level"))).drop("_g", "_level")
+
+
+def uncovered(rows: DataFrame, have: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose keys (an issue's volume and number, say) another source doesn't have; null keys are as good as others."""
+    other = have.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+    same = None
+    for k in keys:
+        one = F.col(k).eqNullSafe(F.col(f"_{k}"))
+        same = one if same is None else same & one
+    return rows.join(other, same, "left_anti")
+
+
 def by_source(df: DataFrame, source: str, names: list[str]) -> dict[str, DataFrame]:
     return {n: df.filter(F.col(source) == n) for n in names}

@@ -59,7 +59,8 @@ def _hinted(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def build(left: DataFrame, right: DataFrame, fill: list[str], reading: dict[str, str] | None = None) -> Build:
     keyed = left.withColumn("title_key", match_title(F.col("title"), reading))
-    unique = written(fuzzy_dedupe(keyed, "title_key", "pos", "id", fill).drop("title_key"), "unique")
+    full = [F.col("year") > 0, F.size("nums") > 0, *[F.col(c).isNotNull() & (F.col(c).cast("string") != "") for c in fill]]
+    unique = written(fuzzy_dedupe(keyed, "title_key", "pos", "id", fill, completeness=full).drop("title_key", "alt_ids"), "unique")
     pairs = link(unique, right, reading)
     partner = right.join(pairs.select(F.col("right_id").alias("id"), "left_id"), "id")
     merged = merge.left_fill(unique, partner.drop("id").withColumnRenamed("left_id", "id"), "id", fill)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -26,9 +27,15 @@ def get_session(app: str = "lexiloom", master: str | None = None, **settings: st
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where that is unset (tests), one in the temporary folder."""
+    """The folder of ``spark.checkpoint.dir``.
+
+    Where that is unset, a session on one machine (tests, a notebook) gets a temporary one; on a
+    cluster no folder is sure to be shared by driver and executors, so it is an error.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + os.path.join(tempfile.gettempdir(), "lexiloom-shared")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")

@@ -96,13 +96,43 @@ def test_year_band_and_subset(spark):
 
 def test_fuzzy_dedupe(spark):
     data = [
-        (0, "a", "sametitle", 5, [1], 2000, "", "x"), (1, "b", "sametitle", 5, [1], 2000, "kept", ""), (2, "c", "sametitle", 6, [1], 2000, "", ""),
-        (3, "d", "short", None, [2], 0, "", ""), (4, "e", "short", None, [2], 0, "", ""),
+        (0, "a", "sametitle", 5, [1], 2000, "", "x", ["z"]), (1, "b", "sametitle", 5, [1], 2000, "kept", "", ["y", "a"]), (2, "c", "sametitle", 6, [1], 2000, "", "", []),
+        (3, "d", "short", None, [2], 0, "", "", []), (4, "e", "short", None, [2], 0, "", "", []),
+        (5, "f", "overlapping", 1, [1, 2], 0, "", "", []), (6, "g", "overlapping", 1, [2, 3], 0, "", "", []), (7, "h", "overlapping", 1, [], 1999, "full", "", None),
+        (8, "i", "longertitle", None, [3], 2001, "", "", []), (9, "j", "longertitle", 4, [3], 0, "", "", []), (10, "k", "longertitle", 4, [3], 2002, "", "", []), (11, "l", "longertitle", None, [], 2001, "", "", []),
+        (12, "m", "contents of", 1, [1], 2000, "", "", []), (13, "n", "contents of", 1, [1], 2000, "", "", []), (14, "o", None, 1, [1], 0, "", "", []), (15, "p", None, 1, [1], 0, "", "", []), (16, "q", "abc", 1, [1], 0, "", "", []), (17, "r", "abc", 1, [1], 0, "", "", []),
     ]
+    df = spark.createDataFrame(data, "pos int, id string, key string, page int, nums array<int>, year int, f string, g string, alt_ids array<string>")
+    twins = lambda rows: dedupe.fuzzy_dedupe(rows, "key", "pos", "id", ["f", "g"], completeness=[F.col("f") != ""], apart=F.col("key").startswith("contents"))
+    found = {r.id: (r.alt_ids, r.f, r.g) for r in twins(df).collect()}
+    assert found["b"] == (["y", "a", "z"], "kept", "x")  # the more complete stays, with both rows' earlier ids
+    assert found["h"] == (["f"], "full", "") and "g" in found  # numbers that only overlap are different, missing ones fit
+    assert found["i"] == (["j"], "", "") and found["k"][0] == [] and found["l"][0] == []
+    assert set(found) == set("bcdeghiklmnopqr")
+    assert twins(df.filter("1 = 0")).count() == 0
+
+
+def test_fuzzy_dedupe_equals_one_pass_over_the_rows(spark):
+    r = random.Random(2)
+    data = [(i, f"id{i}", r.choice(["abc", "title one", "titletwotwo"]), r.choice([None, 1, 2]), r.choice([[], [1], [1, 2]]), r.choice([0, 2000, 2001]), r.choice(["", "x"]), r.choice(["", "y"])) for i in range(150)]
     df = spark.createDataFrame(data, "pos int, id string, key string, page int, nums array<int>, year int, f string, g string")
-    found = {r.id: (r.alt_ids, r.f, r.g) for r in dedupe.fuzzy_dedupe(df, "key", "pos", "id", ["f", "g"]).collect()}
-    assert found["a"] == (["b"], "kept", "x")
-    assert set(found) == {"a", "c", "d", "e"}  # other page; titles under 8 characters without pages stay apart
+    groups = []
+    for row in data:
+        _, _, key, page, nums, year, _, _ = row
+        for g in groups:
+            _, _, k, p, n, y, _, _ = g[0]
+            place = page == p and (not nums or not n or set(nums) == set(n)) if page is not None and p is not None else bool(nums) and set(nums) == set(n) and len(key) >= 8
+            if len(key) >= 4 and k == key and (not year or not y or year == y) and place:
+                g.append(row)
+                break
+        else:
+            groups.append([row])
+    wanted = {}
+    for g in groups:
+        ranked = sorted(g, key=lambda x: (x[6] != "", x[7] != ""), reverse=True)
+        wanted[ranked[0][1]] = ([x[1] for x in ranked[1:]], next((x[6] for x in ranked if x[6]), ""), next((x[7] for x in ranked if x[7]), ""))
+    found = dedupe.fuzzy_dedupe(df, "key", "pos", "id", ["f", "g"], completeness=[F.col("f") != "", F.col("g") != ""])
+    assert {x.id: (x.alt_ids, x.f, x.g) for x in found.collect()} == wanted
 
 
 def test_clear_repeated_and_caps(spark):
@@ -112,7 +142,7 @@ def test_clear_repeated_and_caps(spark):
     assert rows(dedupe.capped_append(stored, new, "g", "k", 3, "k")) == [("g", 1), ("g", 2), ("g", 3)]
 
 
-def test_upsert_keeps_sticky_fields(spark, tmp_path):
+def test_upsert_keeps_sticky_fields(spark, tmp_path, monkeypatch):
     old = spark.createDataFrame([(1, "a", "hint", "p"), (2, "b", "h2", "q")], "k int, v string, h string, part string")
     new = spark.createDataFrame([(1, "c", "", "p"), (3, "d", "", "p")], "k int, v string, h string, part string")
     assert rows(merge.upsert(old, new, "k", ["h"])) == [(1, "c", "hint", "p", False), (2, "b", "h2", "q", False), (3, "d", "", "p", True)]
@@ -120,7 +150,37 @@ def test_upsert_keeps_sticky_fields(spark, tmp_path):
     merge.write_upsert(old, path, "k", "part", ["h"])
     merge.write_upsert(new, path, "k", "part", ["h"])
     merge.write_upsert(new, path, "k", "part", ["h"])
-    assert rows(spark.read.parquet(path).select("k", "v", "h")) == [(1, "c", "hint"), (2, "b", "h2"), (3, "d", "")]
+    assert rows(merge.read_table(spark, path).select("k", "v", "h")) == [(1, "c", "hint"), (2, "b", "h2"), (3, "d", "")]
+    moved = spark.createDataFrame([(2, "e", "", "p"), (4, "f", "", None)], "k int, v string, h string, part string")
+    for _ in range(2):
+        merge.write_upsert(moved, path, "k", "part", ["h"])
+    assert rows(merge.read_table(spark, path)) == [(1, "c", "hint", "p"), (2, "e", "h2", "p"), (3, "d", "", "p"), (4, "f", "", None)]
+    assert merge.read_table(spark, str(tmp_path / "none"), old.schema).count() == 0
+    # A run that dies before the manifest is replaced changes nothing.
+    real = merge.write_text
+    monkeypatch.setattr(merge, "write_text", lambda *a: (_ for _ in ()).throw(OSError("gone")))
+    with pytest.raises(OSError):
+        merge.write_upsert(old, path, "k", "part")
+    monkeypatch.setattr(merge, "write_text", real)
+    assert merge.read_table(spark, path).count() == 4
+
+
+def test_small_files_are_written_whole(spark, tmp_path):
+    path = str(tmp_path / "pending.json")
+    merge.write_pending(spark, path, ["b", "a", "b"], "left over", "2024-01-02")
+    merge.write_pending(spark, path, ["b", "a", "b"], "left over", "2024-01-02")
+    assert merge.read_text(spark, path) == '{"journals": ["b", "a"], "updated": "2024-01-02", "note": "left over"}'
+    assert not list(tmp_path.glob("*.tmp"))
+    merge.write_pending(spark, path, [])
+    assert merge.read_text(spark, path) is None
+    merge.write_pending(spark, path, [])
+
+
+def test_cascade_and_uncovered(spark):
+    a = spark.createDataFrame([("x", 1), ("x", 2)], "j string, i int")
+    b = spark.createDataFrame([("x", 9), ("y", 3), (None, 4)], "j string, i int")
+    assert rows(merge.first_filled_by([a, b], "j")) == [(None, 4, 1), ("x", 1, 0), ("x", 2, 0), ("y", 3, 1)]
+    assert rows(merge.uncovered(b, spark.createDataFrame([("y", 3), (None, 4)], "j string, i int"), ["j", "i"])) == [("x", 9)]
 
 
 def test_fill_overlay_priority(spark):

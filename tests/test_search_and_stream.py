@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from lexiloom.operators import merge
 from lexiloom.plans import search
 from lexiloom.streaming import harvest
 
@@ -33,4 +34,4 @@ def test_stream_upserts_once(spark, tmp_path):
         harvest.harvest_stream(stream, "k", "ts", str(tmp_path / "out"), "part", str(tmp_path / "check")).awaitTermination()
     e.filter("k = 3").write.mode("append").parquet(str(tmp_path / "in"))
     harvest.harvest_stream(spark.readStream.schema(e.schema).parquet(str(tmp_path / "in")), "k", "ts", str(tmp_path / "out"), "part", str(tmp_path / "check")).awaitTermination()
-    assert sorted(r.k for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [0, 1, 2, 3]
+    assert sorted(r.k for r in merge.read_table(spark, str(tmp_path / "out")).collect()) == [0, 1, 2, 3]
