@@ -15,12 +15,6 @@ def q_html_links(t):
     return anchors.select("page_id", "href", "text")
 
 
-@query(r"""SELECT page_id, len([x for x in regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1) if NOT contains(x, '/recommender/')])::bigint AS n_links FROM pages""")
-def q_filter_contains(t):
-    hrefs = F.regexp_extract_all("html", F.lit(r'<a [^>]*href="([^"]*)"'), F.lit(1))
-    return t.pages.select("page_id", F.size(F.filter(hrefs, lambda h: ~F.contains(h, F.lit("/recommender/")))).cast("long").alias("n_links"))
-
-
 @query(r"SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')) AS plain FROM pages")
 def q_strip_tags(t):
     return t.pages.select("page_id", text.strip_tags(F.col("html")).alias("plain"))
@@ -40,24 +34,6 @@ def q_slice_by_count(t):
     return t.pages.select("page_id", F.array_join(pages.slice_by_count(hrefs, meta), " ").alias("names"))
 
 
-@query(r"SELECT page_id, regexp_extract(url, '^https?://([^/?#]+)', 1) AS host, regexp_extract(url, '/([a-z]{2})/', 1) AS lang, coalesce(nullif(regexp_extract(url, '/([0-9]+)', 1), ''), 'none') AS number FROM pages")
-def q_url_extract(t):
-    return t.pages.select("page_id", F.regexp_extract("url", r"^https?://([^/?#]+)", 1).alias("host"), F.regexp_extract("url", "/([a-z]{2})/", 1).alias("lang"), F.coalesce(F.nullif(F.regexp_extract("url", "/([0-9]+)", 1), F.lit("")), F.lit("none")).alias("number"))
-
-
-@query("SELECT page_id, CASE WHEN page_id % 4 <> 0 THEN 'https://example.org/item/' || page_id::varchar ELSE 'https://example.org/' END AS link FROM pages")
-def q_url_build(t):
-    known = F.when(F.col("page_id") % 4 != 0, F.col("page_id").cast("string"))
-    return t.pages.select("page_id", F.coalesce(F.concat(F.lit("https://example.org/item/"), known), F.lit("https://example.org/")).alias("link"))
-
-
-@query("SELECT page_id FROM pages WHERE (contains(lower(url), 'en') OR contains(lower(url), 'de')) AND NOT contains(lower(url), 'ref=') AND page_id NOT IN (3, 5)")
-def q_hint_filter(t):
-    url = F.lower("url")
-    hints = F.exists(F.array(F.lit("en"), F.lit("de")), lambda h: F.contains(url, h))
-    return t.pages.filter(hints & ~F.contains(url, F.lit("ref=")) & ~F.col("page_id").isin(3, 5)).select("page_id")
-
-
 @query(r"""WITH p AS (SELECT page_id, html, lower(regexp_extract(html, '<title>([^<]*)</title>', 1) || ' ' || html[:6000]) AS head FROM pages)
 SELECT page_id, CASE WHEN length(html) = 0 THEN 'empty' WHEN length(html) < 2500 THEN 'short' WHEN contains(head, 'robot') OR contains(head, 'stupid') THEN 'blocked' WHEN length(html) < 15000 AND contains(head, 'cookie') THEN 'blocked' ELSE 'fine' END AS problem FROM p""")
 def q_page_quality(t):
@@ -96,18 +72,17 @@ def q_dublin_core(t):
 
 
 def _journals(t):
-    """Files of articles, made of suppliers: one wrapped, one bare."""
+    """Files of articles, made of suppliers, a hundred a file: wrapped ones and bare ones."""
     path = work_folder(t.spark, "journals")
     article = F.struct(F.col("s_suppkey").cast("string").alias("article_id"), F.col("s_name").alias("title_kr"), F.lit("2020").alias("year"))
-    for name, bare in (("riss_even", False), ("riss_odd", True)):
-        rows = t.supplier.filter(F.col("s_suppkey") % 2 == int(bare)).agg(F.to_json(F.sort_array(F.collect_list(article))).alias("a"))
-        value = F.col("a") if bare else F.concat(F.lit('{"info": {"name": "x"}, "articles": '), "a", F.lit("}"))
-        rows.select(value).coalesce(1).write.text(f"{path}/{name}")
+    file = F.concat(F.when(F.col("s_suppkey") % 2 == 0, "even").otherwise("odd"), F.floor(F.col("s_suppkey") / 200).cast("string"))
+    rows = t.supplier.groupBy(file.alias("file")).agg(F.to_json(F.sort_array(F.collect_list(article))).alias("a"))
+    value = F.when(F.col("file").startswith("odd"), F.col("a")).otherwise(F.concat(F.lit('{"info": {"name": "x"}, "articles": '), "a", F.lit("}")))
+    rows.select("file", value.alias("value")).repartition("file").write.partitionBy("file").text(f"{path}/parts")
     hadoop = t.spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = hadoop(path).getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration())
-    for name in ("riss_even", "riss_odd"):
-        fs.rename(fs.globStatus(hadoop(f"{path}/{name}/part-*"))[0].getPath(), hadoop(f"{path}/{name}.json"))
-        fs.delete(hadoop(f"{path}/{name}"), True)
+    for found in fs.globStatus(hadoop(f"{path}/parts/file=*/part-*")):
+        fs.rename(found.getPath(), hadoop(f"{path}/riss_{found.getPath().getParent().getName().removeprefix('file=')}.json"))
     return path
 
 
@@ -119,7 +94,7 @@ def q_scan_json(t):
 @query("SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'even' ELSE 'odd' END AS journal, count(*) AS n, max(s_suppkey) AS last_id FROM supplier GROUP BY 1")
 def q_scan_glob(t):
     rows = records.read_journals(t.spark, f"{_journals(t)}/riss_*.json")
-    return rows.groupBy(F.col("file_stem").alias("journal")).agg(F.count(F.lit(1)).alias("n"), F.max(F.col("article_id").cast("long")).alias("last_id"))
+    return rows.groupBy(F.regexp_extract("file_stem", "[a-z]+", 0).alias("journal")).agg(F.count(F.lit(1)).alias("n"), F.max(F.col("article_id").cast("long")).alias("last_id"))
 
 
 @query("SELECT o_orderkey AS orderkey, 'orders' AS origin FROM orders WHERE o_totalprice > 400000 UNION ALL SELECT o_orderkey, 'late' FROM orders WHERE (SELECT count(*) FROM orders WHERE o_totalprice > 400000) = 0 AND o_orderkey % 2 = 0 UNION ALL SELECT o_orderkey, 'any' FROM orders WHERE (SELECT count(*) FROM orders WHERE o_totalprice > 400000 OR o_orderkey % 2 = 0) = 0")

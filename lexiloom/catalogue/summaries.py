@@ -113,8 +113,9 @@ def q_except(t):
 
 @query("SELECT user_id, string_agg(event_type, ',' ORDER BY f) AS kinds FROM (SELECT user_id, event_type, min(event_id) AS f FROM events GROUP BY 1, 2) GROUP BY 1")
 def q_distinct(t):
-    ordered = F.array_sort(F.collect_list(F.struct("event_id", "event_type")))
-    return t.events.groupBy("user_id").agg(ordered.alias("a")).select("user_id", F.array_join(F.array_distinct(F.transform("a", lambda x: x["event_type"])), ",").alias("kinds"))
+    first = t.events.groupBy("user_id", "event_type").agg(F.min("event_id").alias("f"))  # before anything is collected
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("f", "event_type"))), lambda x: x["event_type"])
+    return first.groupBy("user_id").agg(F.array_join(ordered, ",").alias("kinds"))
 
 
 @query("SELECT o_orderkey FROM orders WHERE EXISTS (SELECT 1 FROM supplier WHERE o_totalprice BETWEEN s_acctbal * 30 AND s_acctbal * 30 + 500)")

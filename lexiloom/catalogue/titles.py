@@ -139,12 +139,6 @@ def q_project_article(t):
     return records.to_articles(t.documents.withColumn("title", _title()), "title", "lang").select("doc_id", "title_kr", "title_en")
 
 
-@query(rf"SELECT doc_id FROM documents WHERE NOT (trim({DOC_TITLE}) = '' OR regexp_matches({DOC_TITLE}, '^(The|Der|La|Le)\s') OR source = 'src0')")
-def q_front_matter(t):
-    front = (F.trim(_title()) == "") | _title().rlike(r"^(The|Der|La|Le)\s") | F.exists(F.array("source"), lambda s: s == "src0")
-    return t.documents.filter(~front).select("doc_id")
-
-
 @query("""WITH n AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS pos, l_partkey FROM lineitem)
 SELECT l_orderkey, string_agg(pos::varchar || ':' || l_partkey::varchar, ',' ORDER BY pos) AS items FROM n GROUP BY l_orderkey""")
 def q_array_order(t):
@@ -153,17 +147,6 @@ def q_array_order(t):
     return rows.select("l_orderkey", F.array_join(F.transform("a", lambda x, i: F.concat_ws(":", (i + 1).cast("string"), x["l_partkey"].cast("string"))), ",").alias("items"))
 
 
-@query("""SELECT c_custkey, c_name || CASE WHEN c_custkey % 3 = 0 THEN ' ―Sub ' || c_mktsegment || '―' ELSE '' END AS title,
- CASE WHEN c_custkey % 3 = 0 THEN '1:' || n_name ELSE '1:' || c_mktsegment || ',2:' || n_name END AS authors FROM customer JOIN nation ON n_nationkey = c_nationkey""")
-def q_array_repair(t):
-    first = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("―Sub "), "c_mktsegment", F.lit("―"))).otherwise(F.col("c_mktsegment"))
-    rows = t.customer.join(F.broadcast(t.nation), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "c_name", F.array(first, F.col("n_name")).alias("authors"))
-    subtitle = lambda a: a.startswith("―")
-    rows = rows.withColumn("subs", F.filter("authors", subtitle)).withColumn("names", F.filter("authors", lambda a: ~subtitle(a)))
-    title = F.when(F.size("subs") > 0, F.concat_ws(" ", F.col("c_name"), F.get("subs", 0))).otherwise(F.col("c_name"))
-    return rows.select("c_custkey", title.alias("title"), F.array_join(F.transform("names", lambda a, i: F.concat_ws(":", (i + 1).cast("string"), a)), ",").alias("authors"))
-
-
 @query("""SELECT o_custkey AS custkey, string_agg(o_orderkey::varchar, ' ' ORDER BY o_orderkey) AS names, count(*) AS n, n_name AS journal FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey GROUP BY o_custkey, n_name""")
 def q_flat_index(t):
     grouped = t.orders.groupBy(F.col("o_custkey").alias("custkey")).agg(F.sort_array(F.collect_list("o_orderkey")).alias("keys"))

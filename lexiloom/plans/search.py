@@ -12,6 +12,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.linguistic import match_title, title_similarity
+
 _TOKEN = re.compile(r'(?P<bar>\|)|(?P<not>-)?(?:(?P<field>\w+):)?(?:"(?P<phrase>[^"]*)"|(?P<word>[^\s|"]+))')
 
 
@@ -88,6 +90,15 @@ def suggestions(df: DataFrame, column: str, term: str, k: int = 5, most: int = 3
     return near.join(F.broadcast(exact), F.lit(True), "left_anti").orderBy("distance", column).limit(k)
 
 
+def similar_values(df: DataFrame, column: str, term: str, k: int = 5, least: float = 0.5) -> DataFrame:
+    """If no value holds the term: the k values whose folded titles are most alike, with their similarity."""
+    exact = df.filter(F.contains(F.lower(column), F.lit(term.lower()))).limit(1).select(F.lit(1).alias("_hit"))
+    values = df.select(column).distinct().withColumn("_term", F.lit(term))
+    alike = title_similarity(match_title(F.col(column)), match_title(F.col("_term")))
+    near = values.withColumn("similarity", F.round(alike, 6)).filter(F.col("similarity") >= least).drop("_term")
+    return near.join(F.broadcast(exact), F.lit(True), "left_anti").orderBy(F.desc("similarity"), column).limit(k)
+
+
 def decade(year: Column) -> Column:
     return F.floor(year / 10) * 10
 

@@ -158,3 +158,28 @@ def volume_year(volume: Column, first_year: int = 1952) -> Column:
     """The year of an annual volume, where a source gives none; volumes under 1 have none."""
     n = volume.try_cast("int")
     return F.when(n >= 1, n + (first_year - 1))
+
+
+#: What a search service says when it has nothing, and when it refuses to go on.
+NOTHING, REFUSED = r"(?i)No\s*Data|검색\s*결과가\s*없|결과가 없습니다", r"(?i)인증키|유효하지|권한|한도|초과|limit|invalid"
+
+
+def search_state(xml: Column) -> Column:
+    """Struct of total and state of a search response: records, empty, or stop (the service refused, don't ask on)."""
+    total = F.nullif(F.regexp_extract(xml, r"<total>\s*([0-9]+)", 1), F.lit("")).try_cast("int")
+    said = F.regexp_replace(xml, r"(?s)<inputData>.*?</inputData>", " ")  # the request repeated
+    state = F.when(F.contains(xml, F.lit("<record")), "records").when(said.rlike(NOTHING), "empty").when(total.isNull() & said.rlike(REFUSED), "stop").otherwise("empty")
+    return F.struct(F.when(said.rlike(NOTHING) & ~F.contains(xml, F.lit("<record")), 0).otherwise(F.coalesce(total, F.lit(0))).alias("total"), state.alias("state"))
+
+
+def year_window(year: Column, exact: Column | None = None) -> Column:
+    """Struct of date_from and date_to (yyyymm): the year, with its neighbours unless ``exact``; nulls for an unknown year."""
+    width = F.when(F.coalesce(exact, F.lit(False)) if exact is not None else F.lit(False), 0).otherwise(1)
+    known = F.nullif(year, F.lit(0))
+    return F.struct(F.concat((known - width).cast("string"), F.lit("01")).alias("date_from"), F.concat((known + width).cast("string"), F.lit("12")).alias("date_to"))
+
+
+def lookup_url(response: Column, pattern: str = r"https?://[^\s\"'<>&]+") -> Column:
+    """The first address in the answer to a lookup, without what follows #; null if the answer has no hits."""
+    hits = F.nullif(F.regexp_extract(response, r"<numberOfRecords>([0-9]+)</numberOfRecords>", 1), F.lit("")).try_cast("int")
+    return F.when(hits > 0, F.nullif(F.substring_index(F.regexp_extract(response, f"({pattern})", 1), "#", 1), F.lit("")))

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.window import Window
 
+from ..functions.text import bump_token
 from ..operators.merge import write_upsert
 
 
@@ -67,3 +69,30 @@ def scheduled(rows: DataFrame, day: Column, schedule: dict[int, str], name: str
     """Rows with what is due on their weekday (1 is Sunday)."""
     table = F.create_map(*[F.lit(x) for pair in schedule.items() for x in pair])
     return rows.withColumn(name, F.try_element_at(table, F.dayofweek(day)))
+
+
+def next_request(outcome: Column, token: Column, format_: Column, resumed: Column, pages: Column, cooldowns: Column, skipped: Column) -> Column:
+    """Struct of action, token and format after a request of a window, from what came back and the state of the window.
+
+    outcome is ok, failed, none (no records), expired (the token) or refused (the arguments).  A page that fails in the detailed format
+    is asked for in the plain one by the caller before it counts as failed; then come pauses while any are left,
+    the plain format for a window that never began, and one skipped page; a second one stops the window.
+    """
+    step = lambda action, tok, form: F.struct(F.lit(action).alias("action"), tok.alias("token"), form.alias("format"))
+    none, plain = F.lit(None).cast("string"), F.lit("plain")
+    began = (pages > 0) | resumed | (format_ == "plain")
+    failed = F.when(began & (cooldowns > 0), step("pause", token, format_)).when(~began, step("restart", none, plain)).when(token.isNotNull() & ~skipped, step("skip", bump_token(token), format_)).otherwise(step("stop", token, format_))
+    done = F.when(token.isNull(), step("done", none, format_)).otherwise(step("next", token, format_))
+    return F.when(outcome == "ok", done).when(outcome == "none", step("done", none, format_)).when((outcome == "expired") & resumed, step("restart", none, format_)).when(outcome == "failed", failed).otherwise(step("stop", token, format_))
+
+
+def work_list(pending: DataFrame, due: DataFrame, name: str = "journal", pos: str = "pos") -> DataFrame:
+    """name, turn: what was left over, in its order, then what is due today, each once."""
+    every = pending.select(name, F.lit(0).alias("part"), pos).union(due.select(name, F.lit(1), pos))
+    first = every.groupBy(name).agg(F.min(F.struct("part", pos)).alias("at"))
+    return first.select(name, F.row_number().over(Window.orderBy("at")).cast("long").alias("turn"))  # names of journals, not rows
+
+
+def checkpoint_due(seconds: Column, every: int = 1800) -> Column:
+    """Whether the data and then the position are to be stored, by the seconds since that was last done."""
+    return F.coalesce(seconds >= every, F.lit(True))

@@ -245,3 +245,26 @@ def test_best_overlap(spark, empty):
     a = spark.createDataFrame([("c", f"t{i}") for i in range(4)], "g string, k string")
     b = spark.createDataFrame([] if empty else [("j", "t0"), ("j", "t1"), ("m", "t9")], "o string, k string")
     assert rows(linkage.best_overlap(a, b, "g", "o", "k")) == ([] if empty else [("c", "j", 2, 4, 0.5)])
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace as Own
+
+    from lexiloom.session import shared_folder
+
+    told = {}
+    conf = Own(get=lambda k, d=None: told.get(k, d), set=told.__setitem__)
+    session = lambda master: Own(conf=conf, sparkContext=Own(master=master, getConf=lambda: Own(get=lambda k, d=None: d)))
+    for master in ("yarn", "spark://x:7077", "local-cluster[2,1,1024]", "k8s://x"):
+        with pytest.raises(ValueError):
+            shared_folder(session(master))
+    assert shared_folder(session("local[4]")).startswith("file://")
+    told["spark.checkpoint.dir"] = "hdfs://x/y/"
+    assert shared_folder(session("yarn")) == "hdfs://x/y"
+
+
+def test_numbering_schemes(spark):
+    pairs = spark.createDataFrame([("a", 1, "5", "", "", "5"), ("a", 2, "0", "6", "6", None), ("a", 3, "7", "0", "0", "7"), ("t", 1, "1", "2", "1", "2"), ("t", 2, "", "3", "3", "")], "j string, pos int, left_volume string, left_issue string, right_volume string, right_issue string")
+    own = [("b", "3", "", 2020)] * 3 + [("b", "", "3", 2020)] + [("c", "3", "", 1990)] * 2 + [("c", "", "4", 1990)] + [("d", "", "4", 1990)] * 3 + [("d", "4", "", 2020)] + [("a", "", "1", 2020)] * 9
+    left = spark.createDataFrame(own, "j string, volume string, issue string, year int")
+    assert rows(summary.numbering_scheme(pairs, left, "j", "pos", 2024)) == [("a", "i2v"), ("b", "i2v"), ("c", "same"), ("d", "i2v"), ("t", "same")]

@@ -35,3 +35,16 @@ def test_stream_upserts_once(spark, tmp_path):
     e.filter("k = 3").write.mode("append").parquet(str(tmp_path / "in"))
     harvest.harvest_stream(spark.readStream.schema(e.schema).parquet(str(tmp_path / "in")), "k", "ts", str(tmp_path / "out"), "part", str(tmp_path / "check")).awaitTermination()
     assert sorted(r.k for r in merge.read_table(spark, str(tmp_path / "out")).collect()) == [0, 1, 2, 3]
+
+
+def test_similar_values(spark):
+    df = spark.createDataFrame([("antique chartreuse",), ("antique blue",), ("steel",), (None,)], "t string")
+    assert [r.t for r in search.similar_values(df, "t", "antiqe chartreus").collect()] == ["antique chartreuse"]
+    assert search.similar_values(df, "t", "steel").count() == 0
+
+
+def test_checkpoints_and_work(spark):
+    df = spark.createDataFrame([(10,), (1800,), (None,)], "s int")
+    assert [r.d for r in df.select(harvest.checkpoint_due(F.col("s")).alias("d")).collect()] == [False, True, True]
+    one, two = (spark.createDataFrame(x, "journal string, pos int") for x in ([("b", 0), ("a", 1)], [("a", 0), ("c", 1)]))
+    assert [r.journal for r in harvest.work_list(one, two).orderBy("turn").collect()] == ["b", "a", "c"]

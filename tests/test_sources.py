@@ -40,9 +40,10 @@ def test_pages(spark):
     found = df.select(pages.links("html").alias("a"), pages.detail("html").alias("d")).collect()
     assert [len(r.a) for r in found] == [4, 0, 0]
     assert (found[0].d.title, found[0].d.title_en, found[0].d.fields) == ("제목", "Title", {"저자": "Kim"})
-    issues = df.limit(1).select(pages.issue_links(pages.links("html")).alias("i")).first().i
+    anchors = df.limit(1).select(pages.links("html").alias("a")).cache()
+    issues = anchors.select(pages.issue_links(F.col("a")).alias("i")).first().i
     assert [(i.id, i.volume, i.issue, i.year) for i in issues] == [("ab1", "3", "2", "2019"), ("cd2", "", "1", "")]
-    articles = df.limit(1).select(pages.article_links(pages.links("html"), "/item/").alias("i")).first().i
+    articles = anchors.select(pages.article_links(F.col("a"), "/item/").alias("i")).first().i
     assert [a.text for a in articles] == ["An article"]
 
 
@@ -58,3 +59,12 @@ def test_states_and_keywords(spark, tmp_path):
     row = spark.createDataFrame([("<r><keyword> a </keyword><keyword>b</keyword><keyword>a</keyword></r>", "3", "0")], "x string, v string, w string")
     found = row.select(records.keywords(F.col("x")), records.volume_year(F.col("v")), records.volume_year(F.col("w"))).first()
     assert list(found) == [["a", "b"], 1954, None]
+
+
+def test_selectors():
+    html = '<div id="x" class="a b"><p>one <b>two</b></p><br></div><p lang="en" class="kwd-list">three</p>'
+    assert pages.elements_of(html, "#x p") == ["one two"]
+    assert pages.elements_of(html, ".a.b b") == ["two"]
+    assert pages.elements_of(html, "[class*=kwd]") == ["three"] == pages.elements_of(html, "p[lang='en']")
+    assert pages.elements_of(html, ".b") == ["one two"] and pages.elements_of(None, "p") == [] and pages.elements_of("<p>open", "div p") == []
+    assert pages.items_of("", "x", "y", "z") == [] == pages.items_of('<div class="x"><a class="y" href="/q">t</a></div>', "x", "y", "/(z)")
