@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 from ..functions.linguistic import page_bonus, title_similarity
 from ..session import written
 from .dedupe import first_wins, last_wins
+from .graph import components
 
 
 def known_id_join(left: DataFrame, right: DataFrame, keys: list[tuple[str, str, str]], left_id: str, right_id: str, pos: str = "pos") -> DataFrame:
@@ -73,27 +74,40 @@ def scored(pairs: DataFrame, left_title: str, right_title: str, left_page: str |
     return kept.withColumn("score", F.col("sim") + F.col("_bonus")).drop("_bonus")
 
 
-def greedy_rounds(edges: DataFrame, left: str, right: str, score: str) -> DataFrame:
+def greedy_rounds(edges: DataFrame, left: str, right: str, score: str, rounds: int = 3, most: int = 200_000) -> DataFrame:
     """One-to-one pairs as if edges were taken from the best down (ties: larger left, then larger right).
 
-    Each round takes the edges that are best at both ends, at least one, until none is left; with a strict order
-    this gives the sequential result.  Groups that are tied each with each are paired by rank in one round.
+    A round takes the edges that are best at both ends, at least one; with a strict order any number of
+    rounds gives the sequential result.  Groups that are tied each with each are paired by rank in one round.
+    After ``rounds`` of them each connected part of at most ``most`` edges is finished in order by one task, since
+    a chain gives few edges a round; rounds go on for larger parts until no edge is left.
     """
-    left_over, taken, turn = edges.filter(F.col(left).isNotNull() & F.col(right).isNotNull()).groupBy(left, right).agg(F.max(score).alias(score)), None, 0
-    left_over = written(left_over, "edges")
-    while True:
+    over = edges.filter(F.col(left).isNotNull() & F.col(right).isNotNull()).groupBy(left, right).agg(F.max(score).alias(score))
+    over, taken, turn = written(over, "edges"), None, 0
+    while not over.isEmpty():
+        if turn == rounds:
+            small, over = _parts(over, left, right, score, most)
+            done = written(greedy_blocks(small, "_part", left, right, score).drop("_part"), "greedy")
+            taken = done if taken is None else taken.unionByName(done)
         key = F.struct(score, left, right)
-        by_left = left_over.groupBy(left).agg(F.max(key).alias("_b")).select(F.col("_b." + left), F.col("_b." + right))
-        by_right = left_over.groupBy(right).agg(F.max(key).alias("_b")).select(F.col("_b." + left), F.col("_b." + right), F.col("_b." + score))
+        by_left = over.groupBy(left).agg(F.max(key).alias("_b")).select(F.col("_b." + left), F.col("_b." + right))
+        by_right = over.groupBy(right).agg(F.max(key).alias("_b")).select(F.col("_b." + left), F.col("_b." + right), F.col("_b." + score))
         one = by_left.join(by_right, [left, right]).select(left, right, score)
-        best = written(one.union(_tied_pairs(left_over, left, right, score)).distinct(), "greedy")
-        if best.isEmpty():
-            break
+        best = written(one.union(_tied_pairs(over, left, right, score)).distinct(), "greedy")
         taken, turn = best if taken is None else taken.unionByName(best), turn + 1
         if turn % 20 == 0:
             taken = written(taken, "taken")
-        left_over = written(left_over.join(best.select(left), left, "left_anti").join(best.select(right), right, "left_anti"), "edges")
-    return (taken if taken is not None else left_over).select(left, right, score)
+        over = written(over.join(best.select(left), left, "left_anti").join(best.select(right), right, "left_anti"), "edges")
+    return (taken if taken is not None else over).select(left, right, score)
+
+
+def _parts(edges: DataFrame, left: str, right: str, score: str, most: int) -> tuple[DataFrame, DataFrame]:
+    """The edges of connected parts of at most ``most`` edges, with ``_part``, and the other edges."""
+    ends = edges.select(F.xxhash64(F.lit(0), F.col(left)).alias("a"), F.xxhash64(F.lit(1), F.col(right)).alias("b"))
+    found = components(ends).select(F.col("node").alias("_node"), F.col("component").alias("_part"))
+    rows = written(edges.join(found, F.xxhash64(F.lit(0), F.col(left)) == F.col("_node")).drop("_node"), "parts")
+    large = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most).select("_part")
+    return rows.join(large, "_part", "left_anti"), rows.join(large, "_part", "left_semi").select(left, right, score)
 
 
 def _tied_pairs(edges: DataFrame, left: str, right: str, score: str) -> DataFrame:

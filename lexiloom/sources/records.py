@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from xml.etree import ElementTree
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,30 +53,53 @@ def split_records(xml: Column, name: str = "record") -> Column:
     return F.regexp_extract_all(xml, F.lit(rf"(?s)<(?:\w+:)?{name}[\s>].*?</(?:\w+:)?{name}>"), F.lit(0))
 
 
+LANGUAGES = T.MapType(T.StringType(), T.StringType())
+_PARTS = {"journal_name": "journal-name", "publisher": "publisher-name", "year": "pub-year", "volume": "volume", "issue": "issue", "start_page": "fpage", "end_page": "lpage", "doi": "doi", "url": "url"}
+DETAILED = T.StructType([T.StructField("kci_id", T.StringType()), T.StructField("titles", LANGUAGES), T.StructField("authors", T.ArrayType(AUTHOR)), *(T.StructField(n, T.StringType()) for n in _PARTS)])
+
+
+def element(xml: str | None) -> ElementTree.Element | None:
+    """A record as an element whose tags and attributes have lost their prefixes; None if it isn't well formed."""
+    bare = re.sub(r"(</?)[\w.-]+:|(\s)[\w.-]+:(?=[\w.-]+\s*=)", r"\1\2", xml or "")
+    try:
+        return ElementTree.fromstring(re.sub(r"\sxmlns(?:=|\b)[\"'][^\"']*[\"']", "", bare))
+    except ElementTree.ParseError:
+        return None
+
+
+def detailed_record(xml: str | None) -> dict | None:
+    """A record of the detailed harvest format by local tag names, whatever their depth; None for deleted and incomplete ones."""
+    root = element(xml)
+    if root is None or any(h.get("status") == "deleted" for h in root.iter("header")) or next(root.iter("journalInfo"), None) is None:
+        return None
+    article = next(root.iter("articleInfo"), None)
+    if article is None:
+        return None
+    said = lambda node: "".join(node.itertext()).strip()
+    out = {name: next((said(e) for e in root.iter(tag_)), "") for name, tag_ in _PARTS.items()}
+    people = []
+    for author in root.iter("author"):
+        name, place = next(author.iter("name"), None), next(author.iter("affiliation"), None)
+        if name is not None:
+            people.append((said(name), said(place) if place is not None else ""))
+    if not people:
+        whole = [re.match(r"([^(]*)(?:\(([^)]*)\))?", said(a)) for group in root.iter("author-group") for a in group.iter("author")]
+        people = [(m[1].strip(), m[2] or "") for m in whole]
+    titles = {t.get("lang") or "": said(t) for t in root.iter("article-title")}
+    authors = [{"name": n, "affiliation": a, "order": str(i + 1)} for i, (n, a) in enumerate(people)]
+    return out | {"kci_id": article.get("article-id"), "titles": titles, "authors": authors}
+
+
 def parse_detailed(records: DataFrame, xml_col: str = "xml") -> DataFrame:
-    """Records of the detailed harvest format; deleted ones and those without journal or article parts go."""
-    xml = F.col(xml_col)
-    deleted = F.exists(attribute(xml, "header", "status"), lambda s: s == "deleted")
-    whole = xml.rlike(r"<(?:\w+:)?journalInfo[\s>]") & xml.rlike(r"<(?:\w+:)?articleInfo[\s>]")
-    one = lambda n: F.coalesce(F.trim(F.get(tag(xml, n), 0)), F.lit(""))
-    by_lang = F.map_from_arrays(attribute(xml, "article-title", "lang"), tag(xml, "article-title"))
-    names, places = tag(xml, "name", "author"), tag(xml, "affiliation", "author")
-    authors = F.transform(names, lambda n, i: F.struct(F.trim(n).alias("name"), F.coalesce(F.trim(F.get(places, i)), F.lit("")).alias("affiliation"), (i + 1).cast("string").alias("order")))
-    groups = F.transform(tag(xml, "author", "author-group"), lambda a, i: F.struct(F.trim(F.regexp_extract(a, r"^([^(]*)", 1)).alias("name"), F.regexp_extract(a, r"\(([^)]*)\)", 1).alias("affiliation"), (i + 1).cast("string").alias("order")))
-    return records.filter(~deleted & whole).select(
-        F.get(attribute(xml, "articleInfo", "article-id"), 0).alias("kci_id"),
-        by_lang.alias("titles"),
-        F.when(F.size(authors) > 0, authors).otherwise(groups).alias("authors"),
-        one("journal-name").alias("journal_name"),
-        one("publisher-name").alias("publisher"),
-        one("pub-year").alias("year"),
-        one("volume").alias("volume"),
-        one("issue").alias("issue"),
-        one("fpage").alias("start_page"),
-        one("lpage").alias("end_page"),
-        F.regexp_replace(one("doi"), r"^https?://(?:dx\.)?doi\.org/", "").alias("doi"),
-        one("url").alias("url"),
-    )
+    """Records of the detailed harvest format, each parsed once; deleted ones and those without journal or article parts go."""
+
+    @F.pandas_udf(DETAILED)
+    def parsed(xml: pd.Series) -> pd.DataFrame:
+        rows = [detailed_record(x) or {} for x in xml]
+        return pd.DataFrame([{f: r.get(f) for f in DETAILED.names} for r in rows], columns=DETAILED.names)
+
+    rows = records.select(parsed(xml_col).alias("r")).filter("r.titles is not null").select("r.*")
+    return rows.withColumn("doi", F.regexp_replace("doi", r"^https?://(?:dx\.)?doi\.org/", ""))
 
 
 def citation_parts(citation: Column) -> Column:

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lexiloom.functions.linguistic import title_similarity
-from lexiloom.operators import dedupe, feed, linkage, merge, summary
+from lexiloom.operators import dedupe, feed, graph, linkage, merge, summary
 
 
 def rows(df, *order):
@@ -40,6 +40,9 @@ def test_greedy_rounds_walk_a_chain_to_its_end(spark):
     edges = [(k, k, 1.0 - k / 1000) for k in range(n)] + [(k, k + 1, 0.9995 - k / 1000) for k in range(n - 1)]
     df = spark.createDataFrame(edges, "l int, r int, s double")
     assert rows(linkage.greedy_rounds(df, "l", "r", "s")) == greedy(edges)
+    few = [e for e in edges if e[0] < 6 and e[1] < 6]
+    small = df.filter("l < 6 and r < 6")
+    assert rows(linkage.greedy_rounds(small, "l", "r", "s", rounds=1, most=3)) == greedy(few)  # parts too large for one task
 
 
 def test_greedy_blocks(spark):
@@ -78,6 +81,12 @@ def test_residual_pairs_keep_every_similar_pair(spark):
     assert len(wanted) > 150 and wanted <= found and wanted <= found_back
 
 
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(1, 40)] + [(100, 200), (200, 150), (7, 300)]
+    found = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert {found[i] for i in [*range(1, 41), 300]} == {1} and {found[i] for i in (100, 150, 200)} == {100}
+
+
 def test_known_id_join_claims_once(spark):
     left = spark.createDataFrame([(1, "k1", "d", 0), (2, "k1", "e", 1)], "l int, k string, d string, pos int")
     right = spark.createDataFrame([(10, "k1", None, 0), (11, None, "e", 1), (12, None, "d", 2)], "r int, rk string, rd string, pos int")

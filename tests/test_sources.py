@@ -20,6 +20,13 @@ def test_detailed_records(spark):
     assert [tuple(a) for a in row.authors] == [("Kim", "Univ A", "1"), ("Lee", "", "2")]
 
 
+def test_odd_records():
+    assert records.detailed_record(None) is None and records.detailed_record("<a><b></a>") is None and records.detailed_record("<r><journalInfo/></r>") is None
+    found = records.detailed_record('<o:record xsi:x="1"><o:header/><w><journalInfo xml:lang="ko"><deep><volume> 3 </volume></deep></journalInfo></w><articleInfo article-id="A"><article-title>t &amp; u</article-title><author-group><author>Kim (Univ)</author></author-group></articleInfo></o:record>')
+    assert (found["kci_id"], found["volume"], found["titles"], found["year"]) == ("A", "3", {"": "t & u"}, "")
+    assert found["authors"] == [{"name": "Kim", "affiliation": "Univ", "order": "1"}]
+
+
 def test_citation(spark):
     row = spark.createDataFrame([("Journal, 21(1), 34, pp.227-260",)], "c string").select(records.citation_parts(F.col("c")).alias("p")).first().p
     assert tuple(row) == ("Journal", "21", "1", "34", "227", "260")
