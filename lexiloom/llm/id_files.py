@@ -13,8 +13,12 @@ The rank table of the collection is a file of little-endian uint32 ids in rank o
 Files are written to the shared folder by their tasks under names of their own, so a
 repeated task leaves at most a file that no manifest names.
 
+Rows whose tasks hold ascending, disjoint id ranges are copied file by file, others are sorted; documents, order and
+bytes of a document are the same either way, only how they fall into files differs.
+
 Cases: a null text is empty (its document is the end id alone); repeated rows are stored
-each; null ids come first; an empty table gives no files; other columns are not read.
+each, rows of one id in any order, files that begin with one id by path; very long texts are blocks of their own; null ids
+come first; an empty table gives no files; other columns are not read.
 """
 
 from __future__ import annotations
@@ -238,8 +242,9 @@ def write_ids(docs: DataFrame, path: str, folder: str | None = None, vocabulary:
 
         made = rows.select("id", "n", "ids").sort("id").mapInArrow(sorted_rows, schema)
     listed = written(made, "manifest")
-    before = Window.orderBy(F.asc_nulls_first("first_id")).rowsBetween(Window.unboundedPreceding, -1)  # one row a file
-    return listed.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0))), f"{folder}/ranks.bin"
+    # One row a file; files that begin with one id go by path, and what they add up to is written down once.
+    before = Window.orderBy(F.asc_nulls_first("first_id"), "path").rowsBetween(Window.unboundedPreceding, -1)
+    return written(listed.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0))), "placed"), f"{folder}/ranks.bin"
 
 
 def read_ids(manifest: DataFrame, ranks_path: str, keep_ids: bool = True) -> DataFrame:

@@ -27,19 +27,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from ..session import written
-from .tokenizing import encoded_slices, id_type
+from .tokenizing import encoded_slices
 
 
-def token_pieces(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32 and, if asked for, ids.
-
-    A document's ids end with ``end_id``.  Longer ones than ``capacity`` are cut so that all pieces but
-    the first are full.
-    """
+def _cutter(path: str, capacity: int, end_id: int, keep_ids: bool):
+    """Turns batches of (id, text) into batches of pieces."""
 
     def cut(batches):
         for batch in batches:
@@ -62,8 +58,25 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = 1024, end_id: int =
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(cut, f"doc_id {id_type(docs, id_col)}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids)
+    return cut
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+
+
+def _piece_schema(docs: DataFrame, id_col: str, keep_ids: bool) -> StructType:
+    fields = [StructField("doc_id", docs.schema[id_col].dataType), StructField("piece", IntegerType()), *(StructField(n, LongType()) for n in ("start", "length", "ids_crc32"))]
+    return StructType(fields + [StructField("ids", ArrayType(IntegerType()))] * keep_ids)
+
+
+def token_pieces(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32 and, if asked for, ids.
+
+    A document's ids end with ``end_id``.  Longer ones than ``capacity`` are cut so that all pieces but
+    the first are full.
+    """
+    return _texts(docs, id_col, text_col).mapInArrow(_cutter(path, capacity, end_id, keep_ids), _piece_schema(docs, id_col, keep_ids))
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> Counter:
@@ -199,32 +212,35 @@ class Places:
         return self.base[k] + within // self.copies[k], self.offsets[self.at[k] + within % self.copies[k]]
 
 
-def numbered(pieces: DataFrame, capacity: int, length_col: str) -> DataFrame:
-    """The rows, written, with their task (``_task``) and their number among its rows of that length (``_nth``)."""
-    wrong = F.raise_error(F.concat(F.lit(f"lengths must be 1 to {capacity}: "), F.coalesce(F.col(length_col).cast("string"), F.lit("null"))))
-    length = F.col(length_col).cast("long")
-    rows = pieces.withColumn("_length", F.when(length.between(1, capacity), length).otherwise(wrong))
-    schema = StructType([*rows.schema.fields, StructField("_task", LongType()), StructField("_nth", LongType())])
+def _numbered(rows: DataFrame, make, schema: StructType, capacity: int, length_col: str) -> DataFrame:
+    """The rows that ``make`` turns batches of ``rows`` into, written, with their task (``_task``), length and number among the task's rows of that length (``_nth``)."""
+    more = StructType([*schema.fields, *(StructField(n, LongType()) for n in ("_task", "_length", "_nth"))])
 
     def count(batches):
         from pyspark import TaskContext
 
         task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for batch in batches:
-            length = batch.column("_length").to_numpy()
+        for batch in make(batches):
+            length = batch.column(length_col).cast(pa.int64()).fill_null(0).to_numpy()
+            if len(length) and (length.min() < 1 or length.max() > capacity):
+                raise ValueError(f"lengths must be 1 to {capacity}")
             order = np.argsort(length, kind="stable")
             counts = np.bincount(length, minlength=capacity + 1)
             nth = np.empty(len(length), np.int64)
             nth[order] = np.arange(len(length)) - np.repeat(np.cumsum(counts) - counts, counts)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(length), task, np.int64)), pa.array(nth + seen[length])], [*batch.schema.names, "_task", "_nth"])
+            own = [pa.array(np.full(len(length), task, np.int64)), pa.array(length), pa.array(nth + seen[length])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *own], [*batch.schema.names, "_task", "_length", "_nth"])
             seen += counts
 
-    return written(rows.mapInArrow(count, schema), "pieces")
+    return written(rows.mapInArrow(count, more), "pieces")
 
 
 def pack(pieces: DataFrame, capacity: int = 1024, length_col: str = "length") -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to rows whose lengths are 1 to ``capacity``; the rows are written once to the shared folder."""
-    rows = numbered(pieces, capacity, length_col)
+    return _placed(_numbered(pieces, lambda batches: batches, pieces.schema, capacity, length_col), pieces.columns, capacity)
+
+
+def _placed(rows: DataFrame, columns: list[str], capacity: int) -> DataFrame:
     counts = written(rows.groupBy("_task", "_length").agg(F.count(F.lit(1)).alias("n")), "counts")  # a row for each task and length
     found = counts.groupBy("_length").agg(F.sum("n").alias("n")).collect()  # capacity rows at most
     places = Places.of(improve(best_fit({r["_length"]: r["n"] for r in found}, capacity), capacity))
@@ -239,10 +255,12 @@ def pack(pieces: DataFrame, capacity: int = 1024, length_col: str = "length") ->
         return pd.DataFrame({"sequence_id": where[0], "offset": where[1]})
 
     ranked = rows.join(before, (F.col("_task") == F.col("_t")) & (F.col("_length") == F.col("_l"))).withColumn("_place", place("_length", F.col("_before") + F.col("_nth")))
-    kept = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    kept = [c for c in columns if c not in ("sequence_id", "offset")]
     return ranked.select(*[F.col(f"`{c}`") for c in kept], F.col("_place.sequence_id").alias("sequence_id"), F.col("_place.offset").alias("offset"))
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, keep_ids: bool = False) -> DataFrame:
     """Tokenizes, cuts and packs whole documents."""
-    return pack(token_pieces(docs, path, capacity, end_id, keep_ids=keep_ids), capacity)
+    schema = _piece_schema(docs, "doc_id", keep_ids)
+    rows = _numbered(_texts(docs, "doc_id", "text"), _cutter(path, capacity, end_id, keep_ids), schema, capacity, "length")  # one worker cuts and numbers
+    return _placed(rows, schema.names, capacity)

@@ -2,7 +2,10 @@
 
 A text's UTF-8, with spaces up to a positive multiple of 192 bytes, is rows of 64 RGB pixels; pages
 have at most 512 rows.  The payload's crc32 and the page's number choose byte order, compression, predictor and layout,
-so equal texts have equal files.  A null text is an empty one.
+so equal texts have equal files.
+
+Cases: a null text is an empty one; repeated rows and ids are stored each; very long texts are many pages of one
+file, encoded and read page by page; an empty table gives no rows; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -39,6 +39,7 @@ SAMPLE = 3000
 CANDIDATES = 4000
 CHOSEN = 300
 PREFIXES = (3, 4, 5, 6, 7)
+SLICE = 500_000  # code points that are looked at together, or one text if it has more
 CONTEXT = 2  # tokens beside one with a feature whose marginals count too
 WINDOW = 32  # tokens of a training sequence
 WINDOWS = 12_000  # training sequences at most
@@ -276,7 +277,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def features(batches):
         for batch in batches:
             toxic = batch.column(1).to_numpy()
-            for piece in text_slices(batch.column(0)):
+            for piece in text_slices(batch.column(0), SLICE):
                 _, _, docs_, kinds = token_features(piece)
                 keys, yes, no = [], [], []
                 at = np.searchsorted(docs_, np.arange(len(piece) + 1))
@@ -298,7 +299,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def present(batches):
         for batch in batches:
             toxic = batch.column(1).to_numpy()
-            for piece in text_slices(batch.column(0)):
+            for piece in text_slices(batch.column(0), SLICE):
                 _, _, docs_, kinds = token_features(piece)
                 tokens, found = probe.matches(kinds)
                 at = np.searchsorted(docs_[tokens], np.arange(len(piece) + 1))
@@ -316,7 +317,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         """Windows of tokens around the features, and as many elsewhere, drawn by hash."""
         for batch in batches:
             toxic, keys = batch.column(1).to_numpy(), batch.column(2).to_numpy().view(np.uint64)
-            for piece in text_slices(batch.column(0)):
+            for piece in text_slices(batch.column(0), SLICE):
                 _, _, docs_, kinds = token_features(piece)
                 tokens, found = tagger.matches(kinds)
                 first = np.searchsorted(docs_, np.arange(len(piece) + 1))
@@ -349,7 +350,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def summed(batches):
         for batch in batches:
             mark = batch.column(1).to_numpy()
-            for piece in text_slices(batch.column(0)):
+            for piece in text_slices(batch.column(0), SLICE):
                 _, _, own, p, n = tagger.marginals(piece)
                 x = tagger.summary(own, p, n)
                 yield pa.RecordBatch.from_arrays([pa.array(mark[piece.first : piece.first + len(piece)].astype(np.int64)), *(pa.array(x[:, k]) for k in range(3))], ["toxic", "x0", "x1", "x2"])
@@ -372,7 +373,7 @@ def score(docs: DataFrame, tagger: Tagger, id_col: str = "doc_id", text_col: str
 
     def rows(batches):
         for batch in batches:
-            for piece in text_slices(batch.column(1)):
+            for piece in text_slices(batch.column(1), SLICE):
                 starts, ends, own, p, n = tagger.marginals(piece)
                 value = tagger.scores(tagger.summary(own, p, n))
                 columns = [batch.column(0).slice(piece.first, len(piece)), pa.array(value), pa.array((value >= 0.5).astype(np.int32))]
@@ -401,7 +402,7 @@ def not_toxic(docs: DataFrame, tagger: Tagger, text_col: str = "text") -> DataFr
 
     def rows(batches):
         for batch in batches:
-            keep = [tagger.scores(tagger.summary(*tagger.marginals(piece)[2:])) < 0.5 for piece in text_slices(batch.column(batch.num_columns - 1))]
+            keep = [tagger.scores(tagger.summary(*tagger.marginals(piece)[2:])) < 0.5 for piece in text_slices(batch.column(batch.num_columns - 1), SLICE)]
             yield batch.filter(pa.array(np.concatenate(keep) if keep else np.zeros(0, bool))).select(batch.schema.names[:-1])
 
     names = docs.columns

@@ -9,7 +9,6 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from lexiloom.llm import near_dedup, pii, quality, toxicity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -88,12 +87,6 @@ def test_outsiders_of_a_large_group_need_one_link_each(spark):
         assert [found[i] for i in range(len(texts))] == brute_components(texts, 2, 80)[1]
 
 
-def test_components(spark):
-    edges = [(i, i + 1) for i in range(1, 40)] + [(100, 200), (200, 150), (7, 300)]
-    found = {r.node: r.component for r in near_dedup.components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert {found[i] for i in [*range(1, 41), 300]} == {1} and {found[i] for i in (100, 150, 200)} == {100}
-
-
 QUALITY = ["", None, "  \n ", "one two three " * 40, "Ab! c\n" * 5 + "#*$ <x>|", " ".join(f"w{i}" for i in range(80)) + ". Fine.", "é日 本\x0b語\r\n" * 30, "a b c d a b c\n\nx\nx\n x", " ".join(f"w{i % 700}" for i in range(5000))]
 
 
@@ -366,17 +359,3 @@ def test_chain_marginals_equal_those_by_enumeration():
     starts, _, _, p, _ = tagger.marginals(piece)
     which = [len(text[:s].split()) for s in starts.tolist()]
     assert np.allclose(p, (hot / total)[which])
-
-
-def test_pipeline_on_a_small_corpus(spark, sf):
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    names = [n for n, _ in corpus_pipeline.STAGES]
-    assert len(names) == 5
-    odd = docs.limit(60).withColumn("kept", F.lit(1)).withColumn("_text", F.lit("x")).union(spark.createDataFrame([(None, None, None, None, None, 1, "x")], "doc_id long, text string, lang string, source string, n_chars long, kept int, _text string"))
-    at = odd
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        at = stage(spark, at, sf)
-        assert at.columns == odd.columns
-    final = corpus_pipeline.run(spark, sf)
-    assert final.count() > 0
-    assert all(stage(spark, docs.filter("1 = 0"), sf).count() == 0 for _, stage in corpus_pipeline.STAGES)
