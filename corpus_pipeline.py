@@ -1,7 +1,12 @@
 """The corpus pipeline: toxic documents go, bad ones go, one of each near-duplicate group stays, personal data is masked, the rest is packed.
 
-Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of the documents.
-Filtering stages keep rows apart by a number of their own, so repeated ids, nulls and columns of any name pass through.
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of the documents, whatever
+else they are called.  Each is written and read again, so a lost executor costs one stage's tasks at most.
+
+Cases: null ids pass through every stage and are packed like others (near-duplicates are only looked for among rows that have one); a null or empty text has
+no words and goes with the quality rules; very long texts are judged, compared, masked and cut whole; rows that repeat an id
+and text are judged alike and stay or go together, of documents with equal or near-equal texts the smallest id stays; an empty
+table passes every stage.
 """
 
 from __future__ import annotations
@@ -13,7 +18,7 @@ from pyspark.sql import functions as F
 from lexiloom.llm import near_dedup, packing, pii, quality, toxicity
 from lexiloom.session import written
 
-#: The masked, packed result can't be expressed in SQL; tests compare the stages with brute force.
+#: Trained, masked and packed rows can't be expressed in SQL; tests/llm/test_pipeline.py holds each stage against brute force.
 ORACLE_SQL = None
 
 
@@ -24,7 +29,7 @@ def stage_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the voting rules keep."""
+    """Documents whose posterior quality the voting rules find good, short ones too."""
     return quality.good_documents(docs)
 
 
