@@ -97,7 +97,7 @@ def q_schedule(t):
     return harvest.scheduled(t.events, F.col("ts"), {2: "A", 3: "B", 5: "C"}).select("event_id", "journal")
 
 
-@query()
+@query("SELECT event_id, user_id, event_type FROM events")
 def q_harvest_stream(t):
     """Events arrive as files, pass the stream's upsert twice (the second time nothing is new) and are read back."""
     from ..session import work_folder

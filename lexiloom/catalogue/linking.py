@@ -117,11 +117,14 @@ def _page_titles(t):
     return t.pages.select("page_id", title.alias("title"), text.fold_title(title).alias("key"), F.regexp_extract("url", "/([a-z]{2})/", 1).alias("journal"), F.regexp_extract("url", "^https?://([^/?#]+)", 1).alias("host"), F.col("url").startswith("https:").alias("secure"), F.length("html").alias("n"))
 
 
-@query()
+@query("SELECT p_partkey AS a_key, p_partkey AS b_key, round((32 - p_partkey % 5) / 32, 6) AS sim FROM part WHERE p_partkey % 5 < 4")
 def q_residual_match(t):
-    d = _page_titles(t)
-    pairs = linkage.residual_pairs(d.filter("secure"), d.filter("not secure"), "key", block=["journal"]).filter("l_journal = r_journal")
-    return linkage.scored(pairs, "l_key", "r_key").filter("sim >= 0.9").select(F.col("l_page_id").alias("a_key"), F.col("r_page_id").alias("b_key"), F.round("sim", 6).alias("sim"))
+    """Digests as titles, and the same with none to four characters changed, by journal; no two others are alike."""
+    digest = F.md5(F.col("p_partkey").cast("string").cast("binary"))
+    left = t.part.select("p_partkey", digest.alias("key"), F.col("p_brand").alias("journal"))
+    changed = F.array_join(F.transform(F.split("key", ""), lambda c, i: F.when((i % 7 == 5) & (i < F.col("p_partkey") % 5 * 7), "z").otherwise(c)), "")
+    pairs = linkage.residual_pairs(left, left.withColumn("key", changed), "key", block=["journal"])
+    return linkage.scored(pairs, "l_key", "r_key").filter("sim >= 0.9").select(F.col("l_p_partkey").alias("a_key"), F.col("r_p_partkey").alias("b_key"), F.round("sim", 6).alias("sim"))
 
 
 @query("""WITH RECURSIVE e AS (SELECT a.p_partkey AS a_key, b.p_partkey AS b_key, a.p_brand || '/' || a.p_size AS blk, round(1 - levenshtein(a.p_name, b.p_name) / greatest(length(a.p_name), length(b.p_name)), 6) AS score FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_type < 'M' AND b.p_type >= 'M'),

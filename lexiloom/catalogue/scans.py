@@ -9,7 +9,8 @@ from ..sources import pages, records
 from .registry import query
 
 
-@query()
+@query(r"""WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, '(?s)<a [^>]*href="([^"]*)"[^>]*>.*?</a>', 1)) AS href, unnest(regexp_extract_all(html, '(?s)<a [^>]*href="[^"]*"[^>]*>(.*?)</a>', 1)) AS t FROM pages)
+SELECT page_id, href, trim(regexp_replace(replace(regexp_replace(t, '<[^>]*>', '', 'g'), '&amp;', '&'), '\s+', ' ', 'g')) AS text FROM a""")
 def q_html_links(t):
     anchors = t.pages.select("page_id", F.inline(pages.links("html")))
     return anchors.select("page_id", "href", "text")
@@ -20,10 +21,14 @@ def q_strip_tags(t):
     return t.pages.select("page_id", text.strip_tags(F.col("html")).alias("plain"))
 
 
-@query()
+@query("""SELECT s_suppkey, s_name AS title, CASE WHEN s_suppkey % 2 = 0 THEN 'In ' || s_name ELSE '' END AS title_en, CASE WHEN s_suppkey % 3 = 0 THEN 'Kim & ' || s_name ELSE 'Lee' END AS author, CASE WHEN s_suppkey % 3 = 0 THEN 2 ELSE 1 END::BIGINT AS n_fields FROM supplier""")
 def q_html_detail(t):
-    found = t.pages.select("page_id", pages.detail("html").alias("d"))
-    return found.select("page_id", "d.title", "d.title_en", F.size("d.fields").cast("long").alias("n_fields"))
+    k = F.col("s_suppkey")
+    heading = F.when(k % 2 == 0, F.format_string("<h3>%1$s<br> = In %1$s</h3>", "s_name")).otherwise(F.format_string("<div><h1></h1><h2>%1$s</h2></div>", "s_name"))
+    fields = F.when(k % 3 == 0, F.format_string('<ul><li><span class="strong">저자 :</span><div><p>Kim &amp; %1$s</p></div></li><li><span>연도</span><div>2020</div></li></ul>', "s_name")).otherwise("<dl><dt>저자</dt><dd>Lee</dd><dd>no label</dd></dl>")
+    found = t.supplier.select("s_suppkey", F.concat(heading, fields).alias("html")).select("s_suppkey", pages.detail("html").alias("d"))
+    author = F.coalesce(F.try_element_at("d.fields", F.lit("저자")), F.try_element_at("d.fields", F.lit("저자 ")))
+    return found.select("s_suppkey", "d.title", "d.title_en", author.alias("author"), F.size("d.fields").cast("long").alias("n_fields"))
 
 
 @query(r"""WITH l AS (SELECT page_id, regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1) AS h, regexp_extract_all(url, '[a-z]+') AS m FROM pages)
