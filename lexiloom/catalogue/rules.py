@@ -1,8 +1,10 @@
 """Rules on records, pages and responses; fixtures are made of the driver's tables so that SQL knows what must come out."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from ..functions import rules
+from ..functions import linguistic, rules
 from ..operators import merge, summary
 from ..plans import search
 from ..sources import pages, records
@@ -207,4 +209,46 @@ def q_work_list(t):
 
 @query()
 def q_search_similar(t):
-    return search.similar_values(t.part, "p_name", "antique chartreusse lavendr", 5, 0.4)
+    return search.similar_values(t.part, "p_name", "polishd brass boltt", 5, 0.4)
+
+
+@query("SELECT p_partkey, p_brand || '|' || p_type AS keywords FROM part")
+def q_keywords(t):
+    xml = F.format_string("<r><k:keyword xmlns:k='u'> %1$s</k:keyword><keyword></keyword><x><keyword>%2$s</keyword></x><keyword>%1$s </keyword></r>", "p_brand", "p_type")
+    return t.part.select("p_partkey", F.array_join(records.keywords(xml), "|").alias("keywords"))
+
+
+@query("SELECT p_partkey, lower(replace(p_name, ' ', '')) || '불법연구' AS title FROM part")
+def q_reading(t):
+    """Titles in two scripts meet by a table of readings."""
+    title = F.concat("p_name", F.when(F.col("p_partkey") % 2 == 0, " 佛法 연구").otherwise(" 불법 硏究"))
+    return t.part.select("p_partkey", linguistic.match_title(title, {"佛": "불", "法": "법", "硏": "연", "究": "구"}).alias("title"))
+
+
+@query("SELECT string_agg(n_name, ',' ORDER BY n_nationkey) AS journals, 'left over' AS note FROM nation")
+def q_pending_state(t):
+    """The names left over, written whole, read back as a state; once without names, which takes the file away."""
+    from ..session import work_folder
+
+    path, names = f"{work_folder(t.spark, 'state')}/pending.json", [r.n_name for r in t.nation.orderBy("n_nationkey").collect()]  # 25 names
+    for some in (names[:3], [], names + names[:5]):
+        merge.write_pending(t.spark, path, some, "left over")
+    state = records.read_state(t.spark, path, T.StructType([T.StructField("journals", T.ArrayType(T.StringType())), T.StructField("note", T.StringType())]))
+    return state.select(F.array_join("journals", ",").alias("journals"), "note")
+
+
+@query("SELECT event_id, coalesce(epoch(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) >= 1800, true) AS due FROM events")
+def q_checkpoint_due(t):
+    before = F.lag("ts").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    seconds = F.unix_timestamp(F.col("ts").cast("timestamp")) - F.unix_timestamp(before.cast("timestamp"))
+    return t.events.select("event_id", harvest.checkpoint_due(seconds).alias("due"))
+
+
+@query("SELECT page_id, regexp_extract(url, '[?&]utm_source=([^&#]*)', 1) AS origin, 'https://x.org/?' || CASE WHEN page_id % 2 = 0 THEN 'j=a%26b+c&' ELSE '' END || 'q=' || page_id AS link FROM pages")
+def q_query_state(t):
+    """What a link's parameters say, and the link that keeps a search, read back."""
+    journal = F.when(F.col("page_id") % 2 == 0, "a&b c").otherwise("")
+    link = search.state_url("https://x.org/", ["q", "j"], F.col("page_id").cast("string"), journal)
+    rows = t.pages.select("page_id", F.coalesce(F.try_element_at(search.url_state(F.col("url")), F.lit("utm_source")), F.lit("")).alias("origin"), link.alias("link"), journal.alias("j"))
+    again = search.url_state(F.col("link"))
+    return rows.filter((F.coalesce(F.try_element_at(again, F.lit("j")), F.lit("")) == F.col("j")) & (F.element_at(again, "q") == F.col("page_id").cast("string"))).drop("j")

@@ -93,16 +93,30 @@ def suggestions(df: DataFrame, column: str, term: str, k: int = 5, most: int = 3
 def similar_values(df: DataFrame, column: str, term: str, k: int = 5, least: float = 0.5) -> DataFrame:
     """If no value holds the term: the k values whose folded titles are most alike, with their similarity."""
     exact = df.filter(F.contains(F.lower(column), F.lit(term.lower()))).limit(1).select(F.lit(1).alias("_hit"))
-    values = df.select(column).distinct().withColumn("_term", F.lit(term))
-    alike = title_similarity(match_title(F.col(column)), match_title(F.col("_term")))
-    near = values.withColumn("similarity", F.round(alike, 6)).filter(F.col("similarity") >= least).drop("_term")
-    return near.join(F.broadcast(exact), F.lit(True), "left_anti").orderBy(F.desc("similarity"), column).limit(k)
+    values = df.select(column).distinct().withColumn("_own", match_title(F.col(column))).withColumn("_term", match_title(F.lit(term)))
+    alike = title_similarity(F.col("_own"), F.col("_term"))
+    order = [F.desc("similarity"), F.col(column)]
+    near = values.select(column, F.round(alike, 6).alias("similarity")).orderBy(*order).limit(k).filter(F.col("similarity") >= least)
+    return near.join(F.broadcast(exact), F.lit(True), "left_anti").orderBy(*order)
 
 
 def decade(year: Column) -> Column:
     return F.floor(year / 10) * 10
 
 
+def url_state(url: Column) -> Column:
+    """The parameters of a link as a map of decoded strings; empty without any."""
+    pairs = F.filter(F.split(F.coalesce(F.regexp_extract(url, r"\?([^#]*)", 1), F.lit("")), "&"), lambda p: F.contains(p, F.lit("=")))
+    entry = lambda p: F.struct(F.url_decode(F.substring_index(p, "=", 1)), F.url_decode(F.regexp_replace(p, "^[^=]*=", "")))
+    return F.map_from_entries(F.transform(pairs, entry))
+
+
+def state_url(base: str, names: list[str], *values: Column) -> Column:
+    """The link that keeps a search: parameters in the order of their names, those without a value left out."""
+    pairs = [F.when(F.coalesce(v, F.lit("")) != "", F.concat(F.lit(f"{n}="), F.url_encode(v))) for n, v in sorted(zip(names, values), key=lambda x: x[0])]
+    return F.concat_ws("?", F.lit(base), F.nullif(F.concat_ws("&", *pairs), F.lit("")))
+
+
 def to_query_string(state: dict[str, str]) -> str:
     from urllib.parse import urlencode
 
