@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 from pyspark.sql.window import Window
 
 
@@ -51,53 +52,67 @@ def keyed_dedupe(df: DataFrame, key: Column, completeness: list[Column], order:
 
 
 def fuzzy_dedupe(df: DataFrame, title_key: str, pos: str, id_col: str, fill: list[str], page: str = "page", nums: str = "nums", year: str = "year", completeness: list[Column] = (), apart: Column | None = None, shortest: int = 4, long: int = 8) -> DataFrame:
-    """Twins of one folded title: each row joins the first group whose first member fits.
+    """Twins of one folded title: each row joins the first group whose first member fits, in the order of ``pos``.
 
     Two rows fit if their years are equal or one is unknown (0 or null), and: both have a page, the pages are equal and so are
     the numbers unless one has none; or, where a page is missing, both have numbers, the same ones, and the
     title has ``long`` characters or more.  Of a group the row of the largest ``completeness`` (compared in order; ties: the
     first) stays, its missing fields of ``fill`` come from the others in that order, and their ids and earlier
     ``alt_ids`` go to its ``alt_ids``, in order and once.  Titles under ``shortest`` characters and rows marked by
-    ``apart`` (front matter) are nobody's twins.  A group holds one title's rows, in the order of ``pos``.
+    ``apart`` (front matter) are nobody's twins.
+
+    Rows of equal title, year, page and numbers always share a group, so only the distinct ones of these (a title's
+    places) are walked through in order, in Python; however many rows a title has, groups are merged by aggregates.
     """
     rows = df if "alt_ids" in df.columns else df.withColumn("alt_ids", F.array().cast("array<string>"))
     names = rows.columns
-    alone = (F.length(F.coalesce(F.col(title_key), F.lit(""))) < shortest) | (F.coalesce(apart, F.lit(False)) if apart is not None else F.lit(False))
-    # Titles that only one row has never meet another; they and those apart don't go through Python.
-    counted = rows.withColumn("_alone", alone).withColumn("_key", F.when(~F.col("_alone"), F.col(title_key)))
-    often = counted.filter("_key is not null").groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(F.col("_key").alias("_often"))
-    marked = counted.join(often, F.col("_key") == F.col("_often"), "left")
-    single = marked.filter("_often is null").select(*names)
-    several = marked.filter("_often is not null").select("_key", *names, F.array(*[F.coalesce(c.cast("double"), F.lit(0.0)) for c in completeness]).alias("_full"))
-
-    def filled(value) -> bool:
-        return value is not None and not (isinstance(value, float) and pd.isna(value)) and (not hasattr(value, "__len__") or len(value) > 0)
-
-    def same_place(head: dict, row: dict) -> bool:
-        own, other = (frozenset(x) if filled(x) else frozenset() for x in (head[nums], row[nums]))
-        if filled(head[page]) and filled(row[page]):
-            return head[page] == row[page] and (own == other or not own or not other)
-        return own == other and bool(own) and len(row["_key"]) >= long
-
-    def same_year(head: dict, row: dict) -> bool:
-        known = [y for y in (head[year], row[year]) if filled(y) and y != 0]
-        return len(set(known)) < 2
-
-    def merged(members: list[dict]) -> dict:
-        ranked = sorted(members, key=lambda r: list(r["_full"]), reverse=True)  # stable: the first of equal ones leads
-        best = dict(ranked[0])
-        for c in fill:
-            best[c] = next((r[c] for r in ranked if filled(r[c])), best[c])
-        ids = [x for r in ranked[1:] for x in [r[id_col], *(r["alt_ids"] if filled(r["alt_ids"]) else [])]]
-        known = [*(ranked[0]["alt_ids"] if filled(ranked[0]["alt_ids"]) else [])]
-        best["alt_ids"] = list(dict.fromkeys([*known, *(str(x) for x in ids if x is not None and str(x) != str(best[id_col]))]))
-        return best
-
-    def merge(rows_: pd.DataFrame) -> pd.DataFrame:
-        groups: list[list[dict]] = []
-        for row in rows_.sort_values(pos).to_dict("records"):
-            home = next((g for g in groups if same_year(g[0], row) and same_place(g[0], row)), None)
-            groups.append([row]) if home is None else home.append(row)
-        return pd.DataFrame([merged(g) for g in groups])[names]
-
-    return single.unionByName(several.groupBy("_key").applyInPandas(merge, rows.schema))
+    title = F.coalesce(F.col(title_key), F.lit(""))
+    place = {"_year": F.coalesce(F.col(year), F.lit(0)), "_page": F.col(page), "_nums": F.array_sort(F.array_distinct(F.coalesce(F.col(nums), F.array().cast(rows.schema[nums].dataType))))}
+    nowhere = F.col(page).isNull() & ((F.size(place["_nums"]) == 0) | (F.length(title) < long))  # fits nothing
+    alone = (F.length(title) < shortest) | nowhere | (F.coalesce(apart, F.lit(False)) if apart is not None else F.lit(False))
+    marked = rows.withColumn("_alone", alone).withColumns(place)
+    keys = ["_title", *place]
+    twins = marked.filter("not _alone").withColumn("_title", title)
+    places = twins.groupBy(*keys).agg(F.min(pos).alias("_first"))
+    schema = StructType([*places.schema.fields, StructField("_head", places.schema["_first"].dataType)])
+
+    def fits(head: tuple, own: tuple, size: int) -> bool:
+        (y, p, n), (year_, page_, nums_) = head, own
+        if y and year_ and y != year_:
+            return False
+        if p is not None and page_ is not None:
+            return p == page_ and (n == nums_ or not n or not nums_)
+        return n == nums_ and bool(n) and size >= long
+
+    def grouped(table: pa.Table) -> pa.Table:
+        heads, found = [], []
+        ordered = table.sort_by("_first")
+        for name, year_, page_, nums_, first in zip(*(ordered.column(c).to_pylist() for c in [*keys, "_first"])):
+            own = (year_, page_, tuple(nums_))
+            home = next((at for at, head in heads if fits(head, own, len(name))), None)
+            if home is None:
+                home = first
+                heads.append((first, own))
+            found.append(home)
+        return ordered.append_column("_head", pa.array(found, ordered.schema.field("_first").type))
+
+    heads = places.groupBy("_title").applyInArrow(grouped, schema).drop("_first").withColumnsRenamed({k: f"{k}_of" for k in keys})
+    same = None
+    for k in keys:
+        one = F.col(k).eqNullSafe(F.col(f"{k}_of"))
+        same = one if same is None else same & one
+    order = F.struct(*[(-F.coalesce(c.cast("double"), F.lit(0.0))).alias(f"_c{i}") for i, c in enumerate(completeness)], F.col(pos).alias("_pos"))
+    members = twins.join(heads, same).withColumn("_order", order)
+
+    def first_filled(c: str) -> Column:
+        own, kind = F.col(c), rows.schema[c].dataType.typeName()
+        there = own.isNotNull() & (own != "" if kind == "string" else F.size(own) > 0 if kind in ("array", "map") else F.lit(True))
+        return F.coalesce(F.min_by(F.when(there, own), F.when(there, F.col("_order"))), F.min_by(own, F.col("_order"))).alias(f"_fill_{c}")
+
+    ids = F.struct(F.col("_order").alias("o"), F.col(id_col).cast("string").alias("id"), F.coalesce("alt_ids", F.array().cast("array<string>")).alias("alt"))
+    merged = members.groupBy("_title", "_head").agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in names]), F.col("_order")).alias("_best"), F.sort_array(F.collect_list(ids)).alias("_ids"), *[first_filled(c) for c in fill])
+    known = F.flatten(F.transform("_ids", lambda x, i: F.when(i == 0, x["alt"]).otherwise(F.concat(F.array(x["id"]), x["alt"]))))
+    own_id = F.col("_best")[id_col].cast("string")
+    alt = F.array_distinct(F.concat(F.get(F.col("_ids"), 0)["alt"], F.filter(known, lambda x: x.isNotNull() & (x != F.coalesce(own_id, F.lit(""))))))
+    best = merged.select(*[(alt if c == "alt_ids" else F.col(f"_fill_{c}") if c in fill else F.col("_best")[c]).alias(c) for c in names])
+    return marked.filter("_alone").select(*names).unionByName(best)
