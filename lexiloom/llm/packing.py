@@ -237,7 +237,10 @@ def _numbered(rows: DataFrame, make, schema: StructType, capacity: int, length_c
 
 def pack(pieces: DataFrame, capacity: int = 1024, length_col: str = "length") -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to rows whose lengths are 1 to ``capacity``; the rows are written once to the shared folder."""
-    return _placed(_numbered(pieces, lambda batches: batches, pieces.schema, capacity, length_col), pieces.columns, capacity)
+    names = pieces.columns
+    hidden = pieces.toDF(*[f"c{i}" for i in range(len(names))])  # whatever they are called, they don't clash with ours
+    placed = _placed(_numbered(hidden, lambda batches: batches, hidden.schema, capacity, f"c{names.index(length_col)}"), hidden.columns, capacity)
+    return placed.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names) if n not in ("sequence_id", "offset")], "sequence_id", "offset")
 
 
 def _placed(rows: DataFrame, columns: list[str], capacity: int) -> DataFrame:
@@ -255,8 +258,7 @@ def _placed(rows: DataFrame, columns: list[str], capacity: int) -> DataFrame:
         return pd.DataFrame({"sequence_id": where[0], "offset": where[1]})
 
     ranked = rows.join(before, (F.col("_task") == F.col("_t")) & (F.col("_length") == F.col("_l"))).withColumn("_place", place("_length", F.col("_before") + F.col("_nth")))
-    kept = [c for c in columns if c not in ("sequence_id", "offset")]
-    return ranked.select(*[F.col(f"`{c}`") for c in kept], F.col("_place.sequence_id").alias("sequence_id"), F.col("_place.offset").alias("offset"))
+    return ranked.select(*columns, F.col("_place.sequence_id").alias("sequence_id"), F.col("_place.offset").alias("offset"))
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = 1024, end_id: int = 2, keep_ids: bool = False) -> DataFrame:

@@ -155,9 +155,9 @@ def test_search_has_no_end_before_its_own():
 
 
 def test_pack_with_one_length_for_most_rows(spark):
-    rows = spark.range(20_000, numPartitions=7).selectExpr("id as doc_id", "case when id % 3 = 0 then 100 when id % 3 = 1 then 60 else 40 end as size", "'x' as offset", "id as _x")
+    rows = spark.range(20_000, numPartitions=7).selectExpr("id as doc_id", "case when id % 3 = 0 then 100 when id % 3 = 1 then 60 else 40 end as size", "'x' as offset", "id as _task", "id as _length", "1 as `a.b`")
     found = packing.pack(rows, 100, "size")
-    assert found.columns == ["doc_id", "size", "_x", "sequence_id", "offset"]
+    assert found.columns == ["doc_id", "size", "_task", "_length", "a.b", "sequence_id", "offset"]
     bins = Counter()
     for r in found.collect():
         bins[r.sequence_id] += r["size"]
