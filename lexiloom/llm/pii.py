@@ -43,6 +43,7 @@ TOKEN = r"(?<![A-Za-z0-9@._%+-])(?=[A-Za-z-]*+[0-9]|[A-Za-z-]++[@._%+][@._%+-]*+
 INSTANCE = f"{FORMS['phone']}|{FORMS['card']}|{TOKEN}"
 NEEDS = {"email": "@", "ip": ".", "phone": "+"}  # a text without this has no match
 ROUNDS, CONFIDENT, SUPPORT = 10, 0.8, 5
+SALTS = 16
 STEP = 64  # elements of a block of prefix sums
 PIECE = 4096  # code points of a block of a text that is put together again
 _PART = r"0*(?:[0-9]|[1-9][0-9]|1[0-9][0-9]|2[0-4][0-9]|25[0-5])"
@@ -168,7 +169,10 @@ def scored(occurrences: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     wide = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), *seeds).filter(F.col("n") >= SUPPORT)
     # A pattern without a single seed gains from no round before one of its instances does, so all wide ones stay in.
     wide = written(wide.withColumnRenamed("pattern", "of"), "wide")
-    own = written(edges.filter("seed is null").join(wide.select("of"), F.col("pattern") == F.col("of"), "left_semi").select("pattern", "instance"), "unsure")
+    # A pattern of very many instances is dealt by instance into SALTS parts; the patterns' side, one row each, is repeated for it.
+    salt, each = F.pmod(F.xxhash64("instance"), F.lit(SALTS)).cast("int").alias("salt"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("part")
+    met = (F.col("pattern") == F.col("of")) & (F.col("salt") == F.col("part"))
+    own = written(edges.filter("seed is null").select("pattern", "instance", salt).join(wide.select("of", each), met, "left_semi"), "unsure")
     known = None
     for _ in range(rounds):
         if known is None:
@@ -176,8 +180,8 @@ def scored(occurrences: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         else:
             sums = own.join(known, "instance").groupBy("pattern").agg(*[F.sum(k).alias(f"g_{k}") for k in SEEDED])
             gained = wide.join(sums, F.col("of") == F.col("pattern"), "left").select("of", "n", *[(F.col(f"s_{k}") + F.coalesce(f"g_{k}", F.lit(0.0))).alias(k) for k in SEEDED])
-        confidence = gained.select("of", *[(F.col(k) / (F.col("n") + 1)).alias(k) for k in SEEDED]).filter(F.greatest(*SEEDED) > 0)
-        known = written(own.join(confidence, F.col("pattern") == F.col("of")).groupBy("instance").agg(*[F.max(k).alias(k) for k in SEEDED]), "scores")
+        confidence = gained.select("of", *[(F.col(k) / (F.col("n") + 1)).alias(k) for k in SEEDED]).filter(F.greatest(*SEEDED) > 0).select("*", each)
+        known = written(own.join(confidence, met).groupBy("instance").agg(*[F.max(k).alias(k) for k in SEEDED]), "scores")
     top = F.greatest(*SEEDED)
     found = F.coalesce(*[F.when(F.col(k) == top, F.lit(i)) for i, k in enumerate(SEEDED)])
     return known.filter(top >= CONFIDENT).select("instance", found.alias("found"))
