@@ -240,8 +240,7 @@ def q_pending_state(t):
 @query("SELECT event_id, coalesce(epoch(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) >= 1800, true) AS due FROM events")
 def q_checkpoint_due(t):
     before = F.lag("ts").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    seconds = F.unix_timestamp(F.col("ts").cast("timestamp")) - F.unix_timestamp(before.cast("timestamp"))
-    return t.events.select("event_id", harvest.checkpoint_due(seconds).alias("due"))
+    return t.events.select("event_id", harvest.checkpoint_due(harvest.seconds_between(before, F.col("ts"))).alias("due"))
 
 
 @query("SELECT page_id, regexp_extract(url, '[?&]utm_source=([^&#]*)', 1) AS origin, 'https://x.org/?' || CASE WHEN page_id % 2 = 0 THEN 'j=a%26b+c&' ELSE '' END || 'q=' || page_id AS link FROM pages")

@@ -93,6 +93,11 @@ def work_list(pending: DataFrame, due: DataFrame, name: str = "journal", pos: st
     return first.select(name, F.row_number().over(Window.orderBy("at")).cast("long").alias("turn"))  # names of journals, not rows
 
 
+def seconds_between(begin: Column, end: Column) -> Column:
+    """Seconds with their fraction, so that a full interval is one to the microsecond."""
+    return (F.unix_micros(end.cast("timestamp")) - F.unix_micros(begin.cast("timestamp"))) / 1_000_000
+
+
 def checkpoint_due(seconds: Column, every: int = 1800) -> Column:
     """Whether the data and then the position are to be stored, by the seconds since that was last done."""
     return F.coalesce(seconds >= every, F.lit(True))

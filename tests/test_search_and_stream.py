@@ -48,3 +48,9 @@ def test_checkpoints_and_work(spark):
     assert [r.d for r in df.select(harvest.checkpoint_due(F.col("s")).alias("d")).collect()] == [False, True, True]
     one, two = (spark.createDataFrame(x, "journal string, pos int") for x in ([("b", 0), ("a", 1)], [("a", 0), ("c", 1)]))
     assert [r.journal for r in harvest.work_list(one, two).orderBy("turn").collect()] == ["b", "a", "c"]
+
+
+def test_checkpoints_count_fractions_of_seconds(spark):
+    times = [("00:00:00.9", "00:30:00.899999"), ("00:00:00.9", "00:30:00.9"), ("00:00:00.1", "00:29:59.9"), (None, "00:00:00")]
+    df = spark.createDataFrame(times, "a string, b string").select(*[F.concat(F.lit("2024-01-01 "), c).cast("timestamp_ntz").alias(c) for c in ("a", "b")])
+    assert [r.d for r in df.select(harvest.checkpoint_due(harvest.seconds_between(F.col("a"), F.col("b"))).alias("d")).collect()] == [False, True, False, True]
