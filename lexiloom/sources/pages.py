@@ -109,12 +109,16 @@ def first_of_each(items: Column, field: str) -> Column:
     return F.filter(items, lambda x, i: F.array_position(keys, x[field]) == i + 1)
 
 
+#: Numbers of volumes and issues, which are no years.
+ISSUE_NUMBERS = r"(?i)(?<![a-z])(?:vol|no)\.?\s*[0-9]+|제\s*[0-9]+\s*[권호]"
+
+
 def issue_links(anchors: Column, key: str = "v_control_no") -> Column:
-    """Anchors that carry an issue's id in href or else in onclick, each id once: id, volume, issue, year, text."""
+    """Anchors that carry an issue's id in href or else in onclick, each id once: id, volume, issue, year (a volume's or issue's number is none), text."""
     address = lambda a: F.when(F.contains(a["href"], F.lit(key)), a["href"]).otherwise(a["onclick"])
     found = lambda c, p: F.regexp_extract(c, p, 1)
     own = F.filter(anchors, lambda a: address(a).rlike(rf"{key}\W+[0-9A-Za-z]"))
-    return first_of_each(F.transform(own, lambda a: F.struct(found(address(a), rf"{key}\W+([0-9A-Za-z]+)").alias("id"), found(a["text"], r"[Vv]ol\.?\s*([0-9]+)").alias("volume"), found(a["text"], r"[Nn]o\.?\s*([0-9]+)").alias("issue"), found(a["text"], r"((?:19|20)[0-9]{2})").alias("year"), a["text"].alias("text"))), "id")
+    return first_of_each(F.transform(own, lambda a: F.struct(found(address(a), rf"{key}\W+([0-9A-Za-z]+)").alias("id"), found(a["text"], r"[Vv]ol\.?\s*([0-9]+)").alias("volume"), found(a["text"], r"[Nn]o\.?\s*([0-9]+)").alias("issue"), found(F.regexp_replace(a["text"], ISSUE_NUMBERS, " "), r"((?:19|20)[0-9]{2})").alias("year"), a["text"].alias("text"))), "id")
 
 
 def volume_links(anchors: Column, pattern: str = r"/(\d+)/(\d+)/_contents", first_year: int = 1952) -> Column:

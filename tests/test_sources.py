@@ -54,6 +54,14 @@ def test_pages(spark):
     assert [a.text for a in articles] == ["An article"]
 
 
+def test_years_of_issues_are_not_their_numbers(spark):
+    texts = ["Vol.1950 No.2 2019", "Vol.11900 No.7", "제2001권 No. 1998 1987", "vol 3 no 2 201912", "Casino 2019"]
+    html = "".join(f'<a href="/x?v_control_no=a{i}">{t}</a>' for i, t in enumerate(texts))
+    found = spark.createDataFrame([(html,)], "html string").select(pages.links("html").alias("a")).select(pages.issue_links(F.col("a")).alias("i")).first().i
+    assert [i.year for i in found] == ["2019", "", "1987", "2019", "2019"]
+    assert [(i.volume, i.issue) for i in found[:3]] == [("1950", "2"), ("11900", "7"), ("", "1998")]
+
+
 def test_states_and_keywords(spark, tmp_path):
     from pyspark.sql import types as T
 
