@@ -148,39 +148,70 @@ def best_match(pairs: DataFrame, right_id: str, left_id: str, score: str, least:
     return pairs.filter(F.col(score) >= least).withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
-def residual_pairs(left: DataFrame, right: DataFrame, title: str, least: int = 8, gram: int = 3, block: list[str] = ()) -> DataFrame:
+def residual_pairs(left: DataFrame, right: DataFrame, title: str, least: int = 8, block: list[str] = ()) -> DataFrame:
     """Pairs of leftovers (of one block, if given) that may reach a similarity of 0.9; columns get l_ and r_.
 
-    A similarity of 0.9 is a ratio of 0.9 or a common stretch of 0.9 / 0.95 of the shorter title.  For the ratio, at most a
-    tenth of both lengths together stays unmatched; each unmatched character of the shorter title (s) breaks up to ``gram``
-    of its runs, each one between matched characters up to gram - 1.  For runs of three that is half its length at most,
-    so at least two runs are left from eight characters on, and its rarest runs, half its length and one more, hold one that the other
-    title has.  These are joined with all runs of titles that are as long or longer; pairs that share fewer runs than their
-    lengths allow go before the costly comparison.
+    A similarity of 0.9 is a ratio of 0.9 or a common stretch of 0.9 / 0.95 of the shorter title.
+    For the ratio, at most a tenth of both lengths together (errors) stays unmatched.  Of one part more of the shorter title than that some
+    part i has no error and i errors before it, so it stands in the longer one, moved by at most i, by as many as i is even or odd,
+    and leaves the other errors behind it.  So both titles meet by their lengths, i and that part.
+    For the stretch, which counts between titles of different lengths only, what is left of the shorter title without an eighteenth at
+    either end is in the longer one: its rarest run is joined with all runs of the longer one.
+    Pairs that meet are held against both rules before the costly comparison.
     """
-    grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - gram + 1), lambda i: F.substring(c, i, F.lit(gram))))
-    a = left.filter(F.length(title) >= least).select(*[F.col(c).alias(f"l_{c}") for c in left.columns], grams(F.col(title)).alias("_ga"), F.length(title).alias("_la"), F.monotonically_increasing_id().alias("_ia"))
-    b = right.filter(F.length(title) >= least).select(*[F.col(c).alias(f"r_{c}") for c in right.columns], grams(F.col(title)).alias("_gb"), F.length(title).alias("_lb"), F.monotonically_increasing_id().alias("_ib"))
-    a, b = written(a, "left"), written(b, "right")
-    blocks = [f"_block{i}" for i in range(len(block))]
-    every_a = a.select("_ia", "_la", *[F.col(f"l_{c}").alias(k) for c, k in zip(block, blocks)], F.explode("_ga").alias("_gram"))
-    every_b = b.select("_ib", "_lb", *[F.col(f"r_{c}").alias(k) for c, k in zip(block, blocks)], F.explode("_gb").alias("_gram"))
-    counts = every_a.select("_gram").union(every_b.select("_gram")).groupBy("_gram").count()
-
-    def rarest(every: DataFrame, key: str, length: str) -> DataFrame:
-        place = F.row_number().over(Window.partitionBy(key).orderBy("count", "_gram"))
-        return every.join(counts, "_gram").withColumn("_place", place).filter(F.col("_place") <= F.floor(F.col(length) / 2) + 1).drop("_place", "count")
-
-    on = ["_gram", *blocks]
-    met = rarest(every_a, "_ia", "_la").join(every_b, on).filter("_la <= _lb").select("_ia", "_ib")
-    met = met.union(rarest(every_b, "_ib", "_lb").join(every_a, on).filter("_lb <= _la").select("_ia", "_ib")).distinct()
-    short, long = F.least("_la", "_lb"), F.greatest("_la", "_lb")
-    unmatched = F.floor((short + long) / 10)
-    own = F.floor((unmatched - (long - short)) / 2)  # unmatched characters of the shorter title, at most
-    broken = F.greatest(F.when(own >= 0, gram * own + (gram - 1) * (own + long - short)).otherwise(0), F.floor(short / 18))
-    size = F.when(F.col("_la") <= F.col("_lb"), F.size("_ga")).otherwise(F.size("_gb"))
-    shared = F.size(F.array_intersect("_ga", "_gb")) >= F.greatest(size - broken, F.lit(1))
-    return met.join(a, "_ia").join(b, "_ib").filter(shared).drop("_ga", "_gb", "_la", "_lb", "_ia", "_ib")
+    blocks = F.xxhash64(*[F.col(c) for c in block]) if block else F.lit(0).cast("long")
+
+    def rows(df: DataFrame, p: str) -> DataFrame:
+        some = df.filter(F.length(title) >= least).dropna(subset=list(block)) if block else df.filter(F.length(title) >= least)
+        return written(some.select(*[F.col(c).alias(f"{p}_{c}") for c in df.columns], F.length(title).alias(f"_n{p}"), blocks.alias("_k"), F.monotonically_increasing_id().alias(f"_i{p}")), "titles")
+
+    a, b = rows(left, "l"), rows(right, "r")
+    a_keys, b_keys = (x.select("_k", F.col(f"_i{p}").alias("_i"), F.col(f"_n{p}").alias("_n"), F.col(f"{p}_{title}").alias("_t")) for x, p in ((a, "l"), (b, "r")))
+    lengths = lambda x: x.groupBy("_k").agg(F.collect_set("_n").alias("_other"))
+    a_keys, b_keys = a_keys.join(lengths(b_keys), "_k"), b_keys.join(lengths(a_keys), "_k")
+
+    def parts(keys: DataFrame, short: bool, equal: bool) -> DataFrame:
+        s, l = (F.col("_n"), F.col("_m")) if short else (F.col("_m"), F.col("_n"))  # noqa: E741
+        near = keys.withColumn("_m", F.explode("_other")).filter((s <= l if equal else s < l) & (9 * l <= 11 * s))
+        most = F.floor((s + l) / 10)
+        near = near.withColumn("_e", (most - (most - (l - s)) % 2).cast("int"))
+        cut = near.withColumn("_p", F.explode(F.sequence(F.lit(0), F.col("_e"))))
+        begin = lambda i: F.floor(i * s / (F.col("_e") + 1)).cast("int")
+        cut = cut.withColumn("_at", begin(F.col("_p"))).withColumn("_size", begin(F.col("_p") + 1) - F.col("_at"))
+        if not short:
+            cut = cut.withColumn("_moved", F.explode(F.sequence(-F.col("_p"), F.col("_p"), F.lit(2)))).filter(F.abs(l - s - F.col("_moved")) <= F.col("_e") - F.col("_p"))
+            cut = cut.withColumn("_at", F.col("_at") + F.col("_moved")).filter((F.col("_at") >= 0) & (F.col("_at") + F.col("_size") <= l))
+        return cut.select("_i", F.xxhash64("_k", s, l, "_p", F.substring("_t", F.col("_at") + 1, F.col("_size"))).alias("_key"))
+
+    run = min(max(least, 6), 8)
+
+    def runs(begin: Column, end: Column) -> Column:
+        """Distinct hashes of the runs from one place to another, with the block's."""
+        return F.explode(F.array_distinct(F.transform(F.sequence(begin, end - run + 1), lambda i: F.xxhash64("_k", F.substring("_t", i, F.lit(run))))))
+
+    def held(short: DataFrame, long: DataFrame) -> tuple[DataFrame, DataFrame]:
+        every = long.filter((F.array_min("_other") < F.col("_n")) & (F.col("_n") >= run)).select("_i", runs(F.lit(1), F.col("_n")).alias("_key"))
+        off = F.floor(F.col("_n") / 18).cast("int")
+        inner = short.filter((F.array_max("_other") > F.col("_n")) & (F.col("_n") >= run)).select("_i", runs(off + 1, F.col("_n") - off).alias("_key"))
+        met = inner.join(every.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).hint("merge"), "_key", "left")  # a run that no other title has: none holds this one
+        return met.groupBy("_i").agg(F.min(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "_key")).alias("_b")).filter("_b.n > 0").select("_i", F.col("_b._key").alias("_key")), every
+
+    def meet(one: DataFrame, other: DataFrame) -> DataFrame:
+        return one.select("_key", F.col("_i").alias("_il")).join(other.select("_key", F.col("_i").alias("_ir")).hint("merge"), "_key").select("_il", "_ir")
+
+    met = meet(parts(a_keys, True, True), parts(b_keys, False, True)).union(meet(parts(a_keys, False, False), parts(b_keys, True, False)))
+    (short, long), (short_b, long_a) = held(a_keys, b_keys), held(b_keys, a_keys)
+    met = met.union(meet(short, long)).union(meet(long_a, short_b)).distinct()
+    # Hints: keys and titles are as many as the rows or more, which sizes of compressed files don't tell; broadcast they would fill the driver.
+    pairs = met.join(a.drop("_k").hint("merge"), "_il").join(b.drop("_k").hint("merge"), "_ir")
+    for c in block:
+        pairs = pairs.filter(F.col(f"l_{c}") == F.col(f"r_{c}"))
+    first = F.col("_nl") <= F.col("_nr")
+    short, long = F.when(first, F.col(f"l_{title}")).otherwise(F.col(f"r_{title}")), F.when(first, F.col(f"r_{title}")).otherwise(F.col(f"l_{title}"))
+    n, off = F.least("_nl", "_nr"), F.floor(F.least("_nl", "_nr") / 18).cast("int")
+    stretch = (n >= 6) & F.contains(long, F.substring(short, off + 1, n - 2 * off))
+    alike = F.levenshtein(f"l_{title}", f"r_{title}") <= F.floor((F.col("_nl") + F.col("_nr")) / 10)
+    return pairs.filter(stretch | alike).drop("_il", "_ir", "_nl", "_nr")
 
 
 def best_overlap(candidates: DataFrame, known: DataFrame, group: str, other: str, key: str, least_rows: int = 3) -> DataFrame:

@@ -81,6 +81,15 @@ def test_residual_pairs_keep_every_similar_pair(spark):
     assert len(wanted) > 150 and wanted <= found and wanted <= found_back
 
 
+def test_residual_pairs_never_send_all_titles_to_the_driver(spark):
+    a = spark.createDataFrame([(1, "x", "abcdefghij"), (2, "x", "0123456789"), (3, None, "abcdefghij"), (4, "y", "k" * 40)], "id int, j string, key string")
+    b = spark.createDataFrame([(7, "x", "abcdefghiz"), (8, "y", "abcdefghij"), (9, None, "abcdefghij"), (10, "y", "p" * 30 + "k" * 38), (11, "x", None)], "id int, j string, key string")
+    found = linkage.residual_pairs(a, b, "key", block=["j"])
+    assert {(r.l_id, r.r_id) for r in found.collect()} == {(1, 7), (4, 10)}
+    last = found._jdf.queryExecution().sparkPlan().toString().split("Union")[0]  # the joins of pairs with their titles
+    assert last.count("SortMergeJoin") == 2 and "BroadcastHashJoin" not in last
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 200), (200, 150), (7, 300)]
     found = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
