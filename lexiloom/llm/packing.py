@@ -31,6 +31,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 from pyspark.sql.window import Window
 
 from ..session import written
+from .textscan import releasing
 from .tokenizing import encoded_slices
 
 
@@ -58,7 +59,7 @@ def _cutter(path: str, capacity: int, end_id: int, keep_ids: bool):
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    return cut
+    return releasing(cut)
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+import psutil
 import public_tokenizers as public
 import pytest
 from pyspark.sql import functions as F
@@ -104,3 +105,29 @@ def test_empty_tables(spark, sf):
 def test_run(spark, sf):
     found = corpus_pipeline.run(spark, sf)
     assert {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"} <= set(found.columns) and found.count() > 0
+
+
+def test_workers_give_freed_memory_back_when_a_task_ends():
+    from lexiloom.llm.textscan import releasing
+
+    seen = []
+
+    def work(batches):
+        for n in batches:
+            held = [bytes(2000) for _ in range(n)]
+            seen.append(psutil.Process().memory_info().rss)
+            keep = held[::1000]  # what stays splits what was freed
+            del held
+            yield keep
+
+    kept = list(releasing(work)(iter([100_000])))
+    assert len(kept[0]) == 100 and seen[0] - psutil.Process().memory_info().rss > 100e6
+
+
+def test_not_toxic_sends_texts_once_and_in_slices(spark):
+    docs = spark.createDataFrame([(i, f"text {i} " * 9000) for i in range(20)] + [(20, None), (21, "")], "doc_id long, text string").coalesce(1)
+    kept = toxicity.not_toxic(docs, toxicity.Tagger())
+    assert kept.schema == docs.schema and sorted(kept.collect(), key=lambda r: r.doc_id) == docs.collect()
+    assert "_text" not in kept._jdf.queryExecution().optimizedPlan().toString()
+    raw = toxicity.not_toxic(docs.withColumn("text", F.col("text").cast("binary")), toxicity.Tagger())
+    assert raw.select("doc_id", F.col("text").cast("string")).orderBy("doc_id").collect() == docs.collect()
