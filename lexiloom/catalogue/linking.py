@@ -88,9 +88,8 @@ def q_known_id_join(t):
 @query("""SELECT a.p_partkey AS a_key, b.p_partkey AS b_key, levenshtein(a.p_name, b.p_name)::bigint AS distance FROM part a JOIN part b ON a.p_brand = b.p_brand AND abs(a.p_size - b.p_size) <= 1 AND a.p_type < 'M' AND b.p_type >= 'M' AND levenshtein(a.p_name, b.p_name) <= 3""")
 def q_block_join(t):
     p = t.part.select("p_partkey", "p_brand", "p_size", "p_name", "p_type")
-    near = F.levenshtein("l_p_name", "r_p_name") <= 3
-    pairs = linkage.block_pairs(p.filter("p_type < 'M'"), p.filter("p_type >= 'M'"), ["p_brand"], "p_size", near)
-    return pairs.select(F.col("l_p_partkey").alias("a_key"), F.col("r_p_partkey").alias("b_key"), F.levenshtein("l_p_name", "r_p_name").cast("long").alias("distance"))
+    a, b = p.filter("p_type < 'M'").withColumnRenamed("p_partkey", "a_key"), p.filter("p_type >= 'M'").withColumnRenamed("p_partkey", "b_key")
+    return linkage.alike_pairs(a, b, ["p_brand"], "p_name", lambda x, y: F.levenshtein(x, y).cast("long"), lambda d: d <= 3, "a_key", "b_key", "distance", "p_size")
 
 
 @query("""WITH s AS (SELECT l_partkey, l_returnflag, list_sort(list(DISTINCT l_linenumber)) AS nums FROM lineitem GROUP BY 1, 2)

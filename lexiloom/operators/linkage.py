@@ -6,6 +6,8 @@ decides ties.  Pairs never come from a cross join: each form has equality keys.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,6 +54,18 @@ def block_pairs(left: DataFrame, right: DataFrame, block: list[str], year: str |
     return pairs.drop("_year") if year else pairs
 
 
+def alike_pairs(left: DataFrame, right: DataFrame, block: list[str], value: str, measure: Callable[[Column, Column], Column], good: Callable[[Column], Column], left_id: str, right_id: str, name: str, year: str | None = None) -> DataFrame:
+    """left_id, right_id, name: pairs of a block (and years) with a measure that is good, for measures of one column alone.
+
+    Rows of a block, year and value are alike: the measure is taken once for two values of a block, and rows join the pairs of values that are good.
+    """
+    keys = [*block, *([year] if year else []), value]
+    classes = block_pairs(left.select(*keys).distinct(), right.select(*keys).distinct(), block, year).withColumn(name, measure(F.col(f"l_{value}"), F.col(f"r_{value}"))).filter(good(F.col(name)))
+    classes = written(classes, "alike")
+    a, b = left.select(F.col(left_id), *[F.col(c).alias(f"l_{c}") for c in keys]), right.select(F.col(right_id), *[F.col(c).alias(f"r_{c}") for c in keys])
+    return classes.join(a.hint("merge"), [f"l_{c}" for c in keys]).join(b.hint("merge"), [f"r_{c}" for c in keys]).select(left_id, right_id, name)
+
+
 def subset_pairs(left: DataFrame, right: DataFrame, numbers: str, left_id: str, right_id: str, block: list[str] = ()) -> DataFrame:
     """left_id, right_id where one set of numbers properly contains the other; joined by a shared number, within a block if one is given."""
     a = left.select(F.col(left_id), *[F.col(c).alias(f"_a_{c}") for c in block], F.col(numbers).alias("_a"), F.explode(numbers).alias("_n"))

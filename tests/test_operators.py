@@ -90,6 +90,15 @@ def test_residual_pairs_never_send_all_titles_to_the_driver(spark):
     assert last.count("SortMergeJoin") == 2 and "BroadcastHashJoin" not in last
 
 
+def test_alike_pairs_measure_values_once(spark):
+    r = random.Random(5)
+    data = [(i, r.choice(["x", "y", None]), r.choice([2000, 2001, 2003, None]), r.choice(["aa", "ab", "bbbb", None])) for i in range(60)]
+    a, b = (spark.createDataFrame(d, f"{i} int, j string, y int, v string") for d, i in ((data[:30] + data[:2], "a"), (data[30:], "b")))
+    found = rows(linkage.alike_pairs(a, b, ["j"], "v", lambda x, y: F.levenshtein(x, y), lambda d: d <= 1, "a", "b", "d", "y"))
+    plain = linkage.block_pairs(a, b, ["j"], "y", F.levenshtein("l_v", "r_v") <= 1).select("l_a", "r_b", F.levenshtein("l_v", "r_v"))
+    assert found == sorted(tuple(p) for p in plain.collect()) and len(found) > 20
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 200), (200, 150), (7, 300)]
     found = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
