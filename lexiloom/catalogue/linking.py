@@ -134,10 +134,9 @@ def q_residual_match(t):
 SELECT a_key, b_key, score FROM g WHERE a_key IS NOT NULL""")
 def q_greedy_match(t):
     p = t.part.select("p_partkey", "p_brand", "p_size", "p_name", "p_type")
-    pairs = linkage.block_pairs(p.filter("p_type < 'M'"), p.filter("p_type >= 'M'"), ["p_brand", "p_size"])
-    score = F.lit(1) - F.levenshtein("l_p_name", "r_p_name") / F.greatest(F.length("l_p_name"), F.length("r_p_name"))
-    edges = pairs.select(F.col("l_p_partkey").alias("a_key"), F.col("r_p_partkey").alias("b_key"), F.round(score, 6).alias("score"))
-    return linkage.greedy_rounds(edges, "a_key", "b_key", "score")
+    a, b = p.filter("p_type < 'M'").withColumnRenamed("p_partkey", "a_key"), p.filter("p_type >= 'M'").withColumnRenamed("p_partkey", "b_key")
+    score = lambda x, y: F.round(F.lit(1) - F.levenshtein(x, y) / F.greatest(F.length(x), F.length(y)), 6)
+    return linkage.greedy_alike(a, b, ["p_brand", "p_size"], "p_name", score, "a_key", "b_key")
 
 
 @query("""WITH p AS (SELECT p_partkey, length(p_name) AS n, p_size AS k, p_partkey % 4 AS rule FROM part)

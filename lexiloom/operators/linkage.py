@@ -11,6 +11,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.linguistic import page_bonus, title_similarity
@@ -156,6 +157,63 @@ def greedy_blocks(edges: DataFrame, block: str, left: str, right: str, score: st
     return edges.groupBy(block).applyInPandas(assign, edges.schema)
 
 
+def greedy_alike(left: DataFrame, right: DataFrame, block: list[str], value: str, measure: Callable[[Column, Column], Column], left_id: str, right_id: str, most: int = 200_000, rows: int = 2_000_000) -> DataFrame:
+    """One-to-one pairs with their score as ``greedy_rounds`` takes them from all pairs of each block, for a measure of one column alone.
+
+    Edges are between values, not rows: of an edge's rows the largest left that is free gets the largest right that is free at
+    that score.  A block of at most ``most`` pairs of values and ``rows`` rows is finished by one task; larger ones, and those that share
+    an id with another block, go through ``greedy_rounds`` row by row.
+    """
+    a, b = (df.filter(F.col(i).isNotNull() & F.col(value).isNotNull()).dropna(subset=block).select(F.col(i).alias("_id"), F.struct(*block).alias("_block"), F.col(value).alias("_value")).distinct() for df, i in ((left, left_id), (right, right_id)))
+    members = written(a.withColumn("_left", F.lit(True)).union(b.withColumn("_left", F.lit(False))), "members")
+    values = lambda side, v: members.filter(F.col("_left") == side).select("_block", F.col("_value").alias(v)).distinct()
+    edges = written(values(True, "_a").join(values(False, "_b"), "_block").withColumn("_score", measure(F.col("_a"), F.col("_b"))), "edges")
+    twice = members.groupBy("_left", "_id").agg(F.min("_block").alias("x"), F.max("_block").alias("y")).filter("x != y")
+    large = edges.groupBy("_block").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > most).select("_block").union(members.groupBy("_block").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows).select("_block"))
+    large = written(large.union(members.join(twice, ["_left", "_id"], "left_semi").select("_block")).distinct(), "large")
+    out = edges.select("_score").schema.fields + members.select("_id").schema.fields
+
+    def assign(pairs: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+        lefts, rights = ({v: sorted(set(g)) for v, g in some.groupby("_value")["_id"]} for some in (own[own["_left"]], own[~own["_left"]]))
+        used_a, used_b, found = set(), set(), []
+
+        def top(ids: list, used: set):
+            while ids and ids[-1] in used:  # an id may have several values
+                ids.pop()
+            return ids[-1] if ids else None
+
+        for score, group in sorted(pairs.groupby("_score"), key=lambda g: g[0], reverse=True):
+            near = {}
+            for x, y in zip(group["_a"], group["_b"]):
+                near.setdefault(x, []).append(y)
+            while True:
+                # The left value with the largest free id; values whose rights have run out fall away.
+                heads = [(top(lefts[x], used_a), x) for x in near if lefts.get(x)]
+                heads = [h for h in heads if h[0] is not None]
+                if not heads:
+                    break
+                x = max(heads)[1]
+                free = [h for h in ((top(rights[y], used_b), y) for y in near[x] if rights.get(y)) if h[0] is not None]
+                if not free:
+                    del near[x]
+                    continue
+                y = max(free)[1]
+                found.append((lefts[x].pop(), rights[y].pop(), score))
+                used_a.add(found[-1][0]), used_b.add(found[-1][1])
+        return pd.DataFrame(found, columns=[left_id, right_id, "score"])
+
+    schema = T.StructType([T.StructField(left_id, out[1].dataType), T.StructField(right_id, out[1].dataType), T.StructField("score", out[0].dataType)])
+    one = lambda df: df.join(large, "_block", "left_anti")
+    done = one(edges).groupBy("_block").cogroup(one(members).groupBy("_block")).applyInPandas(assign, schema)
+    done = written(done, "greedy")
+    if large.isEmpty():
+        return done
+    rest = edges.join(large, "_block", "left_semi")
+    for side, v, i in ((True, "_a", left_id), (False, "_b", right_id)):
+        rest = rest.join(members.filter(F.col("_left") == side).select("_block", F.col("_value").alias(v), F.col("_id").alias(i)), ["_block", v])
+    return done.unionByName(greedy_rounds(rest.select(left_id, right_id, F.col("_score").alias("score")), left_id, right_id, "score"))
+
+
 def best_match(pairs: DataFrame, right_id: str, left_id: str, score: str, least: float) -> DataFrame:
     """The best left row of each right row (ties: the smaller id), if its score reaches ``least``."""
     rank = F.row_number().over(Window.partitionBy(right_id).orderBy(F.desc(score), left_id))

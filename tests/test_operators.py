@@ -99,6 +99,22 @@ def test_alike_pairs_measure_values_once(spark):
     assert found == sorted(tuple(p) for p in plain.collect()) and len(found) > 20
 
 
+def test_greedy_alike_equals_greedy_rounds(spark):
+    r = random.Random(6)
+    names = ["aa", "ab", "abc", "bbbb", "b"]
+    lefts, rights = ([(i, r.choice("xy"), r.choice(names)) for i in range(n)] for n in (40, 30))
+    lefts += [(0, "x", "aa"), (0, "x", "abc"), (90, None, "aa"), (None, "x", "aa")]
+    a, b = spark.createDataFrame(lefts, "a int, j string, v string"), spark.createDataFrame(rights + [(91, "x", None)], "b int, j string, v string")
+    score = lambda x, y: F.round(F.lit(1) - F.levenshtein(x, y) / F.greatest(F.length(x), F.length(y)), 6)
+    plain = linkage.block_pairs(a, b, ["j"]).filter("l_v is not null and r_v is not null").select(F.col("l_a").alias("a"), F.col("r_b").alias("b"), score(F.col("l_v"), F.col("r_v")).alias("s"))
+    wanted = greedy([tuple(e) for e in plain.collect() if e.a is not None])
+    assert rows(linkage.greedy_alike(a, b, ["j"], "v", score, "a", "b")) == wanted
+    assert rows(linkage.greedy_alike(a, b, ["j"], "v", score, "a", "b", most=1)) == wanted  # blocks too large for one task
+    both = a.union(spark.createDataFrame([(1, "x", "aa"), (1, "y", "ab")], a.schema))  # an id in two blocks
+    edges = linkage.block_pairs(both, b, ["j"]).filter("l_v is not null and r_v is not null and l_a is not null").select("l_a", "r_b", score(F.col("l_v"), F.col("r_v")))
+    assert rows(linkage.greedy_alike(both, b, ["j"], "v", score, "a", "b")) == greedy([tuple(e) for e in edges.collect()])
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 200), (200, 150), (7, 300)]
     found = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
